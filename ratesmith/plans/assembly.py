@@ -34,7 +34,7 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
                  common_base: Sequence[tuple[str, str, str]] = R.COMMON_BASE_TRIPLETS,
                  chains: Sequence[tuple[str, str, str]] = R.CHAIN_TRIPLETS,
                  inverse_pairs: Sequence[tuple[str, str]] = R.INVERSE_PAIRS,
-                 limit: int = FILL_LIMIT, materialize: bool = False) -> DataFrame:
+                 limit: int = FILL_LIMIT, materialize: bool = True) -> DataFrame:
     """Rates of the listed currencies from two feeds, closed under the listed derivations.
 
     Order: reconcile -> keep listed currencies -> common-base cross-rates
@@ -42,18 +42,22 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     of the listed pairs (read all so far) -> identities -> calendar fill ->
     distinct.  No priority between a direct and a derived rate of one key.
 
-    The reconciled base is read by every branch.  Its shuffles are shared by
-    exchange reuse within the one plan; ``materialize`` writes it to the
-    checkpoint folder instead, which also cuts the lineage a lost executor
-    would otherwise recompute.
+    Every derivation reads all rows before it, so each branch would otherwise
+    recompute the reconciliation (each pushes its own pair filter into it, so
+    no two branches share a subplan).  With ``materialize`` the reconciled
+    base and the derived rows are written once to the checkpoint folder; the
+    pair filters then reach those tables' scans, and a lost executor does not
+    send Spark back to the feeds.
     """
     base = R.filter_currencies(R.reconcile_feeds(primary, secondary), currencies)
     if materialize:
-        base = cut_lineage(base)
+        base = cut_lineage(base, "market-base")
     united = base.unionByName(R.cross_rate_common_base(base, common_base))
     united = united.unionByName(R.cross_rate_chain(united, chains))
     united = united.unionByName(R.inverse_rates(united, inverse_pairs))
     united = united.unionByName(R.identity_rates(united))
+    if materialize:
+        united = cut_lineage(united, "market-derived")
     return fill_calendar(united, limit)
 
 

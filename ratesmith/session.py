@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -46,7 +48,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in SESSION_DEFAULTS.items():
-        if key != "spark.ui.enabled":
+        if not key.startswith("spark.ui."):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
@@ -69,11 +71,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and return it.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    Reliable checkpoints survive executor loss (the data lives in the shared
-    folder, not on executors), unlike cached or locally checkpointed data.
+    The data then lives in the shared folder, not on executors, so a lost
+    executor does not send Spark back through the lineage; and later filters
+    on the re-read table reach its parquet scan.  (A reliable RDD checkpoint
+    would compute ``df`` twice unless it were also cached.)
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -1,0 +1,102 @@
+import datetime as dt
+
+from conftest import rows
+
+from ratesmith.operators.timeseries import date_spine, fill_calendar, gap_fill
+
+SCHEMA = "asset string, quote string, date date, rate double"
+
+
+def d(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=n)
+
+
+def series(spark, points, asset="A", quote="B"):
+    return spark.createDataFrame([(asset, quote, d(n), r) for n, r in points], SCHEMA)
+
+
+def test_spine_covers_min_to_max(spark):
+    df = series(spark, [(0, 1.0), (4, 2.0)]).unionByName(series(spark, [(2, 1.0)], "C", "D"))
+    assert rows(date_spine(df)) == [("A", "B", d(n)) for n in range(5)] + [("C", "D", d(2))]
+
+
+def test_spine_skips_pairs_without_dates(spark):
+    df = spark.createDataFrame([("A", "B", None, 1.0)], SCHEMA)
+    assert date_spine(df).count() == 0
+
+
+def test_fill_three_days_then_null(spark):
+    # observed on day 0 and day 6: days 1-3 take day 0's rate, days 4-5 stay NULL
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (6, 7.0)])).collect()}
+    assert out == {d(1): 5.0, d(2): 5.0, d(3): 5.0, d(4): None, d(5): None}
+
+
+def test_fill_never_emits_observed_days(spark):
+    out = gap_fill(series(spark, [(0, 1.0), (1, None), (2, 3.0)]))
+    assert out.count() == 0
+
+
+def test_null_observed_rate_is_skipped_as_donor(spark):
+    # day 1 observed with NULL: day 2 and 3 reach back to day 0 (within 3 days),
+    # day 4 is 4 days after day 0 and stays NULL
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (1, None), (5, 9.0)])).collect()}
+    assert out == {d(2): 5.0, d(3): 5.0, d(4): None}
+
+
+def test_filled_values_are_not_donors(spark):
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (9, 1.0)])).collect()}
+    assert [out[d(n)] for n in range(1, 9)] == [5.0, 5.0, 5.0] + [None] * 5
+
+
+def test_limit_parameter(spark):
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (4, 1.0)]), limit=1).collect()}
+    assert out == {d(1): 5.0, d(2): None, d(3): None}
+
+
+def test_repeated_day_donates_its_largest_rate(spark):
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (0, 8.0), (2, 1.0)])).collect()}
+    assert out == {d(1): 8.0}
+
+
+def test_pairs_are_independent(spark):
+    df = series(spark, [(0, 1.0), (2, 1.0)]).unionByName(series(spark, [(1, 2.0), (3, 2.0)], "A", "C"))
+    assert rows(gap_fill(df)) == [("A", "B", d(1), 1.0), ("A", "C", d(2), 2.0)]
+
+
+def test_fill_calendar_is_distinct_input_plus_fill(spark):
+    df = series(spark, [(0, 5.0), (0, 5.0), (2, 1.0)])
+    assert rows(fill_calendar(df)) == [("A", "B", d(0), 5.0), ("A", "B", d(1), 5.0), ("A", "B", d(2), 1.0)]
+
+
+def test_fill_matches_lag_chain_on_random_series(spark):
+    import random
+
+    rnd = random.Random(7)
+    pts = []
+    for pair in range(6):
+        for n in range(60):
+            if rnd.random() < 0.45:
+                pts.append((f"P{pair}", "Q", d(n), None if rnd.random() < 0.2 else float(rnd.randint(1, 99))))
+    df = spark.createDataFrame(pts, SCHEMA)
+    got = {(r.asset, r.date): r.rate for r in gap_fill(df).collect()}
+    # brute force: dense calendar, lags of 1..3 rows over it
+    by_pair = {}
+    for a, _, day, rate in pts:
+        by_pair.setdefault(a, {})[day] = rate
+    want = {}
+    for a, obs in by_pair.items():
+        lo, hi = min(obs), max(obs)
+        cal = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+        for i, day in enumerate(cal):
+            if day in obs:
+                continue
+            lags = [obs.get(cal[i - k]) if i - k >= 0 else None for k in (1, 2, 3)]
+            want[(a, day)] = next((x for x in lags if x is not None), None)
+    assert got == want
+
+
+def test_gap_fill_plan_has_one_window_and_no_join(spark, scratch):
+    series(spark, [(0, 1.0), (3, 2.0)]).write.parquet(f"{scratch}/s")
+    plan = gap_fill(spark.read.parquet(f"{scratch}/s"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 or plan.count("Window ") >= 1
+    assert "Join" not in plan

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ratesmith.operators import rates as R
 from ratesmith.operators import trades as TR
@@ -64,8 +65,17 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
 def trade_history(binance_raw: DataFrame, symbols: DataFrame, exmo_raw: DataFrame,
                   rates_df: DataFrame,
                   currencies: Sequence[str] = TR.VALUATION_CURRENCIES,
-                  missing_rate: float | None = 1.0) -> DataFrame:
-    """Trades of both exchanges in one form, valued in ``currencies``."""
+                  missing_rate: float | None = 1.0, materialize_rates: bool = True) -> DataFrame:
+    """Trades of both exchanges in one form, valued in ``currencies``.
+
+    With ``materialize_rates`` the rates quoted in ``currencies`` are written
+    once to the checkpoint folder, so the per-currency lookups read that small
+    table (and its real size decides the broadcast) instead of each
+    recomputing the rates' lineage.
+    """
     trades = TR.union_trades(TR.normalise_trades(binance_raw, TR.BINANCE, symbols),
                              TR.normalise_trades(exmo_raw, TR.EXMO))
+    if materialize_rates:
+        rates_df = cut_lineage(rates_df.where(F.col("quote").isin(list(currencies)))
+                               .select(*R.RATE_COLUMNS), "valuation-rates")
     return TR.value_trades(trades, rates_df, currencies, missing_rate)

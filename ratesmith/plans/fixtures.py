@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratesmith.functions.joins import estimated_bytes
+
 # Fixture rules (fixed values).
 # event_type -> asset currency
 EVENT_ASSET = {"view": "USD", "click": "BTC", "purchase": "SOL", "signup": "EUR", "error": "USDT"}
@@ -32,8 +34,22 @@ ORDERSTATUS_TYPE = {"F": "buy", "O": "sell", "P": "cancel"}
 TRADE_EPOCH = "2024-01-01"
 
 
+# Below this size one task gets through a table's rows faster than a shuffle
+# spreads them.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table.  The test files are single parquet row groups, which
+    Spark cannot split: a large scan with fewer splits than the session has
+    cores is spread round-robin so the row-wise work after it runs on every
+    core.  On real data (many files and row groups) this never applies."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = estimated_bytes(df) or 0
+    if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _lookup(key: Column, mapping: dict | list) -> Column:

@@ -1,0 +1 @@
+"""Currency rates and trade valuation on Spark DataFrames."""

@@ -1,0 +1 @@
+"""Rate, calendar, closure and trade operators (DataFrame -> DataFrame)."""

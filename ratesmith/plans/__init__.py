@@ -1,0 +1 @@
+"""Jobs as compositions of operators, derived test inputs and registered queries."""

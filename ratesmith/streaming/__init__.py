@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The original job is a periodic batch (an outside scheduler runs it once a day,
+never overlapping) and uses no stream, watermark or state.  Nothing here.
+"""

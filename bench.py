@@ -27,7 +27,7 @@ from ratesmith.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 # Headline queries: the registered ones that do the most work, plus the rate
 # operators over ``fx_wide`` (thousands of pairs), whose rates grow with the data.
@@ -56,14 +56,18 @@ def main() -> None:
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or list(BENCH)
-    times = {}
+    times, counts, shuffles = {}, {}, {}
     for name in names:
         fn = BENCH[name]
         run_once(spark, fn)  # warm-up: JIT, file listing, parquet footers
         times[name] = round(statistics.median(run_once(spark, fn) for _ in range(RUNS)), 3)
+        df = fn(spark, SF_DIR)
+        counts[name] = df.count()
+        shuffles[name] = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "total_median_sec", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": CPUS, "runs": RUNS}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": CPUS, "runs": RUNS,
+                      "rows": counts, "hash_shuffles": shuffles}))
 
 
 if __name__ == "__main__":

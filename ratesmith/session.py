@@ -28,6 +28,16 @@ SESSION_DEFAULTS = {
 }
 
 
+# Starting points for a large cluster, applied only when the submitter left them
+# unset and the master is not local: many initial shuffle partitions that
+# adaptive execution coalesces to ~256 MiB each, and 256 MiB file splits.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "ratesmith", extra: dict | None = None) -> SparkSession:
     """Return a session with the defaults above.
@@ -47,6 +57,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in CLUSTER_DEFAULTS.items():
+            if not submitted.contains(key) and not (extra or {}).get(key):
+                spark.conf.set(key, value)
     for key, value in SESSION_DEFAULTS.items():
         if not key.startswith("spark.ui."):
             spark.conf.set(key, value)

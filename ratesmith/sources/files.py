@@ -114,3 +114,32 @@ def register_csv_table(spark: SparkSession, name: str, location: str, schema: T.
 def refresh_partitions(spark: SparkSession, name: str) -> None:
     """Make partition folders added since registration visible (``MSCK REPAIR``)."""
     spark.catalog.recoverPartitions(name)
+
+
+def register_rate_tables(spark: SparkSession, currencylayer_root: str | None = None,
+                         ohlc_root: str | None = None, crypto_root: str | None = None,
+                         investing_root: str | None = None) -> list[str]:
+    """Register the rate folders that are given as catalog tables and discover their partitions.
+
+    Tables: ``currencylayer`` (headerless), ``binance_currencies`` (OHLC),
+    ``crypto_rates`` (OHLC under ``exchange=/asset=/quote=``; other folders in
+    its root are not partitions and are ignored) and ``investing_currencies``
+    (quoted, text dates).  Returns the names registered.
+    """
+    done = []
+    if currencylayer_root:
+        register_csv_table(spark, "currencylayer", currencylayer_root, CURRENCYLAYER_SCHEMA,
+                           replace=True)
+        done.append("currencylayer")
+    if ohlc_root:
+        register_csv_table(spark, "binance_currencies", ohlc_root, OHLC_SCHEMA, header=True)
+        done.append("binance_currencies")
+    if crypto_root:
+        register_csv_table(spark, "crypto_rates", crypto_root, OHLC_SCHEMA,
+                           partition_cols=("exchange",) + PAIR_PARTITIONS, header=True)
+        done.append("crypto_rates")
+    if investing_root:
+        register_csv_table(spark, "investing_currencies", investing_root, INVESTING_SCHEMA,
+                           header=True, quote='"', escape='"')
+        done.append("investing_currencies")
+    return done

@@ -133,3 +133,23 @@ def test_jdbc_properties():
     props = SK.jdbc_properties("org.postgresql.Driver", "u", "p")
     assert props["truncate"] == "true" and props["batchsize"] == "10000" and props["isolationLevel"] == "NONE"
     assert props["driver"] == "org.postgresql.Driver"
+
+
+def test_register_rate_tables_crypto_root(spark, scratch):
+    hdr = "Timestamp,High,Low,Open,Close\n"
+    put(f"{scratch}/cur/exchange=binance/asset=BTC/quote=USDT/a.csv", hdr + "2024-01-01,2,1,1,1.5\n")
+    put(f"{scratch}/cur/currencylayer/asset=USD/quote=UAH/a.csv", "2024-01-01,x,y,40.5\n")
+    put(f"{scratch}/inv/asset=USD/quote=UAH/a.csv", '"Date","Price","Open","High","Low","Vol.","Change %"\n'
+                                                    '"01/02/2024","40.1","40.0","40.5","39.9","1.2K","0.5%"\n')
+    names = SF.register_rate_tables(spark, currencylayer_root=f"{scratch}/cur/currencylayer",
+                                    ohlc_root=f"{scratch}/cur/exchange=binance",
+                                    crypto_root=f"{scratch}/cur", investing_root=f"{scratch}/inv")
+    try:
+        assert rows(spark.table("crypto_rates"), "exchange", "asset", "quote", "Close") == [
+            ("binance", "BTC", "USDT", 1.5)]
+        assert rows(spark.table("currencylayer"), "asset", "rate") == [("USD", 40.5)]
+        assert rows(spark.table("binance_currencies"), "asset", "Close") == [("BTC", 1.5)]
+        assert rows(spark.table("investing_currencies"), "Date", "Price") == [("01/02/2024", 40.1)]
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")

@@ -15,10 +15,14 @@ and per (date, asset, quote) the member with the lowest priority wins; among
 equal priorities the lowest rate, NULL first.  A NULL source rate beats any
 derived one.
 
-Plan: one scan; the four members come from one generator, and the pick is an
-aggregate ``min(struct(priority, rate))``.  The aggregate combines map-side,
-so the many identical identity rows of a busy currency collapse before the
-shuffle and no key can overload a reducer.
+Plan: one scan; the four members come from one generator, and the pick is one
+hash aggregate.  The pick is the minimum of (priority, rate) with NULL rates
+first; it is computed as fixed-width aggregates per priority level (lowest
+level present, and per level whether a NULL rate occurs and the lowest rate),
+so Spark keeps a codegen'd hash aggregate instead of falling back to sorting
+on a struct minimum.  The aggregate combines map-side, so the many identical
+identity rows of a busy currency collapse before the shuffle and no key can
+overload a reducer.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from ratesmith.functions.columns import safe_inverse
 
 CLOSURE_COLUMNS = ("date", "asset", "quote", "rate")
+PRIORITIES = (1, 2, 3)
 
 
 def closure_members(rates_df: DataFrame) -> DataFrame:
@@ -50,7 +55,15 @@ def closure_members(rates_df: DataFrame) -> DataFrame:
 
 def rate_closure(rates_df: DataFrame) -> DataFrame:
     """``date, asset, quote, rate`` with one row per (date, asset, quote)."""
-    best = (closure_members(rates_df)
-            .groupBy("date", "asset", "quote")
-            .agg(F.min(F.struct("prio", "rate")).alias("best")))
-    return best.select("date", "asset", "quote", F.col("best.rate").alias("rate"))
+    prio, rate = F.col("prio"), F.col("rate")
+    aggs = [F.min(prio).alias("best")]
+    for p in PRIORITIES:
+        aggs.append(F.bool_or((prio == p) & rate.isNull()).alias(f"null_{p}"))
+        aggs.append(F.min(F.when(prio == p, rate)).alias(f"min_{p}"))
+    picked = closure_members(rates_df).groupBy("date", "asset", "quote").agg(*aggs)
+    choice = None
+    for p in PRIORITIES:
+        level = F.when(F.col(f"null_{p}"), F.lit(None).cast("double")).otherwise(F.col(f"min_{p}"))
+        choice = (F.when(F.col("best") == p, level) if choice is None
+                  else choice.when(F.col("best") == p, level))
+    return picked.select("date", "asset", "quote", choice.alias("rate"))

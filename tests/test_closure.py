@@ -59,3 +59,23 @@ def test_plan_single_scan_single_shuffle(spark, scratch):
     plan = rate_closure(spark.read.parquet(f"{scratch}/cl"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 or plan.count("Scan parquet") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_matches_brute_force_on_random_rows(spark):
+    import random
+
+    rnd = random.Random(11)
+    cur = ["A", "B", "C", "D"]
+    data = []
+    for _ in range(400):
+        a, q = rnd.choice(cur), rnd.choice(cur)
+        r = rnd.choice([None, 0.0, float(rnd.randint(1, 9)), float(rnd.randint(1, 9))])
+        data.append((D1 if rnd.random() < 0.5 else D2, a, q, r))
+    got = {(r.date, r.asset, r.quote): r.rate for r in rate_closure(spark.createDataFrame(data, SCHEMA)).collect()}
+    members = {}
+    for d, a, q, r in data:
+        inv = None if r in (None, 0.0) else 1.0 / r
+        for key, prio, val in (((d, a, q), 1, r), ((d, a, a), 2, 1.0), ((d, q, q), 3, 1.0), ((d, q, a), 2, inv)):
+            members.setdefault(key, []).append((prio, val))
+    want = {k: min(v, key=lambda m: (m[0], m[1] is not None, m[1] or 0.0))[1] for k, v in members.items()}
+    assert got == want

@@ -176,7 +176,7 @@ def cross_rate_chain(rates_df: DataFrame,
 
 def _union_all(parts: list[DataFrame], like: DataFrame) -> DataFrame:
     if not parts:
-        return like.select(*RATE_COLUMNS).limit(0)
+        return like.select(*RATE_COLUMNS).where(F.lit(False))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

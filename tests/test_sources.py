@@ -131,8 +131,10 @@ def test_write_files_partitioned(spark, scratch):
 
 def test_jdbc_properties():
     props = SK.jdbc_properties("org.postgresql.Driver", "u", "p")
-    assert props["truncate"] == "true" and props["batchsize"] == "10000" and props["isolationLevel"] == "NONE"
+    assert props["truncate"] == "true" and props["batchsize"] == "10000"
+    assert props["isolationLevel"] == "READ_COMMITTED"  # one transaction per task: retries are safe
     assert props["driver"] == "org.postgresql.Driver"
+    assert SK.jdbc_properties("d", "u", "p", isolation_level="NONE")["isolationLevel"] == "NONE"
 
 
 def test_register_rate_tables_crypto_root(spark, scratch):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratesmith.operators import rates as R
 from ratesmith.plans import assembly
-from ratesmith.session import build_session, cut_lineage
+from ratesmith.session import build_session, cut_lineage, lineage_scope
 from ratesmith.sources import exchange_json as XJ
 from ratesmith.sources import files as SF
 from ratesmith.sources import sinks as SK
@@ -64,10 +64,11 @@ def publish_exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) ->
     The rates are written once to the checkpoint folder and both results are
     read from there, so the feed is scanned and filled once.
     """
-    rates = cut_lineage(assembly.exchange_rates(SF.read_crypto_rates(spark, crypto_root)),
-                        "exchange-rates")
-    sink(rates, EXCHANGE_RATES_TABLE)
-    sink(R.latest_rates(rates), LATEST_RATES_TABLE)
+    with lineage_scope(spark):
+        rates = cut_lineage(assembly.exchange_rates(SF.read_crypto_rates(spark, crypto_root)),
+                            "exchange-rates")
+        sink(rates, EXCHANGE_RATES_TABLE)
+        sink(R.latest_rates(rates), LATEST_RATES_TABLE)
 
 
 def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: str, sink: Sink,
@@ -75,7 +76,8 @@ def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: st
     """Rates of the listed currencies assembled from two feeds."""
     primary = SF.read_ohlc(spark, ohlc_root)
     secondary = SF.read_investing(spark, investing_root)
-    sink(assembly.market_rates(primary, secondary), table)
+    with lineage_scope(spark):
+        sink(assembly.market_rates(primary, secondary), table)
 
 
 def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str, symbols_path: str,
@@ -84,7 +86,8 @@ def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str
     binance = SF.read_trade_exports(spark, binance_glob, SF.BINANCE_TRADE_COLUMNS)
     exmo = SF.read_trade_exports(spark, exmo_glob, SF.EXMO_TRADE_COLUMNS)
     symbols = XJ.read_symbols(spark, symbols_path)
-    sink(assembly.trade_history(binance, symbols, exmo, rates), TRADE_HISTORY_TABLE)
+    with lineage_scope(spark):
+        sink(assembly.trade_history(binance, symbols, exmo, rates), TRADE_HISTORY_TABLE)
 
 
 def _sink_from_args(args) -> Sink:

@@ -9,6 +9,8 @@ to the submitter; tests and the bench pass small values.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -86,16 +88,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+_SCOPE: contextvars.ContextVar[str | None] = contextvars.ContextVar("ratesmith_scope", default=None)
+
+
+@contextlib.contextmanager
+def lineage_scope(spark: SparkSession):
+    """Folder for the lineage cuts of one job, deleted when the job is done.
+
+    Inside the ``with`` block :func:`cut_lineage` writes under this folder;
+    leaving the block removes it (the results must have been written by then:
+    DataFrames read from the folder are lazy).
+    """
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    folder = f"{root}/tables/job-{uuid.uuid4().hex}"
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     The data then lives in the shared folder, not on executors, so a lost
     executor does not send Spark back through the lineage; and later filters
     on the re-read table reach its parquet scan.  (A reliable RDD checkpoint
-    would compute ``df`` twice unless it were also cached.)
+    would compute ``df`` twice unless it were also cached.)  Inside a
+    :func:`lineage_scope` the table is removed with the scope.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    root = _SCOPE.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

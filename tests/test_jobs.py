@@ -68,3 +68,24 @@ def test_trade_history_job(spark, scratch):
     assert assembly.trade_history(ta, spark.read.parquet(f"{scratch}/rates").limit(0).select(
         F.lit("x").alias("symbol"), F.lit("x").alias("baseAsset"), F.lit("x").alias("quoteAsset")),
         tb, rates, FIXTURE_VALUATION_CURRENCIES).count() == 1255
+
+
+def test_lineage_scope_removes_its_tables(spark):
+    import os
+
+    from ratesmith.session import cut_lineage, lineage_scope
+
+    with lineage_scope(spark) as folder:
+        df = cut_lineage(spark.range(10), "probe")
+        assert df.count() == 10
+        local = folder.removeprefix("file:")
+        assert os.path.isdir(local) and os.listdir(local)
+    assert not os.path.exists(local)
+
+
+def test_command_line_closed_rates(spark, scratch):
+    fx = FX.fx(spark, SF)
+    (fx.select("date", F.col("asset").alias("ast"), F.col("quote").alias("qout"), "rate", "asset", "quote")
+     .write.partitionBy("asset", "quote").csv(f"{scratch}/cl"))
+    jobs.main(["closed-rates", "--currencylayer", f"{scratch}/cl", "--out", f"{scratch}/out"])
+    assert spark.read.parquet(f"{scratch}/out/{jobs.CLOSED_RATES_TABLE}").count() == 669

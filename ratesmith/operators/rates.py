@@ -242,3 +242,13 @@ def high_water_mark(feed: DataFrame, asset: str, quote: str, date_col: str = "Ti
     return (feed.where((F.col("asset") == F.lit(asset)) & (F.col("quote") == F.lit(quote)))
             .agg(F.coalesce(F.max(_as_date(feed, date_col, PRIMARY_DATE_FORMAT)),
                             F.lit(default).cast("date")).alias("max_date")))
+
+
+def high_water_date(feed: DataFrame, asset: str, quote: str, date_col: str = "Timestamp",
+                    default: str = HIGH_WATER_DEFAULT):
+    """:func:`high_water_mark` as a value (for a loader deciding where to resume).
+
+    The aggregate always has exactly one row, so this brings one date to the
+    driver.
+    """
+    return high_water_mark(feed, asset, quote, date_col, default).first()[0]

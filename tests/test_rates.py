@@ -106,6 +106,7 @@ def test_high_water_mark(spark):
     p = prim(spark, [("A", "B", D0, 1.0), ("A", "B", D2, 1.0), ("A", "C", dt.date(2030, 1, 1), 1.0)])
     assert R.high_water_mark(p, "A", "B").collect()[0].max_date == D2
     assert R.high_water_mark(p, "X", "Y").collect()[0].max_date == dt.date(2015, 1, 1)
+    assert R.high_water_date(p, "A", "C") == dt.date(2030, 1, 1)
 
 
 def test_close_rates_keeps_both_exchanges(spark):

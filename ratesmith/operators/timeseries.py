@@ -9,16 +9,24 @@ NULL observed rate stays NULL) and filled values never feed later days.
 With one row per (asset, quote, date) this is exactly a chain of ``limit``
 one-row lags over the dense calendar.  When a day has several rows, the
 largest non-NULL rate of the day is its donor.
+
+Both operators pre-aggregate before their one window (per pair, ordered by
+date), so the window's input for a pair is bounded by its calendar days (and
+distinct rates per day), however many rows a hot pair has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FILL_LIMIT = 3
 
 
+def _one_day() -> Column:
+    return F.expr("INTERVAL 1 DAY")
+
+
 def date_spine(rates_df: DataFrame) -> DataFrame:
     """Every day from each pair's first to last date: ``asset, quote, date``.
 
@@ -29,8 +37,7 @@ def date_spine(rates_df: DataFrame) -> DataFrame:
     bounds = rates_df.groupBy("asset", "quote").agg(F.min("date").alias("lo"),
                                                     F.max("date").alias("hi"))
     return bounds.where(F.col("lo").isNotNull()).select(
-        "asset", "quote",
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
+        "asset", "quote", F.explode(F.sequence("lo", "hi", _one_day())).alias("date"))
 
 
 def observed_days(rates_df: DataFrame) -> DataFrame:
@@ -40,41 +47,62 @@ def observed_days(rates_df: DataFrame) -> DataFrame:
     """
     return (rates_df.where(F.col("asset").isNotNull() & F.col("quote").isNotNull()
                            & F.col("date").isNotNull())
-            .groupBy("asset", "quote", "date").agg(F.max("rate").alias("donor")))
+            .groupBy("asset", "quote", "date").agg(F.max("rate").alias("rate")))
+
+
+def _with_neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Add ``next_date`` (the next row's date) and ``last_donor`` (latest non-NULL
+    (date, rate) up to this row) over one window per pair."""
+    w = Window.partitionBy("asset", "quote").orderBy(*order)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    donor = F.when(F.col("rate").isNotNull() & F.col("date").isNotNull(),
+                   F.struct(F.col("date").alias("d"), F.col("rate").alias("r")))
+    return rows.select("*", F.lead("date").over(w).alias("next_date"),
+                       F.last(donor, ignorenulls=True).over(running).alias("last_donor"))
+
+
+def _gap_rows(limit: int) -> Column:
+    """Array of ``(date, rate)`` for the absent days after this row, or NULL.
+
+    Only a pair's last row of a day has a later ``next_date``; pairs with a
+    NULL asset or quote are not filled.
+    """
+    has_gap = (F.col("asset").isNotNull() & F.col("quote").isNotNull()
+               & (F.datediff("next_date", "date") > 1))
+    days = F.sequence(F.date_add("date", 1), F.date_sub("next_date", 1), _one_day())
+
+    def fill(day: Column) -> Column:
+        reach = F.datediff(day, F.col("last_donor.d"))
+        return F.struct(day.alias("date"),
+                        F.when(reach <= F.lit(limit), F.col("last_donor.r")).cast("double").alias("rate"))
+
+    return F.when(has_gap, F.transform(days, fill))
 
 
 def gap_fill(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """Rows for the absent days of each pair: ``asset, quote, date, rate``.
 
-    One window over the observed days (``observed_days``), ordered by date,
-    gives each day its next observed date and the latest non-NULL donor so
-    far; the absent days between a day and the next are generated in the same
-    stage.  No spine join: the shuffle carries one row per observed pair-day.
+    Observed days are reduced to one row each (``observed_days``); one window
+    gives each its next observed day and the latest donor so far, and the
+    absent days are generated in the same stage.  No spine join.
     """
-    days = observed_days(rates_df)
-    w = Window.partitionBy("asset", "quote").orderBy("date")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    donor = F.when(F.col("donor").isNotNull(), F.struct(F.col("date").alias("d"),
-                                                        F.col("donor").alias("r")))
-    days = days.select(
-        "asset", "quote", "date",
-        F.lead("date").over(w).alias("next_date"),
-        F.last(donor, ignorenulls=True).over(running).alias("last_donor"))
-    gaps = days.where(F.datediff("next_date", "date") > 1).select(
-        "asset", "quote", "last_donor",
-        F.explode(F.sequence(F.date_add("date", 1), F.date_sub("next_date", 1),
-                             F.expr("INTERVAL 1 DAY"))).alias("date"))
-    reach = F.datediff("date", F.col("last_donor.d"))
-    return gaps.select("asset", "quote", "date",
-                       F.when(reach <= F.lit(limit), F.col("last_donor.r"))
-                       .cast("double").alias("rate"))
+    days = _with_neighbours(observed_days(rates_df), ["date"])
+    return days.select("asset", "quote", F.inline(_gap_rows(limit)))
 
 
 def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
-    """Distinct input rows plus the filled absent days (the exchange-rate fill).
-
-    The filled rows fall on absent days only, so they cannot repeat an input
-    row; only the input needs the distinct.
+    """Distinct input rows plus the filled absent days (union, then distinct).
+
+    One pass: the distinct is a partial aggregate; one window per pair over
+    the distinct rows, ordered by date and rate (NULL first), finds for the
+    last row of each day the next observed day and the latest donor (the
+    day's largest non-NULL rate, else an earlier day's); one generator emits
+    every distinct row followed by the absent days after it.  Filled rows fall
+    on absent days only, so they cannot repeat an input row.
     """
-    observed = rates_df.select("asset", "quote", "date", F.col("rate").cast("double")).dropDuplicates()
-    return observed.unionByName(gap_fill(rates_df, limit))
+    rows = rates_df.select("asset", "quote", "date", F.col("rate").cast("double")).dropDuplicates()
+    rows = _with_neighbours(rows, ["date", "rate"])
+    own = F.array(F.struct(F.col("date"), F.col("rate")))
+    none = F.array().cast("array<struct<date:date,rate:double>>")
+    items = F.concat(own, F.coalesce(_gap_rows(limit), none))
+    return rows.select("asset", "quote", F.inline(items))

@@ -100,3 +100,42 @@ def test_gap_fill_plan_has_one_window_and_no_join(spark, scratch):
     plan = gap_fill(spark.read.parquet(f"{scratch}/s"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Window [") == 1 or plan.count("Window ") >= 1
     assert "Join" not in plan
+
+
+def test_fill_calendar_matches_brute_force_with_duplicates_and_nulls(spark):
+    import random
+
+    rnd = random.Random(5)
+    pts = []
+    for pair in range(5):
+        for n in range(40):
+            if rnd.random() < 0.5:
+                for _ in range(rnd.choice([1, 1, 2, 3])):
+                    pts.append((f"P{pair}", "Q", d(n), None if rnd.random() < 0.2 else float(rnd.randint(1, 5))))
+    pts.append((None, "Q", d(3), 1.0))
+    pts.append(("P0", "Q", None, 2.0))
+    df = spark.createDataFrame(pts, SCHEMA)
+    got = sorted(fill_calendar(df).collect(), key=lambda r: tuple(str(x) for x in r))
+    # brute force: distinct rows + per pair, absent days take the latest day's max non-null rate within 3 days
+    distinct = set(pts)
+    want = list(distinct)
+    by_pair = {}
+    for a, q, day, rate in distinct:
+        if a is None or day is None:
+            continue
+        by_pair.setdefault((a, q), {}).setdefault(day, []).append(rate)
+    for (a, q), obs in by_pair.items():
+        lo, hi = min(obs), max(obs)
+        for i in range((hi - lo).days + 1):
+            day = lo + dt.timedelta(days=i)
+            if day in obs:
+                continue
+            fill = None
+            for k in (1, 2, 3):
+                vals = [x for x in obs.get(day - dt.timedelta(days=k), []) if x is not None]
+                if vals:
+                    fill = max(vals)
+                    break
+            want.append((a, q, day, fill))
+    want = sorted(want, key=lambda r: tuple(str(x) for x in r))
+    assert [tuple(r) for r in got] == want

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 
+from ratesmith.operators import rates as R
 from ratesmith.operators import trades as TR
 from ratesmith.operators.closure import rate_closure
 from ratesmith.plans import assembly, jobs
@@ -89,3 +90,27 @@ def test_command_line_closed_rates(spark, scratch):
      .write.partitionBy("asset", "quote").csv(f"{scratch}/cl"))
     jobs.main(["closed-rates", "--currencylayer", f"{scratch}/cl", "--out", f"{scratch}/out"])
     assert spark.read.parquet(f"{scratch}/out/{jobs.CLOSED_RATES_TABLE}").count() == 669
+
+
+def test_rate_catalog_over_registered_tables(spark, scratch):
+    from ratesmith.plans.catalog import RateCatalog
+
+    o = FX.ohlc(spark, SF)
+    (o.withColumn("exchange", F.lit("binance"))
+     .write.partitionBy("exchange", "asset", "quote").option("header", "true").csv(f"{scratch}/currency"))
+    fx = FX.fx(spark, SF)
+    (fx.select("date", F.col("asset").alias("ast"), F.col("quote").alias("qout"), "rate", "asset", "quote")
+     .write.partitionBy("asset", "quote").csv(f"{scratch}/currency/currencylayer"))
+    svc = RateCatalog(spark)
+    names = svc.register(currencylayer_root=f"{scratch}/currency/currencylayer",
+                         ohlc_root=f"{scratch}/currency/exchange=binance", crypto_root=f"{scratch}/currency")
+    try:
+        assert svc.closed_rates().count() == 669
+        assert rows(svc.exchange_rates()) == rows(assembly.exchange_rates(o))
+        assert svc.latest_rates(svc.exchange_rates()).count() == 22
+        assert rows(svc.yearly_close_stats()) == rows(R.yearly_close_stats(o))
+        assert svc.high_water_mark("BTC", "USD").count() == 1
+        svc.refresh()
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")

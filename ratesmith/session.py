@@ -31,10 +31,13 @@ SESSION_DEFAULTS = {
 
 
 # Starting points for a large cluster, applied only when the submitter left them
-# unset and the master is not local: many initial shuffle partitions that
-# adaptive execution coalesces to ~256 MiB each, and 256 MiB file splits.
+# unset and the master is not local: enough initial shuffle partitions for the
+# largest shuffle (trades keyed by day and asset when the rate lookups are too
+# big to broadcast: ~100 TB / 16000 = ~6 GiB per partition before skew
+# splitting, spilled by the sort), which adaptive execution coalesces to
+# ~256 MiB for the small rate shuffles; 256 MiB file splits.
 CLUSTER_DEFAULTS = {
-    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.shuffle.partitions": "16000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
 }

@@ -46,9 +46,9 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     Every derivation reads all rows before it, so each branch would otherwise
     recompute the reconciliation (each pushes its own pair filter into it, so
     no two branches share a subplan).  With ``materialize`` the reconciled
-    base and the derived rows are written once to the checkpoint folder; the
-    pair filters then reach those tables' scans, and a lost executor does not
-    send Spark back to the feeds.
+    base (already cut down to the listed currencies) is written once to the
+    checkpoint folder: the branches' pair filters then reach that table's
+    scan, and a lost executor does not send Spark back to the feeds.
     """
     base = R.filter_currencies(R.reconcile_feeds(primary, secondary), currencies)
     if materialize:
@@ -57,8 +57,6 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     united = united.unionByName(R.cross_rate_chain(united, chains))
     united = united.unionByName(R.inverse_rates(united, inverse_pairs))
     united = united.unionByName(R.identity_rates(united))
-    if materialize:
-        united = cut_lineage(united, "market-derived")
     return fill_calendar(united, limit)
 
 

@@ -83,8 +83,8 @@ def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: st
 def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str, symbols_path: str,
                           rates: DataFrame, sink: Sink) -> None:
     """Both exchanges' trades, valued in the reference currencies."""
-    binance = SF.read_trade_exports(spark, binance_glob, SF.BINANCE_TRADE_COLUMNS)
-    exmo = SF.read_trade_exports(spark, exmo_glob, SF.EXMO_TRADE_COLUMNS)
+    binance = SF.read_trade_exports(spark, binance_glob)
+    exmo = SF.read_trade_exports(spark, exmo_glob)
     symbols = XJ.read_symbols(spark, symbols_path)
     with lineage_scope(spark):
         sink(assembly.trade_history(binance, symbols, exmo, rates), TRADE_HISTORY_TABLE)

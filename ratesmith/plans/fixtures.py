@@ -45,11 +45,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     cores is spread round-robin so the row-wise work after it runs on every
     core.  On real data (many files and row groups) this never applies."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
     size = estimated_bytes(df) or 0
-    if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    if size < SPREAD_MIN_BYTES:
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no access to the scan's splits (e.g. a remote session): leave it
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _lookup(key: Column, mapping: dict | list) -> Column:

@@ -40,6 +40,24 @@ def date_spine(rates_df: DataFrame) -> DataFrame:
         "asset", "quote", F.explode(F.sequence("lo", "hi", _one_day())).alias("date"))
 
 
+def dense_calendar(rates_df: DataFrame) -> DataFrame:
+    """Every day of each pair's span LEFT JOIN its observed rows.
+
+    ``asset, quote, date, rate, observed``: a day with rows gives each of
+    them (``observed`` true), a day without gives one row with a NULL rate.
+    The observations are counted per (pair, day, rate) before the join and
+    expanded after it, so a (pair, day) with many rows cannot overload the
+    join (a left outer join's right side cannot be split for skew).
+    """
+    spine = date_spine(rates_df)
+    counted = (rates_df.select("asset", "quote", "date", F.col("rate").cast("double"))
+               .groupBy("asset", "quote", "date", "rate").agg(F.count(F.lit(1)).alias("n")))
+    joined = spine.join(counted, ["asset", "quote", "date"], "left").select(
+        "asset", "quote", "date", "rate", F.col("n").isNotNull().alias("observed"),
+        F.coalesce(F.col("n"), F.lit(1)).alias("n"))
+    return joined.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("n")
+
+
 def observed_days(rates_df: DataFrame) -> DataFrame:
     """One row per observed (asset, quote, date) with the day's donor rate.
 

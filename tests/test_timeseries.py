@@ -139,3 +139,12 @@ def test_fill_calendar_matches_brute_force_with_duplicates_and_nulls(spark):
             want.append((a, q, day, fill))
     want = sorted(want, key=lambda r: tuple(str(x) for x in r))
     assert [tuple(r) for r in got] == want
+
+
+def test_dense_calendar_keeps_every_row_and_marks_absent_days(spark):
+    from ratesmith.operators.timeseries import dense_calendar
+
+    df = series(spark, [(0, 1.0), (0, 1.0), (0, 2.0), (3, None)])
+    got = rows(dense_calendar(df))
+    assert got == [("A", "B", d(0), 1.0, True), ("A", "B", d(0), 1.0, True), ("A", "B", d(0), 2.0, True),
+                   ("A", "B", d(1), None, False), ("A", "B", d(2), None, False), ("A", "B", d(3), None, True)]

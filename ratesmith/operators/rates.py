@@ -74,13 +74,14 @@ def dated_prices(prices: DataFrame, date_col: str = "Date", price_col: str = "Pr
                  fmt: str = SECONDARY_DATE_FORMAT) -> DataFrame:
     """Text-dated prices with the parsed date and its year; no aggregation.
 
-    Columns: ``asset, quote, year, the_date, price, date_text, high, low``.
+    Columns (the original's names): ``asset, quote, year, the_date, Price, Date, High, Low``
+    where ``Date`` is the text and ``the_date`` the parsed date.
     """
     the_date = _as_date(prices, date_col, fmt)
     return prices.select(
         "asset", "quote", F.year(the_date).alias("year"), the_date.alias("the_date"),
-        F.col(price_col).cast("double").alias("price"), F.col(date_col).alias("date_text"),
-        F.col("High").cast("double").alias("high"), F.col("Low").cast("double").alias("low"))
+        F.col(price_col).cast("double").alias("Price"), F.col(date_col).alias("Date"),
+        F.col("High").cast("double").alias("High"), F.col("Low").cast("double").alias("Low"))
 
 
 def normalise_pair(df: DataFrame, asset: str = "asset", quote: str = "quote") -> DataFrame:

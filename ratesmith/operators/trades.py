@@ -3,7 +3,7 @@
 Both exports are header CSV with every column read as STRING.  Normalised
 form (15 columns, ``TRADE_COLUMNS``):
 
-``exchange, date, pair, side, executed, amount, price, total_asset_purchased,
+``exchange, date, Pair, side, executed, amount, price, total_asset_purchased,
 total_asset_sold, total_quote_spent, total_quote_returned, balance_asset,
 balance_quote, baseAsset, quoteAsset``
 
@@ -24,7 +24,7 @@ from ratesmith.functions.columns import parse_date, split_part, strip_to_number,
 from ratesmith.functions.joins import broadcast_if_small
 
 TRADE_COLUMNS = (
-    "exchange", "date", "pair", "side", "executed", "amount", "price",
+    "exchange", "date", "Pair", "side", "executed", "amount", "price",
     "total_asset_purchased", "total_asset_sold", "total_quote_spent", "total_quote_returned",
     "balance_asset", "balance_quote", "baseAsset", "quoteAsset",
 )
@@ -105,7 +105,7 @@ def normalise_trades(raw: DataFrame, fmt: ExchangeFormat, symbols: DataFrame | N
     t = raw.select(
         F.lit(fmt.name).alias("exchange"),
         parse_date(fmt.date_col, fmt.date_format).alias("date"),
-        c(fmt.pair_col).alias("pair"),
+        c(fmt.pair_col).alias("Pair"),
         side.alias("side"),
         is_buy.alias("_buy"),
         is_sell.alias("_sell"),
@@ -118,7 +118,7 @@ def normalise_trades(raw: DataFrame, fmt: ExchangeFormat, symbols: DataFrame | N
     zero = F.lit(0.0)
     buy, sell, ex, am = c("_buy"), c("_sell"), c("executed"), c("amount")
     return t.select(
-        "exchange", "date", "pair", "side", "executed", "amount", "price",
+        "exchange", "date", "Pair", "side", "executed", "amount", "price",
         F.when(buy, ex).otherwise(zero).alias("total_asset_purchased"),
         F.when(sell, ex).otherwise(zero).alias("total_asset_sold"),
         F.when(buy, am * F.lit(fmt.spent_sign)).otherwise(zero).alias("total_quote_spent"),

@@ -61,7 +61,7 @@ def test_valuation_is_two_left_joins(spark):
     trades = spark.createDataFrame(
         [("x", rnd.choice(days), "p", "BUY", 1.0, 2.0, 1.0, float(i), 0.0, -2.0, 0.0, float(i), -2.0,
           rnd.choice(assets), rnd.choice(["BTC", "USDT", "EUR"])) for i in range(60)],
-        ", ".join(f"{c} {'date' if c == 'date' else 'double' if c not in ('exchange', 'pair', 'side', 'baseAsset', 'quoteAsset') else 'string'}"
+        ", ".join(f"{c} {'date' if c == 'date' else 'double' if c not in ('exchange', 'Pair', 'side', 'baseAsset', 'quoteAsset') else 'string'}"
                   for c in TR.TRADE_COLUMNS))
     rate_rows = [(rnd.choice(assets), rnd.choice(["BTC", "USDT"]), rnd.choice(days), float(rnd.randint(1, 4)))
                  for _ in range(10)]

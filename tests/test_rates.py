@@ -98,7 +98,8 @@ def test_yearly_stats(spark):
 
 def test_dated_prices(spark):
     s = sec(spark, [("A", "B", "02/29/2024", 3.0), ("A", "B", "2/3/2024", 4.0)])
-    assert rows(R.dated_prices(s), "year", "the_date", "date_text") == [
+    assert R.dated_prices(s).columns == ["asset", "quote", "year", "the_date", "Price", "Date", "High", "Low"]
+    assert rows(R.dated_prices(s), "year", "the_date", "Date") == [
         (2024, dt.date(2024, 2, 29), "02/29/2024"), (None, None, "2/3/2024")]
 
 

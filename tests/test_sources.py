@@ -155,3 +155,14 @@ def test_register_rate_tables_crypto_root(spark, scratch):
     finally:
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_first_kline_of_the_original_test_gives_its_line(spark, scratch):
+    # The first kline of the original unit test and the line it must produce.
+    kline = [1592956800000, "26.66000000", "26.66000000", "5.50000000", "26.55300000", "33245.40000000",
+             1593043199999, "854986.53980000", 128, "15721.80000000", "417686.26570000", "0"]
+    expected = "2020-06-24,26.66000000,5.50000000,26.66000000,26.55300000"
+    daily = XJ.klines_daily(spark.createDataFrame([(json.dumps([kline]),)], "value string"))
+    XJ.write_klines_monthly(daily, f"{scratch}/m")
+    lines = spark.read.text(f"{scratch}/m/month=2020-06").collect()
+    assert [r.value for r in lines if not r.value.startswith("Timestamp")] == [expected]

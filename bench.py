@@ -51,9 +51,12 @@ def run_once(spark, fn) -> float:
 
 
 def main() -> None:
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # stage and task times for tools/stage_times.py
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(f"local[{CPUS}]", shuffle_partitions=max(8, 2 * CPUS),
-                          app_name="ratesmith-bench",
-                          extra={"spark.driver.memory": "16g"})
+                          app_name="ratesmith-bench", extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or list(BENCH)
     times, counts, shuffles = {}, {}, {}

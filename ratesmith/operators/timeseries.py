@@ -1,18 +1,24 @@
 """Daily calendar operators: date spine and bounded forward fill.
 
-Semantics (per pair, over the days between the pair's first and last date):
-a day with no row is *absent*; an absent day takes the rate of the latest
-observed day at most ``limit`` days before it whose rate is not NULL, else it
-is emitted with a NULL rate.  Observed days are never emitted by the fill (a
-NULL observed rate stays NULL) and filled values never feed later days.
-
-With one row per (asset, quote, date) this is exactly a chain of ``limit``
-one-row lags over the dense calendar.  When a day has several rows, the
-largest non-NULL rate of the day is its donor.
-
-Both operators pre-aggregate before their one window (per pair, ordered by
-date), so the window's input for a pair is bounded by its calendar days (and
-distinct rates per day), however many rows a hot pair has.
+Semantics, per pair over the days between its first and last date: lay out
+the *dense sequence*, every day in order, an observed day as its rows
+(ordered by rate, NULL first) and an absent day as one empty row.  An absent
+day takes the first non-NULL rate among the ``limit`` rows before it (a chain
+of one-row lags), else NULL.  Observed rows are never rewritten and filled
+values never feed later days.  Rows with a NULL date are not in the sequence.
+
+This is the original's row-counted lag chain with a fixed order inside a day
+(the original left it arbitrary).  With one row per (pair, day) the reach is
+``limit`` days; repeated rows of a day take up positions like any row.
+
+No dense sequence is built.  Rows are pre-aggregated to one per observed day
+(or per distinct rate), and one ordered pass per pair computes, for each
+observed day, the next observed day and the latest non-NULL donor, together
+with a running count of the extra rows repeated days add, from which the
+distance in rows between a donor and an absent day follows:
+``(day - donor day) + extra(last observed day) - extra(donor day)``.  The
+window's input for a pair is bounded by its calendar days (and distinct rates
+per day), however many rows a hot pair has.
 """
 
 from __future__ import annotations
@@ -59,22 +65,28 @@ def dense_calendar(rates_df: DataFrame) -> DataFrame:
 
 
 def observed_days(rates_df: DataFrame) -> DataFrame:
-    """One row per observed (asset, quote, date) with the day's donor rate.
+    """One row per observed (asset, quote, date): the day's donor (its largest
+    non-NULL rate, the last in the day's order) and its row count ``k``.
 
     A partial aggregate: repeated keys collapse before the shuffle.
     """
     return (rates_df.where(F.col("asset").isNotNull() & F.col("quote").isNotNull()
                            & F.col("date").isNotNull())
-            .groupBy("asset", "quote", "date").agg(F.max("rate").alias("rate")))
+            .groupBy("asset", "quote", "date")
+            .agg(F.max("rate").alias("rate"), F.count(F.lit(1)).alias("k")))
 
 
-def _with_neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``next_date`` (the next row's date) and ``last_donor`` (latest non-NULL
-    (date, rate) up to this row) over one window per pair."""
+def _pair_window(*order: str):
     w = Window.partitionBy("asset", "quote").orderBy(*order)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return w, w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _with_neighbours(rows: DataFrame, w, running) -> DataFrame:
+    """Add ``next_date`` (the next row's date) and ``last_donor`` (the latest
+    non-NULL (date, rate, extra) up to this row); ``rows`` carries ``extra``."""
     donor = F.when(F.col("rate").isNotNull() & F.col("date").isNotNull(),
-                   F.struct(F.col("date").alias("d"), F.col("rate").alias("r")))
+                   F.struct(F.col("date").alias("d"), F.col("rate").alias("r"),
+                            F.col("extra").alias("x")))
     return rows.select("*", F.lead("date").over(w).alias("next_date"),
                        F.last(donor, ignorenulls=True).over(running).alias("last_donor"))
 
@@ -90,7 +102,8 @@ def _gap_rows(limit: int) -> Column:
     days = F.sequence(F.date_add("date", 1), F.date_sub("next_date", 1), _one_day())
 
     def fill(day: Column) -> Column:
-        reach = F.datediff(day, F.col("last_donor.d"))
+        # rows between the donor and this day in the dense sequence
+        reach = F.datediff(day, F.col("last_donor.d")) + F.col("extra") - F.col("last_donor.x")
         return F.struct(day.alias("date"),
                         F.when(reach <= F.lit(limit), F.col("last_donor.r")).cast("double").alias("rate"))
 
@@ -100,26 +113,37 @@ def _gap_rows(limit: int) -> Column:
 def gap_fill(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """Rows for the absent days of each pair: ``asset, quote, date, rate``.
 
-    Observed days are reduced to one row each (``observed_days``); one window
-    gives each its next observed day and the latest donor so far, and the
-    absent days are generated in the same stage.  No spine join.
+    Observed days are reduced to one row each (``observed_days``); one ordered
+    pass per pair gives each its next observed day, the latest donor and the
+    running count of extra rows, and the absent days are generated in the same
+    stage.  No spine join.
     """
-    days = _with_neighbours(observed_days(rates_df), ["date"])
+    w, running = _pair_window("date")
+    days = observed_days(rates_df).withColumn("extra", F.sum(F.col("k") - 1).over(running))
+    days = _with_neighbours(days, w, running)
     return days.select("asset", "quote", F.inline(_gap_rows(limit)))
 
 
 def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """Distinct input rows plus the filled absent days (union, then distinct).
 
-    One pass: the distinct is a partial aggregate; one window per pair over
-    the distinct rows, ordered by date and rate (NULL first), finds for the
-    last row of each day the next observed day and the latest donor (the
-    day's largest non-NULL rate, else an earlier day's); one generator emits
-    every distinct row followed by the absent days after it.  Filled rows fall
-    on absent days only, so they cannot repeat an input row.
+    One pass: the distinct is a partial aggregate that also counts each
+    distinct row's copies (they take positions in the dense sequence); one
+    ordered pass per pair over the distinct rows (by date, then rate, NULL
+    first) finds for the last row of each day the next observed day, the
+    latest donor and the extra rows so far; one generator emits every distinct
+    row followed by the absent days after it.  Filled rows fall on absent days
+    only, so they cannot repeat an input row.
     """
-    rows = rates_df.select("asset", "quote", "date", F.col("rate").cast("double")).dropDuplicates()
-    rows = _with_neighbours(rows, ["date", "rate"])
+    rows = (rates_df.select("asset", "quote", "date", F.col("rate").cast("double"))
+            .groupBy("asset", "quote", "date", "rate").agg(F.count(F.lit(1)).alias("n")))
+    w, running = _pair_window("date", "rate")
+    dated = F.col("date").isNotNull()
+    new_day = dated & (F.lag("date").over(w).isNull() | (F.lag("date").over(w) != F.col("date")))
+    rows = rows.select("*", F.sum(F.when(dated, F.col("n")).otherwise(0)).over(running).alias("_rows"),
+                       new_day.alias("_new_day"))
+    rows = rows.withColumn("extra", F.col("_rows") - F.sum(F.col("_new_day").cast("long")).over(running))
+    rows = _with_neighbours(rows, w, running)
     own = F.array(F.struct(F.col("date"), F.col("rate")))
     none = F.array().cast("array<struct<date:date,rate:double>>")
     items = F.concat(own, F.coalesce(_gap_rows(limit), none))

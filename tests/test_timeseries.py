@@ -102,43 +102,75 @@ def test_gap_fill_plan_has_one_window_and_no_join(spark, scratch):
     assert "Join" not in plan
 
 
-def test_fill_calendar_matches_brute_force_with_duplicates_and_nulls(spark):
-    import random
-
-    rnd = random.Random(5)
-    pts = []
-    for pair in range(5):
-        for n in range(40):
-            if rnd.random() < 0.5:
-                for _ in range(rnd.choice([1, 1, 2, 3])):
-                    pts.append((f"P{pair}", "Q", d(n), None if rnd.random() < 0.2 else float(rnd.randint(1, 5))))
-    pts.append((None, "Q", d(3), 1.0))
-    pts.append(("P0", "Q", None, 2.0))
-    df = spark.createDataFrame(pts, SCHEMA)
-    got = sorted(fill_calendar(df).collect(), key=lambda r: tuple(str(x) for x in r))
-    # brute force: distinct rows + per pair, absent days take the latest day's max non-null rate within 3 days
-    distinct = set(pts)
-    want = list(distinct)
+def lag_chain_fill(points, limit=3):
+    """Brute force of the original fill: per pair, the dense sequence of days, an observed day as
+    its rows ordered by rate (NULL first), an absent day as one empty row; an absent day takes the
+    first non-NULL rate among the ``limit`` rows before it."""
     by_pair = {}
-    for a, q, day, rate in distinct:
-        if a is None or day is None:
+    for a, q, day, rate in points:
+        if a is None or q is None or day is None:
             continue
         by_pair.setdefault((a, q), {}).setdefault(day, []).append(rate)
+    out = []
     for (a, q), obs in by_pair.items():
         lo, hi = min(obs), max(obs)
+        seq = []  # (day, rate, observed)
         for i in range((hi - lo).days + 1):
             day = lo + dt.timedelta(days=i)
             if day in obs:
+                seq += [(day, r, True) for r in sorted(obs[day], key=lambda x: (x is not None, x or 0.0))]
+            else:
+                seq.append((day, None, False))
+        for i, (day, _, observed) in enumerate(seq):
+            if observed:
                 continue
-            fill = None
-            for k in (1, 2, 3):
-                vals = [x for x in obs.get(day - dt.timedelta(days=k), []) if x is not None]
-                if vals:
-                    fill = max(vals)
-                    break
-            want.append((a, q, day, fill))
-    want = sorted(want, key=lambda r: tuple(str(x) for x in r))
-    assert [tuple(r) for r in got] == want
+            lags = [seq[i - k][1] if i - k >= 0 else None for k in range(1, limit + 1)]
+            out.append((a, q, day, next((x for x in lags if x is not None), None)))
+    return out
+
+
+def _random_points(seed, pairs=5, days=40):
+    import random
+
+    rnd = random.Random(seed)
+    pts = []
+    for pair in range(pairs):
+        for n in range(days):
+            if rnd.random() < 0.5:
+                for _ in range(rnd.choice([1, 1, 2, 3, 4])):
+                    pts.append((f"P{pair}", "Q", d(n), None if rnd.random() < 0.35 else float(rnd.randint(1, 5))))
+    return pts
+
+
+def _sorted(rows_):
+    return sorted((tuple(r) for r in rows_), key=lambda r: tuple(str(x) for x in r))
+
+
+def test_gap_fill_counts_rows_like_the_lag_chain(spark):
+    for seed in (1, 2, 3):
+        pts = _random_points(seed)
+        got = _sorted(gap_fill(spark.createDataFrame(pts, SCHEMA)).collect())
+        assert got == _sorted(lag_chain_fill(pts)), seed
+
+
+def test_null_duplicates_use_up_the_reach(spark):
+    # day 0 has a rate; day 1 has three NULL rows: the absent day 2 sees only those three rows
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (1, None), (1, None), (1, None),
+                                                           (3, 1.0)])).collect()}
+    assert out == {d(2): None}
+    out = {r.date: r.rate for r in gap_fill(series(spark, [(0, 5.0), (1, None), (1, None), (3, 1.0)])).collect()}
+    assert out == {d(2): 5.0}
+
+
+def test_fill_calendar_matches_brute_force_with_duplicates_and_nulls(spark):
+    for seed in (5, 6):
+        pts = _random_points(seed)
+        pts.append((None, "Q", d(3), 1.0))
+        pts.append(("P0", "Q", None, 2.0))
+        pts.append(("P0", "Q", None, 2.0))
+        got = _sorted(fill_calendar(spark.createDataFrame(pts, SCHEMA)).collect())
+        want = _sorted(list(set(pts)) + lag_chain_fill(pts))
+        assert got == want, seed
 
 
 def test_dense_calendar_keeps_every_row_and_marks_absent_days(spark):

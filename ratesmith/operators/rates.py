@@ -99,7 +99,8 @@ def filter_currencies(df: DataFrame, currencies: Iterable[str] = MARKET_CURRENCI
 def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
                     primary_date: str = "Timestamp", primary_rate: str = "Close",
                     secondary_date: str = "Date", secondary_rate: str = "Price",
-                    secondary_fmt: str = SECONDARY_DATE_FORMAT) -> DataFrame:
+                    secondary_fmt: str = SECONDARY_DATE_FORMAT,
+                    currencies: Iterable[str] | None = None) -> DataFrame:
     """FULL OUTER join of two daily feeds on (asset, quote, date).
 
     The primary side's pair is stablecoin-normalised, the secondary's is
@@ -108,11 +109,22 @@ def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
     the row-level join: a key with ``m`` primary and ``n`` secondary rows gives
     ``m * n`` rows; rows with a NULL key never match.
 
+    With ``currencies`` only keys with a listed asset or quote are kept.  The
+    filter is applied to each feed before the join: rows that match share
+    their key, so they pass or fail together and the result equals filtering
+    the joined rows, but a filter on a FULL OUTER join's output cannot reach
+    the scans, while this one prunes the feeds' ``asset=/quote=`` folders.
+
     Plan: each side is first counted per (key, value), which collapses repeated
     keys map-side, so the join shuffles at most one row per distinct value and a
     hot key cannot pile up in one join task; the counts are expanded after the
     join.
     """
+    if currencies is not None:
+        listed = list(currencies)
+        primary = primary.where(normalise_stablecoin("asset").isin(listed)
+                                | normalise_stablecoin("quote").isin(listed))
+        secondary = secondary.where(either_side_in(listed))
     left = (primary.select(normalise_stablecoin("asset").alias("asset"),
                            normalise_stablecoin("quote").alias("quote"),
                            _as_date(primary, primary_date, PRIMARY_DATE_FORMAT).alias("date"),

@@ -50,7 +50,8 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     checkpoint folder: the branches' pair filters then reach that table's
     scan, and a lost executor does not send Spark back to the feeds.
     """
-    base = R.filter_currencies(R.reconcile_feeds(primary, secondary), currencies)
+    listed = list(currencies)
+    base = R.reconcile_feeds(primary, secondary, currencies=listed)
     if materialize:
         base = cut_lineage(base, "market-base")
     united = base.unionByName(R.cross_rate_common_base(base, common_base))

@@ -93,3 +93,17 @@ def test_latest_rates_against_brute_force(spark):
             latest[(a, q)] = max(latest.get((a, q), d), d)
     want = Counter(r for r in rows if None not in (r[0], r[1], r[2]) and latest.get((r[0], r[1])) == r[2])
     assert got == want
+
+
+def test_currency_filter_before_reconciliation_equals_filter_after(spark):
+    rnd = random.Random(8)
+    days = [dt.date(2024, 1, d) for d in (1, 2)] + [None]
+    cur = ["BTC", "USDT", "USD", "EUR", "UAH", None]
+    prim = [(rnd.choice(days), rnd.choice([None, 1.0, 2.0]), rnd.choice(cur), rnd.choice(cur)) for _ in range(150)]
+    sec = [(rnd.choice(["01/01/2024", "01/02/2024", "bad"]), rnd.choice([None, 5.0]), rnd.choice(cur),
+            rnd.choice(cur)) for _ in range(150)]
+    p, s = spark.createDataFrame(prim, PRIMARY), spark.createDataFrame(sec, SECONDARY)
+    listed = ["USD", "UAH"]
+    before = Counter(tuple(r) for r in R.reconcile_feeds(p, s, currencies=listed).collect())
+    after = Counter(tuple(r) for r in R.filter_currencies(R.reconcile_feeds(p, s), listed).collect())
+    assert before == after and sum(before.values()) > 0

@@ -11,6 +11,7 @@ from ratesmith.plans import fixtures as FX
 from ratesmith.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
+SF_DIR = SF
 
 
 def plan_of(df):
@@ -60,3 +61,16 @@ def test_no_python_anywhere(spark):
     for name in ("rate_closure", "gap_fill", "trades_union", "klines_daily", "symbols_from_json"):
         plan = plan_of(QUERIES[name](spark, SF))
         assert "Python" not in plan and "ArrowEval" not in plan, name
+
+
+def test_market_currency_filter_prunes_feed_folders(spark, scratch):
+    from ratesmith.sources import files as SF
+
+    o = FX.ohlc(spark, SF_DIR)
+    o.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/ohlc")
+    i = FX.investing(spark, SF_DIR)
+    i.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/inv")
+    df = R.reconcile_feeds(SF.read_ohlc(spark, f"{scratch}/ohlc"), SF.read_investing(spark, f"{scratch}/inv"),
+                           currencies=["UAH"])
+    pruned = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan_of(df))
+    assert len(pruned) == 2 and all("UAH" in p for p in pruned)

@@ -21,6 +21,9 @@ JDBC_WRITE_OPTIONS = {
     "batchsize": "10000",
 }
 DEFAULT_ISOLATION = "READ_COMMITTED"
+# Concurrent connections of one overwrite: a large cluster would otherwise open
+# one per partition (thousands) against a single database.
+DEFAULT_JDBC_CONNECTIONS = 32
 
 
 def jdbc_properties(driver: str, user: str, password: str,
@@ -32,10 +35,11 @@ def jdbc_properties(driver: str, user: str, password: str,
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
-               num_partitions: int | None = None) -> None:
+               num_partitions: int | None = DEFAULT_JDBC_CONNECTIONS) -> None:
     """Replace the rows of ``table`` with ``df`` (the table itself is kept).
 
-    ``num_partitions`` caps concurrent connections; Spark coalesces to it.
+    ``num_partitions`` caps concurrent connections (Spark coalesces to it when
+    the result has more partitions); ``None`` writes from every partition.
     """
     props = dict(properties)
     if num_partitions:

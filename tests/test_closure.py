@@ -1,6 +1,5 @@
 import datetime as dt
 
-from conftest import rows
 
 from ratesmith.operators.closure import rate_closure
 

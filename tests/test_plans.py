@@ -3,10 +3,8 @@
 import datetime as dt
 import re
 
-from pyspark.sql import functions as F
 
 from ratesmith.operators import rates as R
-from ratesmith.operators import trades as TR
 from ratesmith.plans import fixtures as FX
 from ratesmith.plans.queries import QUERIES
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-
 from ratesmith.operators.closure import rate_closure
 
 D1 = dt.date(2024, 1, 1)

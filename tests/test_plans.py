@@ -3,7 +3,6 @@
 import datetime as dt
 import re
 
-
 from ratesmith.operators import rates as R
 from ratesmith.plans import fixtures as FX
 from ratesmith.plans.queries import QUERIES

@@ -94,20 +94,54 @@ def filter_currencies(df: DataFrame, currencies: Iterable[str] = MARKET_CURRENCI
     return df.where(either_side_in(currencies))
 
 
+# ------------------------------------------------------------ multiplicities
+# The original's joins and unions keep every copy of a row (a bag).  Where a
+# result is only used through a distinct, or through per-day row counts, the
+# copies are carried as a weight column instead of as rows: joins then pair
+# distinct values (multiplying weights) rather than emitting every pair of
+# copies within a key, and nothing is expanded.
+
+WEIGHT = "_w"
+
+
+def with_weight(rates_df: DataFrame) -> DataFrame:
+    """A rates frame with a multiplicity column (1 per row when it has none)."""
+    if WEIGHT in rates_df.columns:
+        return rates_df
+    return rates_df.withColumn(WEIGHT, F.lit(1).cast("long"))
+
+
+def expand_counts(df: DataFrame, *count_cols: str) -> DataFrame:
+    """Repeat each row ``product(count_cols)`` times (one generator per count,
+    so no array is longer than one factor)."""
+    for c in count_cols:
+        df = df.withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c).cast("int"))))
+    return df.drop(*count_cols)
+
+
+def _finish(df: DataFrame, factors: tuple[str, str], weights: bool) -> DataFrame:
+    """Rows with two multiplicity factors -> a weighted frame or the bag of rows."""
+    a, b = factors
+    if weights:
+        return df.select(*RATE_COLUMNS, (F.col(a) * F.col(b)).cast("long").alias(WEIGHT))
+    return expand_counts(df, a, b).select(*RATE_COLUMNS)
+
+
 # ---------------------------------------------------------------------- joins
 
 def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
                     primary_date: str = "Timestamp", primary_rate: str = "Close",
                     secondary_date: str = "Date", secondary_rate: str = "Price",
                     secondary_fmt: str = SECONDARY_DATE_FORMAT,
-                    currencies: Iterable[str] | None = None) -> DataFrame:
+                    currencies: Iterable[str] | None = None, weights: bool = False) -> DataFrame:
     """FULL OUTER join of two daily feeds on (asset, quote, date).
 
     The primary side's pair is stablecoin-normalised, the secondary's is
     used as is; the secondary's dates are text in ``secondary_fmt``.  The rate
     is the primary close, else the secondary price.  Output is the exact bag of
     the row-level join: a key with ``m`` primary and ``n`` secondary rows gives
-    ``m * n`` rows; rows with a NULL key never match.
+    ``m * n`` rows; rows with a NULL key never match.  With ``weights`` the
+    bag comes as distinct-value rows with their multiplicity in ``WEIGHT``.
 
     With ``currencies`` only keys with a listed asset or quote are kept.  The
     filter is applied to each feed before the join: rows that match share
@@ -117,8 +151,8 @@ def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
 
     Plan: each side is first counted per (key, value), which collapses repeated
     keys map-side, so the join shuffles at most one row per distinct value and a
-    hot key cannot pile up in one join task; the counts are expanded after the
-    join.
+    hot key cannot pile up in one join task; the counts are multiplied, or
+    expanded, after the join.
     """
     if currencies is not None:
         listed = list(currencies)
@@ -144,56 +178,56 @@ def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
         F.coalesce(F.col("l.value"), F.col("r.value")).alias("rate"),
         F.coalesce(F.col("l.n"), F.lit(1)).alias("nl"),
         F.coalesce(F.col("r.n"), F.lit(1)).alias("nr"))
-    return expand_counts(joined, "nl", "nr").select(*RATE_COLUMNS)
+    return _finish(joined, ("nl", "nr"), weights)
 
 
-def expand_counts(df: DataFrame, *count_cols: str) -> DataFrame:
-    """Repeat each row ``product(count_cols)`` times (one generator per count)."""
-    for c in count_cols:
-        df = df.withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c).cast("int"))))
-    return df.drop(*count_cols)
-
+def _pair_side(rates_w: DataFrame, pair: tuple[str, str], side: str) -> DataFrame:
+    """One pair's series as distinct (date, rate) with summed multiplicity."""
+    return (rates_w.where(pair_in([pair]))
+            .groupBy("date", F.col("rate").cast("double").alias(f"{side}_rate"))
+            .agg(F.sum(WEIGHT).alias(f"{side}_w")))
 
-def cross_rate_common_base(rates_df: DataFrame,
-                           triplets: Sequence[tuple[str, str, str]] = COMMON_BASE_TRIPLETS) -> DataFrame:
-    """For (X, Y, B): ``X/Y = rate(B/Y) / rate(B/X)`` on each date both exist.
 
-    Each side is a single pair, selected by a filter that reaches the scan.
-    """
-    parts = []
-    for new_asset, new_quote, base in triplets:
-        src = rates_df.where(pair_in([(base, new_asset)])).select(
-            "date", F.col("rate").alias("src_rate"))
-        trg = rates_df.where(pair_in([(base, new_quote)])).select(
-            "date", F.col("rate").alias("trg_rate"))
-        parts.append(src.join(trg, "date").select(
-            F.lit(new_asset).alias("asset"), F.lit(new_quote).alias("quote"), "date",
-            safe_ratio("trg_rate", "src_rate").alias("rate")))
-    return _union_all(parts, rates_df)
-
-
-def cross_rate_chain(rates_df: DataFrame,
-                     triplets: Sequence[tuple[str, str, str]] = CHAIN_TRIPLETS) -> DataFrame:
-    """For (X, Y, M): ``X/Y = rate(X/M) * rate(M/Y)`` on each date both exist."""
+def _cross(rates_df: DataFrame, specs, combine, weights: bool) -> DataFrame:
+    """For each (asset, quote, src pair, trg pair): join the two series on date."""
+    rates_w = with_weight(rates_df)
     parts = []
-    for asset, quote, middle in triplets:
-        src = rates_df.where(pair_in([(asset, middle)])).select(
-            "date", F.col("rate").alias("src_rate"))
-        trg = rates_df.where(pair_in([(middle, quote)])).select(
-            "date", F.col("rate").alias("trg_rate"))
+    for asset, quote, src_pair, trg_pair in specs:
+        src = _pair_side(rates_w, src_pair, "src")
+        trg = _pair_side(rates_w, trg_pair, "trg")
         parts.append(src.join(trg, "date").select(
             F.lit(asset).alias("asset"), F.lit(quote).alias("quote"), "date",
-            (F.col("trg_rate").cast("double") * F.col("src_rate").cast("double")).alias("rate")))
-    return _union_all(parts, rates_df)
-
-
-def _union_all(parts: list[DataFrame], like: DataFrame) -> DataFrame:
+            combine(F.col("trg_rate"), F.col("src_rate")).alias("rate"), "src_w", "trg_w"))
     if not parts:
-        return like.select(*RATE_COLUMNS).where(F.lit(False))
+        empty = rates_w.select(*RATE_COLUMNS).where(F.lit(False))
+        return with_weight(empty) if weights else empty
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return _finish(out, ("src_w", "trg_w"), weights)
+
+
+def cross_rate_common_base(rates_df: DataFrame,
+                           triplets: Sequence[tuple[str, str, str]] = COMMON_BASE_TRIPLETS,
+                           weights: bool = False) -> DataFrame:
+    """For (X, Y, B): ``X/Y = rate(B/Y) / rate(B/X)`` on each date both exist.
+
+    Each side is a single pair, selected by a filter that reaches the scan and
+    reduced to its distinct rates per date before the join (copies become
+    weights), so a date with many rows joins distinct values, not every pair of
+    rows.  The result is the bag of the row-level join (or, with ``weights``,
+    its distinct rows with their multiplicity).
+    """
+    specs = [(x, y, (b, x), (b, y)) for x, y, b in triplets]
+    return _cross(rates_df, specs, safe_ratio, weights)
+
+
+def cross_rate_chain(rates_df: DataFrame,
+                     triplets: Sequence[tuple[str, str, str]] = CHAIN_TRIPLETS,
+                     weights: bool = False) -> DataFrame:
+    """For (X, Y, M): ``X/Y = rate(X/M) * rate(M/Y)`` on each date both exist (as above)."""
+    specs = [(x, y, (x, m), (m, y)) for x, y, m in triplets]
+    return _cross(rates_df, specs, lambda trg, src: trg * src, weights)
 
 
 def latest_rates(rates_df: DataFrame) -> DataFrame:
@@ -211,10 +245,14 @@ def latest_rates(rates_df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- derived rates
 
 def inverse_rates(rates_df: DataFrame, pairs: Sequence[tuple[str, str]] = INVERSE_PAIRS) -> DataFrame:
-    """``(quote, asset, date, 1/rate)`` for rows whose pair is listed; NULL for a zero rate."""
+    """``(quote, asset, date, 1/rate)`` for rows whose pair is listed; NULL for a zero rate.
+
+    A multiplicity column, if present, is kept.
+    """
+    extra = [WEIGHT] if WEIGHT in rates_df.columns else []
     return rates_df.where(pair_in(pairs)).select(
         F.col("quote").alias("asset"), F.col("asset").alias("quote"), "date",
-        safe_inverse("rate").alias("rate"))
+        safe_inverse("rate").alias("rate"), *extra)
 
 
 def identity_rates(rates_df: DataFrame) -> DataFrame:

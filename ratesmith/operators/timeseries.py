@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratesmith.operators.rates import WEIGHT
+
 FILL_LIMIT = 3
 
 
@@ -128,15 +130,18 @@ def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """Distinct input rows plus the filled absent days (union, then distinct).
 
     One pass: the distinct is a partial aggregate that also counts each
-    distinct row's copies (they take positions in the dense sequence); one
+    distinct row's copies (they take positions in the dense sequence; a
+    multiplicity column ``WEIGHT``, if present, counts as that many copies); one
     ordered pass per pair over the distinct rows (by date, then rate, NULL
     first) finds for the last row of each day the next observed day, the
     latest donor and the extra rows so far; one generator emits every distinct
     row followed by the absent days after it.  Filled rows fall on absent days
     only, so they cannot repeat an input row.
     """
-    rows = (rates_df.select("asset", "quote", "date", F.col("rate").cast("double"))
-            .groupBy("asset", "quote", "date", "rate").agg(F.count(F.lit(1)).alias("n")))
+    copies = F.sum(WEIGHT) if WEIGHT in rates_df.columns else F.count(F.lit(1))
+    rows = (rates_df.select("asset", "quote", "date", F.col("rate").cast("double"),
+                            *([WEIGHT] if WEIGHT in rates_df.columns else []))
+            .groupBy("asset", "quote", "date", "rate").agg(copies.alias("n")))
     w, running = _pair_window("date", "rate")
     dated = F.col("date").isNotNull()
     new_day = dated & (F.lag("date").over(w).isNull() | (F.lag("date").over(w) != F.col("date")))

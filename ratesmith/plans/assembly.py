@@ -43,6 +43,11 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     of the listed pairs (read all so far) -> identities -> calendar fill ->
     distinct.  No priority between a direct and a derived rate of one key.
 
+    The original keeps every copy of a row through these steps; here copies are
+    carried as a multiplicity column (``rates.WEIGHT``), which the distinct
+    drops and the row-counted fill counts, so no step emits every pair of
+    copies within a key.
+
     Every derivation reads all rows before it, so each branch would otherwise
     recompute the reconciliation (each pushes its own pair filter into it, so
     no two branches share a subplan).  With ``materialize`` the reconciled
@@ -51,13 +56,13 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     scan, and a lost executor does not send Spark back to the feeds.
     """
     listed = list(currencies)
-    base = R.reconcile_feeds(primary, secondary, currencies=listed)
+    base = R.reconcile_feeds(primary, secondary, currencies=listed, weights=True)
     if materialize:
         base = cut_lineage(base, "market-base")
-    united = base.unionByName(R.cross_rate_common_base(base, common_base))
-    united = united.unionByName(R.cross_rate_chain(united, chains))
+    united = base.unionByName(R.cross_rate_common_base(base, common_base, weights=True))
+    united = united.unionByName(R.cross_rate_chain(united, chains, weights=True))
     united = united.unionByName(R.inverse_rates(united, inverse_pairs))
-    united = united.unionByName(R.identity_rates(united))
+    united = united.unionByName(R.with_weight(R.identity_rates(united.drop(R.WEIGHT))))
     return fill_calendar(united, limit)
 
 

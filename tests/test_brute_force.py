@@ -107,3 +107,32 @@ def test_currency_filter_before_reconciliation_equals_filter_after(spark):
     before = Counter(tuple(r) for r in R.reconcile_feeds(p, s, currencies=listed).collect())
     after = Counter(tuple(r) for r in R.filter_currencies(R.reconcile_feeds(p, s), listed).collect())
     assert before == after and sum(before.values()) > 0
+
+
+def test_weighted_market_rates_equal_the_bag_composition(spark):
+    from ratesmith.operators.timeseries import fill_calendar
+    from ratesmith.plans import assembly
+
+    rnd = random.Random(12)
+    days = [dt.date(2024, 1, d) for d in range(1, 12)]
+    pairs = [("USD", "UAH"), ("USD", "CZK"), ("USDT", "UAH"), ("SOL", "USD"), ("BTC", "USDT"), ("EUR", "UAH")]
+    prim = []
+    for _ in range(220):
+        a, q = rnd.choice(pairs)
+        prim.append((rnd.choice(days), rnd.choice([None, 1.0, 2.0, 4.0]), a, q))
+    sec = []
+    for _ in range(160):
+        a, q = rnd.choice([("USD", "UAH"), ("USD", "CZK"), ("BTC", "USD"), ("EUR", "UAH")])
+        sec.append((rnd.choice(days).strftime("%m/%d/%Y"), rnd.choice([None, 3.0, 5.0]), a, q))
+    p, s = spark.createDataFrame(prim, PRIMARY), spark.createDataFrame(sec, SECONDARY)
+
+    # the composition over materialized bags, as the original runs it
+    base = R.filter_currencies(R.reconcile_feeds(p, s), R.MARKET_CURRENCIES)
+    u = base.unionByName(R.cross_rate_common_base(base))
+    u = u.unionByName(R.cross_rate_chain(u))
+    u = u.unionByName(R.inverse_rates(u))
+    u = u.unionByName(R.identity_rates(u))
+    want = Counter(tuple(r) for r in fill_calendar(u).collect())
+
+    got = Counter(tuple(r) for r in assembly.market_rates(p, s, materialize=False).collect())
+    assert got == want and len(want) > 50

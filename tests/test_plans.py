@@ -71,3 +71,12 @@ def test_market_currency_filter_prunes_feed_folders(spark, scratch):
                            currencies=["UAH"])
     pruned = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan_of(df))
     assert len(pruned) == 2 and all("UAH" in p for p in pruned)
+
+
+def test_market_rates_never_expand_copies(spark):
+    from ratesmith.plans import assembly
+
+    df = assembly.market_rates(FX.ohlc(spark, SF), FX.investing(spark, SF), materialize=False)
+    plan = plan_of(df)
+    assert "sequence(1," not in plan.replace(" ", "")   # copies stay weights; only calendar days are generated
+    assert "FullOuter" in plan

@@ -181,30 +181,32 @@ def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
     return _finish(joined, ("nl", "nr"), weights)
 
 
-def _pair_side(rates_w: DataFrame, pair: tuple[str, str], side: str) -> DataFrame:
-    """One pair's series as distinct (date, rate) with summed multiplicity."""
-    return (rates_w.where(pair_in([pair]))
-            .groupBy("date", F.col("rate").cast("double").alias(f"{side}_rate"))
-            .agg(F.sum(WEIGHT).alias(f"{side}_w")))
-
-
 def _cross(rates_df: DataFrame, specs, combine, weights: bool) -> DataFrame:
-    """For each (asset, quote, src pair, trg pair): join the two series on date."""
-    rates_w = with_weight(rates_df)
+    """For each (asset, quote, src pair, trg pair): join the two pairs' rows on date.
+
+    Weighted rows pair as they are (copies are already weights; the weights
+    multiply); plain rows give the bag of the row-level join.
+    """
+    if weights:
+        rates_df = with_weight(rates_df)
+    extra = lambda side: [F.col(WEIGHT).alias(f"{side}_w")] if weights else []
     parts = []
     for asset, quote, src_pair, trg_pair in specs:
-        src = _pair_side(rates_w, src_pair, "src")
-        trg = _pair_side(rates_w, trg_pair, "trg")
+        src = rates_df.where(pair_in([src_pair])).select(
+            "date", F.col("rate").cast("double").alias("src_rate"), *extra("src"))
+        trg = rates_df.where(pair_in([trg_pair])).select(
+            "date", F.col("rate").cast("double").alias("trg_rate"), *extra("trg"))
+        w = [(F.col("src_w") * F.col("trg_w")).alias(WEIGHT)] if weights else []
         parts.append(src.join(trg, "date").select(
             F.lit(asset).alias("asset"), F.lit(quote).alias("quote"), "date",
-            combine(F.col("trg_rate"), F.col("src_rate")).alias("rate"), "src_w", "trg_w"))
+            combine(F.col("trg_rate"), F.col("src_rate")).alias("rate"), *w))
     if not parts:
-        empty = rates_w.select(*RATE_COLUMNS).where(F.lit(False))
+        empty = rates_df.select(*RATE_COLUMNS).where(F.lit(False))
         return with_weight(empty) if weights else empty
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _finish(out, ("src_w", "trg_w"), weights)
+    return out
 
 
 def cross_rate_common_base(rates_df: DataFrame,
@@ -212,11 +214,10 @@ def cross_rate_common_base(rates_df: DataFrame,
                            weights: bool = False) -> DataFrame:
     """For (X, Y, B): ``X/Y = rate(B/Y) / rate(B/X)`` on each date both exist.
 
-    Each side is a single pair, selected by a filter that reaches the scan and
-    reduced to its distinct rates per date before the join (copies become
-    weights), so a date with many rows joins distinct values, not every pair of
-    rows.  The result is the bag of the row-level join (or, with ``weights``,
-    its distinct rows with their multiplicity).
+    Each side is a single pair, selected by a filter that reaches the scan.
+    The result is the bag of the row-level join; with ``weights`` the input's
+    copies are a multiplicity column and the joined rows carry the product, so
+    repeated rows are never paired copy by copy.
     """
     specs = [(x, y, (b, x), (b, y)) for x, y, b in triplets]
     return _cross(rates_df, specs, safe_ratio, weights)

@@ -112,6 +112,17 @@ def _gap_rows(limit: int) -> Column:
     return F.when(has_gap, F.transform(days, fill))
 
 
+def _day_summary_gaps(days: DataFrame, limit: int) -> DataFrame:
+    """Gap rows from one row per (pair, day) with the day's donor ``rate`` and row count ``k``.
+
+    Days with a NULL date (and pairs with a NULL currency) take no part.
+    """
+    w, running = _pair_window("date")
+    extra = F.sum(F.when(F.col("date").isNotNull(), F.col("k") - 1).otherwise(0)).over(running)
+    days = _with_neighbours(days.withColumn("extra", extra), w, running)
+    return days.select("asset", "quote", F.inline(_gap_rows(limit)))
+
+
 def gap_fill(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """Rows for the absent days of each pair: ``asset, quote, date, rate``.
 
@@ -120,36 +131,29 @@ def gap_fill(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     running count of extra rows, and the absent days are generated in the same
     stage.  No spine join.
     """
-    w, running = _pair_window("date")
-    days = observed_days(rates_df).withColumn("extra", F.sum(F.col("k") - 1).over(running))
-    days = _with_neighbours(days, w, running)
-    return days.select("asset", "quote", F.inline(_gap_rows(limit)))
+    return _day_summary_gaps(observed_days(rates_df), limit)
 
 
 def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """Distinct input rows plus the filled absent days (union, then distinct).
 
-    One pass: the distinct is a partial aggregate that also counts each
-    distinct row's copies (they take positions in the dense sequence; a
-    multiplicity column ``WEIGHT``, if present, counts as that many copies); one
-    ordered pass per pair over the distinct rows (by date, then rate, NULL
-    first) finds for the last row of each day the next observed day, the
-    latest donor and the extra rows so far; one generator emits every distinct
-    row followed by the absent days after it.  Filled rows fall on absent days
-    only, so they cannot repeat an input row.
+    The distinct is a partial aggregate that also counts each distinct row's
+    copies (a multiplicity column ``WEIGHT``, if present, counts as that many
+    copies).  Its result is the first half of the output, and, summed per
+    (pair, day) into the day's donor and row count, the input of the fill's
+    ordered pass.  Both halves read the same shuffle (exchange reuse), and the
+    fill's window sees one row per pair-day, however many distinct rates a day
+    has.  Filled rows fall on absent days only, so they cannot repeat an input
+    row.
     """
-    copies = F.sum(WEIGHT) if WEIGHT in rates_df.columns else F.count(F.lit(1))
-    rows = (rates_df.select("asset", "quote", "date", F.col("rate").cast("double"),
-                            *([WEIGHT] if WEIGHT in rates_df.columns else []))
-            .groupBy("asset", "quote", "date", "rate").agg(copies.alias("n")))
-    w, running = _pair_window("date", "rate")
-    dated = F.col("date").isNotNull()
-    new_day = dated & (F.lag("date").over(w).isNull() | (F.lag("date").over(w) != F.col("date")))
-    rows = rows.select("*", F.sum(F.when(dated, F.col("n")).otherwise(0)).over(running).alias("_rows"),
-                       new_day.alias("_new_day"))
-    rows = rows.withColumn("extra", F.col("_rows") - F.sum(F.col("_new_day").cast("long")).over(running))
-    rows = _with_neighbours(rows, w, running)
-    own = F.array(F.struct(F.col("date"), F.col("rate")))
-    none = F.array().cast("array<struct<date:date,rate:double>>")
-    items = F.concat(own, F.coalesce(_gap_rows(limit), none))
-    return rows.select("asset", "quote", F.inline(items))
+    weighted = WEIGHT in rates_df.columns
+    copies = F.sum(WEIGHT) if weighted else F.count(F.lit(1))
+    if rates_df.schema["rate"].dataType.typeName() != "double":
+        rates_df = rates_df.withColumn("rate", F.col("rate").cast("double"))
+    rows = rates_df.groupBy("asset", "quote", "date", "rate").agg(copies.alias("n"))
+    days = rows.groupBy("asset", "quote", "date").agg(F.max("rate").alias("rate"),
+                                                      F.sum("n").alias("k"))
+    # ``n > 0`` always holds; it keeps the count in this half, so both halves
+    # are the same aggregate and Spark computes (and shuffles) it once.
+    distinct = rows.where(F.col("n") > 0).select("asset", "quote", "date", "rate")
+    return distinct.unionByName(_day_summary_gaps(days, limit))

@@ -80,3 +80,14 @@ def test_market_rates_never_expand_copies(spark):
     plan = plan_of(df)
     assert "sequence(1," not in plan.replace(" ", "")   # copies stay weights; only calendar days are generated
     assert "FullOuter" in plan
+
+
+def test_fill_calendar_reads_the_distinct_once(spark, scratch):
+    from ratesmith.operators.timeseries import fill_calendar
+
+    FX.fx(spark, SF).write.parquet(f"{scratch}/fx")
+    df = fill_calendar(spark.read.parquet(f"{scratch}/fx"))
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().executedPlan().toString()
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1

@@ -89,3 +89,19 @@ def test_latest_rates_hot_pair(spark):
     df = hot_rates(spark, 50_000).withColumn("asset", F.lit("BTC"))
     out = R.latest_rates(df)
     assert out.count() == 50_000  # all rows are on the latest date: ties kept
+
+
+def test_fill_calendar_window_sees_days_not_distinct_rates(spark):
+    from ratesmith.operators.timeseries import fill_calendar
+
+    # one pair, 5000 distinct rates over 10 observed days (every other day)
+    rows = spark.range(5000).select(F.lit("A").alias("asset"), F.lit("B").alias("quote"),
+                                    F.date_add(F.lit(dt.date(2024, 1, 1)), ((F.col("id") % 10) * 2).cast("int")
+                                               ).alias("date"),
+                                    F.col("id").cast("double").alias("rate")).repartition(4)
+    out = fill_calendar(rows)
+    assert out.count() == 5000 + 9
+    # input spread (5000) + distinct (<= 5000) + day summaries (<= 4 tasks x 10 days) + window input (10 rows);
+    # a window over the distinct rates would add another 5000
+    recs = shuffle_records(fill_calendar(rows))
+    assert 5000 < recs <= 5000 + 5000 + 4 * 10 + 10

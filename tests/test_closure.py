@@ -63,12 +63,12 @@ def test_matches_brute_force_on_random_rows(spark):
     import random
 
     rnd = random.Random(11)
-    cur = ["A", "B", "C", "D"]
+    cur = ["A", "B", "C", "D", None]
     data = []
     for _ in range(400):
         a, q = rnd.choice(cur), rnd.choice(cur)
         r = rnd.choice([None, 0.0, float(rnd.randint(1, 9)), float(rnd.randint(1, 9))])
-        data.append((D1 if rnd.random() < 0.5 else D2, a, q, r))
+        data.append((rnd.choice([D1, D2, None]), a, q, r))
     got = {(r.date, r.asset, r.quote): r.rate for r in rate_closure(spark.createDataFrame(data, SCHEMA)).collect()}
     members = {}
     for d, a, q, r in data:

@@ -12,13 +12,14 @@ This is the original's row-counted lag chain with a fixed order inside a day
 ``limit`` days; repeated rows of a day take up positions like any row.
 
 No dense sequence is built.  Rows are pre-aggregated to one per observed day
-(or per distinct rate), and one ordered pass per pair computes, for each
-observed day, the next observed day and the latest non-NULL donor, together
-with a running count of the extra rows repeated days add, from which the
-distance in rows between a donor and an absent day follows:
+(the day's largest non-NULL rate, which is last in the day's order, and its
+row count), and one ordered pass per pair computes, for each observed day,
+the next observed day and the latest non-NULL donor, together with a running
+count of the extra rows repeated days add, from which the distance in rows
+between a donor and an absent day follows:
 ``(day - donor day) + extra(last observed day) - extra(donor day)``.  The
-window's input for a pair is bounded by its calendar days (and distinct rates
-per day), however many rows a hot pair has.
+window's input for a pair is bounded by its calendar days, however many rows
+a hot pair has.
 """
 
 from __future__ import annotations

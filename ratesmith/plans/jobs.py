@@ -82,11 +82,17 @@ def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: st
 
 def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str, symbols_path: str,
                           rates: DataFrame, sink: Sink) -> None:
-    """Both exchanges' trades, valued in the reference currencies."""
+    """Both exchanges' trades, valued in the reference currencies.
+
+    The symbol list is parsed from exchange JSON that is far larger than the
+    three columns kept; it is written once to the checkpoint folder so the
+    planner sees its real size and broadcasts it, instead of shuffling every
+    trade by pair.
+    """
     binance = SF.read_trade_exports(spark, binance_glob)
     exmo = SF.read_trade_exports(spark, exmo_glob)
-    symbols = XJ.read_symbols(spark, symbols_path)
     with lineage_scope(spark):
+        symbols = cut_lineage(XJ.read_symbols(spark, symbols_path), "symbols")
         sink(assembly.trade_history(binance, symbols, exmo, rates), TRADE_HISTORY_TABLE)
 
 

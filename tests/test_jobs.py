@@ -114,3 +114,24 @@ def test_rate_catalog_over_registered_tables(spark, scratch):
     finally:
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_symbols_from_large_json_are_broadcast_after_the_cut(spark, scratch):
+    import os
+
+    from ratesmith.functions.joins import DEFAULT_BROADCAST_BYTES, estimated_bytes
+    from ratesmith.session import cut_lineage
+    from ratesmith.sources import exchange_json as XJ
+
+    # a big exchange-info document: few symbols, many bytes of other fields
+    filler = "x" * 5000
+    syms = [{"symbol": f"S{i}USDT", "baseAsset": f"S{i}", "quoteAsset": "USDT", "filters": [filler] * 2}
+            for i in range(1000)]
+    os.makedirs(f"{scratch}/info")
+    with open(f"{scratch}/info/exchangeInfo.json", "w") as f:
+        json.dump({"symbols": syms}, f)
+    raw = XJ.read_symbols(spark, f"{scratch}/info")
+    assert estimated_bytes(raw) > DEFAULT_BROADCAST_BYTES      # the file size drives the estimate
+    cut = cut_lineage(raw, "symbols")
+    assert estimated_bytes(cut) < DEFAULT_BROADCAST_BYTES      # the real table is small
+    assert cut.count() == 1000

@@ -32,6 +32,13 @@ TRADE_COLUMNS = (
 # The reference currencies trades are valued in.
 VALUATION_CURRENCIES = ("BTC", "USDT")
 
+# Size bound (optimizer estimate, i.e. the lookup's file size once materialized)
+# under which a currency's rate lookup is broadcast.  Higher than Spark's
+# default because the other side is the trades: ten years of daily rates for
+# ~2000 assets is a few hundred MB in memory per executor, while the sort-merge
+# alternative shuffles every trade.
+LOOKUP_BROADCAST_BYTES = 128 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class ExchangeFormat:
@@ -153,7 +160,8 @@ def valuation_columns(currencies: Sequence[str] = VALUATION_CURRENCIES) -> list[
 
 def value_trades(trades: DataFrame, rates_df: DataFrame,
                  currencies: Sequence[str] = VALUATION_CURRENCIES,
-                 missing_rate: float | None = 1.0) -> DataFrame:
+                 missing_rate: float | None = 1.0,
+                 broadcast_bytes: int = LOOKUP_BROADCAST_BYTES) -> DataFrame:
     """Value each trade in each reference currency.
 
     For currency C: the trade's base asset is looked up as ``baseAsset/C`` on
@@ -166,9 +174,9 @@ def value_trades(trades: DataFrame, rates_df: DataFrame,
 
     Plan: each currency's rates are one quote's series (assets x days), joined
     on (date, baseAsset).  The series is broadcast when its estimated size is
-    small, else the join is a sort-merge join whose skewed trade partitions
-    adaptive execution splits; both lookups use the same keys, so a second
-    shuffle of the trades is never needed.
+    under ``broadcast_bytes``, else the join is a sort-merge join whose skewed
+    trade partitions adaptive execution splits; both lookups use the same
+    keys, so a second shuffle of the trades is never needed.
     """
     t = trades
     for cur in currencies:
@@ -176,7 +184,7 @@ def value_trades(trades: DataFrame, rates_df: DataFrame,
         lookup = rates_df.where(F.col("quote") == F.lit(cur)).select(
             F.col("asset").alias(f"_{p}_asset"), F.col("date").alias(f"_{p}_date"),
             F.col("rate").cast("double").alias(f"{p}_rate"))
-        lookup = broadcast_if_small(lookup)
+        lookup = broadcast_if_small(lookup, broadcast_bytes)
         t = t.join(lookup, (F.col("date") == F.col(f"_{p}_date"))
                    & (F.col("baseAsset") == F.col(f"_{p}_asset")), "left")
 

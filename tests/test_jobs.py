@@ -135,3 +135,15 @@ def test_symbols_from_large_json_are_broadcast_after_the_cut(spark, scratch):
     cut = cut_lineage(raw, "symbols")
     assert estimated_bytes(cut) < DEFAULT_BROADCAST_BYTES      # the real table is small
     assert cut.count() == 1000
+
+
+def test_market_rates_job_from_csv_feeds(spark, scratch):
+    o, i = FX.ohlc(spark, SF), FX.investing(spark, SF)
+    o.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/ohlc")
+    (i.write.partitionBy("asset", "quote").option("header", "true").option("quoteAll", "true")
+     .csv(f"{scratch}/investing"))
+    jobs.publish_market_rates(spark, f"{scratch}/ohlc", f"{scratch}/investing", jobs.file_sink(f"{scratch}/out"))
+    got = spark.read.parquet(f"{scratch}/out/{jobs.CLOSED_RATES_TABLE}")
+    want = assembly.market_rates(o, i, materialize=False)
+    assert got.count() == want.count() > 0
+    assert rows(got, "asset", "quote", "date", "rate") == rows(want, "asset", "quote", "date", "rate")

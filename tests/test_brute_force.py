@@ -136,3 +136,27 @@ def test_weighted_market_rates_equal_the_bag_composition(spark):
 
     got = Counter(tuple(r) for r in assembly.market_rates(p, s, materialize=False).collect())
     assert got == want and len(want) > 50
+
+
+def test_strip_to_number_matches_python_on_messy_text(spark):
+    import re as _re
+
+    from ratesmith.functions.columns import strip_to_number
+
+    rnd = random.Random(21)
+    alphabet = "0123456789..,-+eE BTCUSDT"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(400)]
+    texts += ["12.51INCH", "40,000.5USDT", "", ".", "1.", ".5", "1.2.3", "-7", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string")
+           .select(strip_to_number("t")).collect()]
+
+    def want(t):
+        if t is None:
+            return None
+        digits = _re.sub(r"[^0-9.]", "", t)
+        try:
+            return float(digits)
+        except ValueError:
+            return None
+
+    assert got == [want(t) for t in texts]

@@ -105,7 +105,11 @@ def register_csv_table(spark: SparkSession, name: str, location: str, schema: T.
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     pcols = ", ".join(f"`{p}` STRING" for p in partition_cols)
     opts = {"header": str(header).lower(), "path": location, **options}
-    opt_sql = ", ".join(f"'{k}' '{v}'" for k, v in opts.items())
+
+    def lit(v: str) -> str:
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    opt_sql = ", ".join(f"{lit(k)} {lit(v)}" for k, v in opts.items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {pcols}) USING csv "
               f"OPTIONS ({opt_sql}) PARTITIONED BY ({', '.join(partition_cols)})")
     refresh_partitions(spark, name)

@@ -166,3 +166,13 @@ def test_first_kline_of_the_original_test_gives_its_line(spark, scratch):
     XJ.write_klines_monthly(daily, f"{scratch}/m")
     lines = spark.read.text(f"{scratch}/m/month=2020-06").collect()
     assert [r.value for r in lines if not r.value.startswith("Timestamp")] == [expected]
+
+
+def test_register_table_path_with_quote(spark, scratch):
+    root = f"{scratch}/it's here"
+    put(f"{root}/asset=USD/quote=UAH/a.csv", "2024-01-01,x,y,40.5\n")
+    SF.register_csv_table(spark, "cl_quoted_path", root, SF.CURRENCYLAYER_SCHEMA, replace=True)
+    try:
+        assert spark.table("cl_quoted_path").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS cl_quoted_path")

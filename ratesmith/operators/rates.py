@@ -98,8 +98,8 @@ def filter_currencies(df: DataFrame, currencies: Iterable[str] = MARKET_CURRENCI
 # The original's joins and unions keep every copy of a row (a bag).  Where a
 # result is only used through a distinct, or through per-day row counts, the
 # copies are carried as a weight column instead of as rows: joins then pair
-# distinct values (multiplying weights) rather than emitting every pair of
-# copies within a key, and nothing is expanded.
+# weighted rows (multiplying weights) rather than every pair of copies within
+# a key, and nothing is expanded.
 
 WEIGHT = "_w"
 
@@ -189,13 +189,15 @@ def _cross(rates_df: DataFrame, specs, combine, weights: bool) -> DataFrame:
     """
     if weights:
         rates_df = with_weight(rates_df)
-    extra = lambda side: [F.col(WEIGHT).alias(f"{side}_w")] if weights else []
+
+    def side(pair: tuple[str, str], name: str) -> DataFrame:
+        weight = [F.col(WEIGHT).alias(f"{name}_w")] if weights else []
+        return rates_df.where(pair_in([pair])).select(
+            "date", F.col("rate").cast("double").alias(f"{name}_rate"), *weight)
+
     parts = []
     for asset, quote, src_pair, trg_pair in specs:
-        src = rates_df.where(pair_in([src_pair])).select(
-            "date", F.col("rate").cast("double").alias("src_rate"), *extra("src"))
-        trg = rates_df.where(pair_in([trg_pair])).select(
-            "date", F.col("rate").cast("double").alias("trg_rate"), *extra("trg"))
+        src, trg = side(src_pair, "src"), side(trg_pair, "trg")
         w = [(F.col("src_w") * F.col("trg_w")).alias(WEIGHT)] if weights else []
         parts.append(src.join(trg, "date").select(
             F.lit(asset).alias("asset"), F.lit(quote).alias("quote"), "date",

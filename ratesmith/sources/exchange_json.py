@@ -68,12 +68,18 @@ def read_klines(spark: SparkSession, path: str) -> DataFrame:
     return klines_daily(spark.read.text(path, wholetext=True))
 
 
-def write_klines_monthly(daily: DataFrame, root: str) -> None:
+def write_klines_monthly(daily: DataFrame, root: str, mode: str = "append") -> None:
     """File daily rows as CSV lines ``date,high,low,open,close`` under ``month=yyyy-MM/``.
 
-    The layout the OHLC reader expects (with its header line).
+    The layout the OHLC reader expects (with its header line).  ``append``
+    adds a batch's files to its months; ``overwrite`` replaces only the months
+    present in the batch (dynamic partition overwrite), which makes re-running
+    a batch of whole months idempotent.
     """
-    (daily.select(F.date_format("date", "yyyy-MM-dd").alias("Timestamp"),
-                  F.col("high").alias("High"), F.col("low").alias("Low"),
-                  F.col("open").alias("Open"), F.col("close").alias("Close"), "month")
-     .write.mode("append").option("header", "true").partitionBy("month").csv(root))
+    writer = (daily.select(F.date_format("date", "yyyy-MM-dd").alias("Timestamp"),
+                           F.col("high").alias("High"), F.col("low").alias("Low"),
+                           F.col("open").alias("Open"), F.col("close").alias("Close"), "month")
+              .write.mode(mode).option("header", "true").partitionBy("month"))
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.csv(root)

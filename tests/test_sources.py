@@ -176,3 +176,14 @@ def test_register_table_path_with_quote(spark, scratch):
         assert spark.table("cl_quoted_path").count() == 1
     finally:
         spark.sql("DROP TABLE IF EXISTS cl_quoted_path")
+
+
+def test_klines_overwrite_replaces_only_the_batch_months(spark, scratch):
+    june = [_kline(dt.date(2020, 6, d), 1, 2, 0.5, 1.5) for d in (1, 2)]
+    july = [_kline(dt.date(2020, 7, d), 1, 2, 0.5, 1.5) for d in (1, 2, 3)]
+    batch = lambda ks: XJ.klines_daily(spark.createDataFrame([(json.dumps(ks),)], "value string"))
+    XJ.write_klines_monthly(batch(june + july), f"{scratch}/k")
+    XJ.write_klines_monthly(batch(july), f"{scratch}/k", mode="overwrite")  # re-run of July
+    back = spark.read.option("header", "true").csv(f"{scratch}/k")
+    assert dict((r.month, r["count"]) for r in back.groupBy("month").count().collect()) == {
+        "2020-06": 2, "2020-07": 3}

@@ -6,6 +6,8 @@ the *dense sequence*, every day in order, an observed day as its rows
 day takes the first non-NULL rate among the ``limit`` rows before it (a chain
 of one-row lags), else NULL.  Observed rows are never rewritten and filled
 values never feed later days.  Rows with a NULL date are not in the sequence.
+A pair with a NULL asset or quote never matches its own calendar (NULL keys
+do not join), so all days of its span come out with a NULL rate.
 
 This is the original's row-counted lag chain with a fixed order inside a day
 (the original left it arbitrary).  With one row per (pair, day) the reach is
@@ -69,14 +71,15 @@ def dense_calendar(rates_df: DataFrame) -> DataFrame:
 
 def observed_days(rates_df: DataFrame) -> DataFrame:
     """One row per observed (asset, quote, date): the day's donor (its largest
-    non-NULL rate, the last in the day's order) and its row count ``k``.
+    non-NULL rate, the last in the day's order), its row count ``k`` and
+    whether one of its rows has a NULL rate.
 
     A partial aggregate: repeated keys collapse before the shuffle.
     """
-    return (rates_df.where(F.col("asset").isNotNull() & F.col("quote").isNotNull()
-                           & F.col("date").isNotNull())
+    return (rates_df.where(F.col("date").isNotNull())
             .groupBy("asset", "quote", "date")
-            .agg(F.max("rate").alias("rate"), F.count(F.lit(1)).alias("k")))
+            .agg(F.max("rate").alias("rate"), F.count(F.lit(1)).alias("k"),
+                 F.bool_or(F.col("rate").isNull()).alias("has_null")))
 
 
 def _pair_window(*order: str):
@@ -94,15 +97,21 @@ def _with_neighbours(rows: DataFrame, w, running) -> DataFrame:
                        F.last(donor, ignorenulls=True).over(running).alias("last_donor"))
 
 
-def _gap_rows(limit: int) -> Column:
-    """Array of ``(date, rate)`` for the absent days after this row, or NULL.
+_ROWS = "array<struct<date:date,rate:double>>"
 
-    Only a pair's last row of a day has a later ``next_date``; pairs with a
-    NULL asset or quote are not filled.
+
+def _gap_rows(limit: int, own_day: Column) -> Column:
+    """Array of ``(date, rate)`` rows the fill emits after this row (may be empty or NULL).
+
+    Only a pair's last row of a day has a later ``next_date``.  A pair with a
+    NULL asset or quote never matches its own calendar (NULL keys do not
+    join), so every day of its span is emitted with a NULL rate: the gap days
+    and, where ``own_day`` holds, the observed day itself.
     """
-    has_gap = (F.col("asset").isNotNull() & F.col("quote").isNotNull()
-               & (F.datediff("next_date", "date") > 1))
+    keyed = F.col("asset").isNotNull() & F.col("quote").isNotNull()
+    has_gap = F.datediff("next_date", "date") > 1
     days = F.sequence(F.date_add("date", 1), F.date_sub("next_date", 1), _one_day())
+    none = F.array().cast(_ROWS)
 
     def fill(day: Column) -> Column:
         # rows between the donor and this day in the dense sequence
@@ -110,18 +119,22 @@ def _gap_rows(limit: int) -> Column:
         return F.struct(day.alias("date"),
                         F.when(reach <= F.lit(limit), F.col("last_donor.r")).cast("double").alias("rate"))
 
-    return F.when(has_gap, F.transform(days, fill))
+    def blank(day: Column) -> Column:
+        return F.struct(day.alias("date"), F.lit(None).cast("double").alias("rate"))
 
+    unkeyed = F.concat(
+        F.when(own_day & F.col("date").isNotNull(), F.array(blank(F.col("date")))).otherwise(none),
+        F.when(has_gap, F.transform(days, blank)).otherwise(none))
+    return F.when(keyed, F.when(has_gap, F.transform(days, fill))).otherwise(unkeyed)
 
-def _day_summary_gaps(days: DataFrame, limit: int) -> DataFrame:
-    """Gap rows from one row per (pair, day) with the day's donor ``rate`` and row count ``k``.
 
-    Days with a NULL date (and pairs with a NULL currency) take no part.
-    """
+def _day_summary_gaps(days: DataFrame, limit: int, own_day: Column) -> DataFrame:
+    """Fill rows from one row per (pair, day) with the day's donor ``rate``, row
+    count ``k`` and NULL-rate flag ``has_null``.  Days with a NULL date take no part."""
     w, running = _pair_window("date")
     extra = F.sum(F.when(F.col("date").isNotNull(), F.col("k") - 1).otherwise(0)).over(running)
     days = _with_neighbours(days.withColumn("extra", extra), w, running)
-    return days.select("asset", "quote", F.inline(_gap_rows(limit)))
+    return days.select("asset", "quote", F.inline(_gap_rows(limit, own_day)))
 
 
 def gap_fill(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
@@ -132,7 +145,7 @@ def gap_fill(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     running count of extra rows, and the absent days are generated in the same
     stage.  No spine join.
     """
-    return _day_summary_gaps(observed_days(rates_df), limit)
+    return _day_summary_gaps(observed_days(rates_df), limit, F.lit(True))
 
 
 def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
@@ -152,9 +165,11 @@ def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     if rates_df.schema["rate"].dataType.typeName() != "double":
         rates_df = rates_df.withColumn("rate", F.col("rate").cast("double"))
     rows = rates_df.groupBy("asset", "quote", "date", "rate").agg(copies.alias("n"))
-    days = rows.groupBy("asset", "quote", "date").agg(F.max("rate").alias("rate"),
-                                                      F.sum("n").alias("k"))
+    days = rows.groupBy("asset", "quote", "date").agg(
+        F.max("rate").alias("rate"), F.sum("n").alias("k"),
+        F.bool_or(F.col("rate").isNull()).alias("has_null"))
     # ``n > 0`` always holds; it keeps the count in this half, so both halves
     # are the same aggregate and Spark computes (and shuffles) it once.
     distinct = rows.where(F.col("n") > 0).select("asset", "quote", "date", "rate")
-    return distinct.unionByName(_day_summary_gaps(days, limit))
+    # a NULL-currency pair's day row (NULL rate) is already there if the day has one
+    return distinct.unionByName(_day_summary_gaps(days, limit, ~F.col("has_null")))

@@ -109,12 +109,15 @@ def lag_chain_fill(points, limit=3):
     first non-NULL rate among the ``limit`` rows before it."""
     by_pair = {}
     for a, q, day, rate in points:
-        if a is None or q is None or day is None:
+        if day is None:
             continue
         by_pair.setdefault((a, q), {}).setdefault(day, []).append(rate)
     out = []
     for (a, q), obs in by_pair.items():
         lo, hi = min(obs), max(obs)
+        if a is None or q is None:  # NULL keys never join their calendar: every day, NULL rate
+            out += [(a, q, lo + dt.timedelta(days=i), None) for i in range((hi - lo).days + 1)]
+            continue
         seq = []  # (day, rate, observed)
         for i in range((hi - lo).days + 1):
             day = lo + dt.timedelta(days=i)
@@ -130,6 +133,11 @@ def lag_chain_fill(points, limit=3):
     return out
 
 
+# a pair with a NULL currency: observed on days 3 and 6 (one NULL rate on day 6), plus a NULL date
+NULL_PAIR_POINTS = [(None, "Q", d(3), 1.0), (None, "Q", d(6), None), (None, "Q", d(6), 2.0),
+                    (None, "Q", None, 4.0), ("P9", None, d(1), 3.0)]
+
+
 def _random_points(seed, pairs=5, days=40):
     import random
 
@@ -149,7 +157,7 @@ def _sorted(rows_):
 
 def test_gap_fill_counts_rows_like_the_lag_chain(spark):
     for seed in (1, 2, 3):
-        pts = _random_points(seed)
+        pts = _random_points(seed) + NULL_PAIR_POINTS
         got = _sorted(gap_fill(spark.createDataFrame(pts, SCHEMA)).collect())
         assert got == _sorted(lag_chain_fill(pts)), seed
 
@@ -165,15 +173,23 @@ def test_null_duplicates_use_up_the_reach(spark):
 
 def test_fill_calendar_matches_brute_force_with_duplicates_and_nulls(spark):
     for seed in (5, 6):
-        pts = _random_points(seed)
-        pts.append((None, "Q", d(3), 1.0))
+        pts = _random_points(seed) + NULL_PAIR_POINTS
         pts.append(("P0", "Q", None, 2.0))
         pts.append(("P0", "Q", None, 2.0))
         got = _sorted(fill_calendar(spark.createDataFrame(pts, SCHEMA)).collect())
-        want = _sorted(list(set(pts)) + lag_chain_fill(pts))
+        want = _sorted(set(pts) | set(lag_chain_fill(pts)))   # union, then distinct
         assert got == want, seed
 
 
+def test_null_currency_pair_gets_a_null_calendar(spark):
+    df = spark.createDataFrame([(None, "Q", d(0), 1.0), (None, "Q", d(3), None)], SCHEMA)
+    assert rows(gap_fill(df)) == [(None, "Q", d(n), None) for n in range(4)]
+    # with the distinct: the observed rows, and NULL rows for the days that do not have one
+    assert rows(fill_calendar(df)) == rows(spark.createDataFrame(
+        [(None, "Q", d(0), 1.0), (None, "Q", d(0), None), (None, "Q", d(1), None), (None, "Q", d(2), None),
+         (None, "Q", d(3), None)], SCHEMA))
+
+
 def test_dense_calendar_keeps_every_row_and_marks_absent_days(spark):
     from ratesmith.operators.timeseries import dense_calendar
 

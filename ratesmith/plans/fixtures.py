@@ -32,6 +32,8 @@ RETURNFLAG_SIDE = {"A": "BUY", "R": "SELL", "N": "HOLD"}
 ORDERSTATUS_TYPE = {"F": "buy", "O": "sell", "P": "cancel"}
 # first day of the trade calendar; trades fall on the 30 days from it
 TRADE_EPOCH = "2024-01-01"
+# user_id % 2 -> exchange of the multi-exchange feed
+USER_EXCHANGE = ["binance", "kraken"]
 
 
 # Below this size one task gets through a table's rows faster than a shuffle
@@ -125,6 +127,21 @@ def ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("Low").alias("Open"), "Close", "asset", "quote"))
 
 
+def crypto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-exchange OHLC feed ``exchange, Timestamp, High, Low, Open, Close, asset, quote``.
+
+    As ``ohlc`` but per exchange (``user_id % 2``): a pair quoted on both
+    exchanges on a day has two rows for that day once the exchange is dropped.
+    """
+    ev = _event_currencies(spark, sf_dir).withColumn("exchange", _lookup(F.col("user_id") % 2, USER_EXCHANGE))
+    return (ev.where((F.col("asset") != F.col("quote"))
+                     & (((F.col("dom") + F.col("uq")) % 9) <= 4))
+            .groupBy("exchange", "asset", "quote", "date")
+            .agg(F.max("value").alias("Close"), F.min("value").alias("Low"))
+            .select("exchange", F.col("date").alias("Timestamp"), F.col("Close").alias("High"), "Low",
+                    F.col("Low").alias("Open"), "Close", "asset", "quote"))
+
+
 def mkt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secondary feed ``asset, quote, dt, price, high, low``; ``dt`` is MM/dd/yyyy text."""
     ev = _event_currencies(spark, sf_dir).withColumn(
@@ -264,6 +281,12 @@ SQL_VIEWS["ohlc"] = (
     "min(value) AS \"Open\", max(value) AS \"Close\", asset, quote FROM ev "
     "WHERE asset <> quote AND (dom + uq) % 9 <= 4 GROUP BY asset, quote, date")
 
+SQL_VIEWS["crypto"] = (
+    "SELECT " + _sql_lookup("user_id % 2", USER_EXCHANGE) + " AS exchange, date AS \"Timestamp\", "
+    "max(value) AS \"High\", min(value) AS \"Low\", min(value) AS \"Open\", max(value) AS \"Close\", "
+    "asset, quote FROM ev WHERE asset <> quote AND (dom + uq) % 9 <= 4 "
+    "GROUP BY 1, asset, quote, date")
+
 SQL_VIEWS["mkt"] = (
     "SELECT asset, quote, strftime(date, '%m/%d/%Y') AS dt, min(value) AS price, "
     "max(value) AS high, min(value) AS low FROM ("
@@ -299,7 +322,7 @@ SQL_VIEWS["trades_b"] = (
     + _sql_lookup("o_orderkey % 2", TRADE_QUOTE) + " AS q FROM orders) WHERE b <> q")
 
 # Which views each view reads, so a query can pull in only what it needs.
-_SQL_DEPS = {"fx": ["ev"], "fx_wide": ["ev"], "ohlc": ["ev"], "mkt": ["ev"],
+_SQL_DEPS = {"fx": ["ev"], "fx_wide": ["ev"], "ohlc": ["ev"], "crypto": ["ev"], "mkt": ["ev"],
              "trades_a": [], "trades_b": [], "ev": []}
 
 

@@ -8,7 +8,6 @@ from ratesmith.plans import fixtures as FX
 from ratesmith.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SF_DIR = SF
 
 
 def plan_of(df):
@@ -61,14 +60,14 @@ def test_no_python_anywhere(spark):
 
 
 def test_market_currency_filter_prunes_feed_folders(spark, scratch):
-    from ratesmith.sources import files as SF
+    from ratesmith.sources import files
 
-    o = FX.ohlc(spark, SF_DIR)
+    o = FX.ohlc(spark, SF)
     o.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/ohlc")
-    i = FX.investing(spark, SF_DIR)
+    i = FX.investing(spark, SF)
     i.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/inv")
-    df = R.reconcile_feeds(SF.read_ohlc(spark, f"{scratch}/ohlc"), SF.read_investing(spark, f"{scratch}/inv"),
-                           currencies=["UAH"])
+    df = R.reconcile_feeds(files.read_ohlc(spark, f"{scratch}/ohlc"),
+                           files.read_investing(spark, f"{scratch}/inv"), currencies=["UAH"])
     pruned = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan_of(df))
     assert len(pruned) == 2 and all("UAH" in p for p in pruned)
 

@@ -147,3 +147,31 @@ def test_market_rates_job_from_csv_feeds(spark, scratch):
     want = assembly.market_rates(o, i, materialize=False)
     assert got.count() == want.count() > 0
     assert rows(got, "asset", "quote", "date", "rate") == rows(want, "asset", "quote", "date", "rate")
+
+
+def test_rate_catalog_market_rates_and_reconciliation(spark, scratch):
+    from ratesmith.plans.catalog import RateCatalog
+
+    o, i = FX.ohlc(spark, SF), FX.investing(spark, SF)
+    o.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/ohlc")
+    i.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/inv")
+    svc = RateCatalog(spark)
+    names = svc.register(ohlc_root=f"{scratch}/ohlc", investing_root=f"{scratch}/inv")
+    try:
+        assert rows(svc.reconciled()) == rows(R.reconcile_feeds(o, i))
+        assert rows(svc.market_rates()) == rows(assembly.market_rates(o, i, materialize=False))
+        assert rows(svc.yearly_price_stats()) == rows(R.yearly_price_stats(i))
+        assert svc.dated_prices().count() == i.count()
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_command_line_exchange_rates(spark, scratch):
+    o = FX.ohlc(spark, SF)
+    (o.withColumn("exchange", F.lit("kraken"))
+     .write.partitionBy("exchange", "asset", "quote").option("header", "true").csv(f"{scratch}/currency"))
+    jobs.main(["exchange-rates", "--crypto", f"{scratch}/currency", "--out", f"{scratch}/out"])
+    assert spark.read.parquet(f"{scratch}/out/{jobs.EXCHANGE_RATES_TABLE}").count() == \
+        assembly.exchange_rates(o).count()
+    assert spark.read.parquet(f"{scratch}/out/{jobs.LATEST_RATES_TABLE}").count() == 22

@@ -9,7 +9,7 @@ nothing; every write runs on the executors.
     python -m ratesmith.plans.jobs exchange-rates --crypto ROOT --out DIR
     python -m ratesmith.plans.jobs market-rates --ohlc ROOT --investing ROOT --out DIR
     python -m ratesmith.plans.jobs trade-history --binance GLOB --exmo GLOB \\
-        --symbols PATH --rates DIR --out DIR
+        --symbols PATH --rates DIR --out DIR [--currencies BTC,USDT]
 
 With ``--jdbc-url`` (plus ``--jdbc-driver``, ``--jdbc-user`` and
 ``--jdbc-password-env``, the name of the variable holding the password) the
@@ -25,6 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratesmith.operators import rates as R
+from ratesmith.operators import trades as TR
 from ratesmith.plans import assembly
 from ratesmith.session import build_session, cut_lineage, lineage_scope
 from ratesmith.sources import exchange_json as XJ
@@ -72,16 +73,18 @@ def publish_exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) ->
 
 
 def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: str, sink: Sink,
-                         table: str = CLOSED_RATES_TABLE) -> None:
+                         table: str = CLOSED_RATES_TABLE,
+                         currencies: tuple[str, ...] = R.MARKET_CURRENCIES) -> None:
     """Rates of the listed currencies assembled from two feeds."""
     primary = SF.read_ohlc(spark, ohlc_root)
     secondary = SF.read_investing(spark, investing_root)
     with lineage_scope(spark):
-        sink(assembly.market_rates(primary, secondary), table)
+        sink(assembly.market_rates(primary, secondary, currencies), table)
 
 
 def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str, symbols_path: str,
-                          rates: DataFrame, sink: Sink) -> None:
+                          rates: DataFrame, sink: Sink,
+                          currencies: tuple[str, ...] = TR.VALUATION_CURRENCIES) -> None:
     """Both exchanges' trades, valued in the reference currencies.
 
     The symbol list is parsed from exchange JSON that is far larger than the
@@ -93,7 +96,7 @@ def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str
     exmo = SF.read_trade_exports(spark, exmo_glob)
     with lineage_scope(spark):
         symbols = cut_lineage(XJ.read_symbols(spark, symbols_path), "symbols")
-        sink(assembly.trade_history(binance, symbols, exmo, rates), TRADE_HISTORY_TABLE)
+        sink(assembly.trade_history(binance, symbols, exmo, rates, currencies), TRADE_HISTORY_TABLE)
 
 
 def _sink_from_args(args) -> Sink:
@@ -116,6 +119,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--exmo")
     p.add_argument("--symbols")
     p.add_argument("--rates", help="parquet folder of exchange rates (asset, quote, date, rate)")
+    p.add_argument("--currencies", help="comma list: market-rates keeps these currencies, "
+                                        "trade-history values trades in these")
     p.add_argument("--out")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver", default="org.postgresql.Driver")
@@ -131,10 +136,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "exchange-rates":
         publish_exchange_rates(spark, args.crypto, sink)
     elif args.job == "market-rates":
-        publish_market_rates(spark, args.ohlc, args.investing, sink)
+        cur = tuple(args.currencies.split(",")) if args.currencies else R.MARKET_CURRENCIES
+        publish_market_rates(spark, args.ohlc, args.investing, sink, currencies=cur)
     else:
+        cur = tuple(args.currencies.split(",")) if args.currencies else TR.VALUATION_CURRENCIES
         publish_trade_history(spark, args.binance, args.exmo, args.symbols,
-                              spark.read.parquet(args.rates), sink)
+                              spark.read.parquet(args.rates), sink, currencies=cur)
 
 
 if __name__ == "__main__":

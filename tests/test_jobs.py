@@ -175,3 +175,14 @@ def test_command_line_exchange_rates(spark, scratch):
     assert spark.read.parquet(f"{scratch}/out/{jobs.EXCHANGE_RATES_TABLE}").count() == \
         assembly.exchange_rates(o).count()
     assert spark.read.parquet(f"{scratch}/out/{jobs.LATEST_RATES_TABLE}").count() == 22
+
+
+def test_command_line_market_rates_with_currencies(spark, scratch):
+    o, i = FX.ohlc(spark, SF), FX.investing(spark, SF)
+    o.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/ohlc")
+    i.write.partitionBy("asset", "quote").option("header", "true").csv(f"{scratch}/inv")
+    jobs.main(["market-rates", "--ohlc", f"{scratch}/ohlc", "--investing", f"{scratch}/inv",
+               "--currencies", "UAH,CZK", "--out", f"{scratch}/out"])
+    got = spark.read.parquet(f"{scratch}/out/{jobs.CLOSED_RATES_TABLE}")
+    want = assembly.market_rates(o, i, ("UAH", "CZK"), materialize=False)
+    assert rows(got, "asset", "quote", "date", "rate") == rows(want, "asset", "quote", "date", "rate")

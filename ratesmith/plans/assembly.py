@@ -38,7 +38,8 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
                  limit: int = FILL_LIMIT, materialize: bool = True) -> DataFrame:
     """Rates of the listed currencies from two feeds, closed under the listed derivations.
 
-    Order: reconcile -> keep listed currencies -> common-base cross-rates
+    Order: reconcile -> keep listed currencies (applied to each feed before
+    the join, which gives the same rows and prunes their folders) -> common-base cross-rates
     (read the base) -> chained cross-rates (read base + previous) -> inverses
     of the listed pairs (read all so far) -> identities -> calendar fill ->
     distinct.  No priority between a direct and a derived rate of one key.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import quality
+from ratesmith.llm import bpe, decontaminate, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,9 +15,50 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(_table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_bpe_encoding": op5_bpe_encoding,
+    "op8_decontamination": op8_decontamination,
 }
 
-#: DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL for the queries that SQL can express.  Like the queries, it reads whole tables.
+ORACLE_SQL: dict[str, str] = {
+    "op8_decontamination": r"""
+WITH b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT item, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+dw AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+hits AS (SELECT doc_id, i, k, item FROM dw JOIN bw USING (k, win)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import bpe, decontaminate, quality
+from ratesmith.llm import bpe, decontaminate, quality, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op8_decontamination": op8_decontamination,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: DuckDB SQL for the queries that SQL can express.  Like the queries, it reads whole tables.

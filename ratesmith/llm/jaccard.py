@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
-from ratesmith.llm.graph import connected_components
+from ratesmith.llm.links import linked_components
 from ratesmith.llm.suffixes import _planes, _unplanes
 from ratesmith.session import cut_lineage
 
@@ -48,8 +48,6 @@ LIGHT_MOST = 24
 VERIFY_COST = 30
 #: A shingle in more than this share of a slab's sets, and of all sets, is ordered last.
 COMMON_SHARE, COMMON_LEAST = 1 / 400, 8
-HUBS = 3
-BLOCK = 256
 #: Sets to verify are picked out by a broadcast list of ids up to this many (8 bytes each), by a shuffle beyond.
 BROADCAST_IDS = 4_000_000
 
@@ -309,20 +307,16 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 80 * (len(a) + len(b) - shared)
 
 
-def _verify_pairs(batches):
-    for batch in batches:
-        left, right = (batch.column(i).to_pylist() for i in (2, 3))
-        ok = [_linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+def _verify_pairs(left: list[bytes], right: list[bytes]) -> list[bool]:
+    return [_linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right)]
 
 
-def _verify_blocks(table: pa.Table) -> pa.Table:
-    """All links between sets of different components of two blocks (or within one)."""
-    sig, comp, side = (table.column(c).to_pylist() for c in ("sig", "component", "side"))
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
+def _verify_block(items: list[bytes], listed: list, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Which sets of one or two blocks link: their overlaps, by products of slices of the incidence matrix."""
+    sets = [np.frombuffer(x, np.uint64) for x in items]
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), size)
-    shingle, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     number = np.cumsum(times > 1) - 1
     owner, column = owner[times[column] > 1], number[column[times[column] > 1]]
     order = np.argsort(column, kind="stable")
@@ -335,44 +329,7 @@ def _verify_blocks(table: pa.Table) -> pa.Table:
         part[owner[i:j], column[i:j] - lo] = 1
         shared += part @ part.T
     shared = np.rint(shared).astype(np.int64)
-    link = 100 * shared >= 80 * (size[:, None] + size[None, :] - shared)
-    comp_id = np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
-    side = np.array(side)
-    link &= comp_id[:, None] != comp_id[None, :]
-    if (side == 1).any():
-        link &= (side[:, None] == 0) & (side[None, :] == 1)
-    i, j = np.nonzero(np.triu(link) if not (side == 1).any() else link)
-    return pa.table([pa.array([comp[k] for k in i], pa.binary()), pa.array([comp[k] for k in j], pa.binary())], names=["a", "b"])
-
-
-def _cross_links(entries: DataFrame, sets: DataFrame, linked: DataFrame) -> DataFrame:
-    """Links between different components of sets on connected lists, as pairs of components."""
-    hubs = entries.groupBy("x").agg(F.min("sig").alias("hub"))
-    lists = connected_components(entries.join(hubs, "x").select("sig", "hub"))
-    member = (lists.select(F.col("node").alias("sig"), F.col("component").alias("family"))
-              .join(linked.select(F.col("node").alias("sig"), "component"), "sig", "left")
-              .withColumn("component", F.coalesce("component", "sig")))
-    member = cut_lineage(member, "families")
-    by_comp = member.groupBy("family", "component").agg(F.count("*").alias("k"))
-    mixed = by_comp.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                          F.sum(F.when(F.col("k") < BLOCK // 2, F.col("k")).otherwise(0)).alias("pool"))
-    mixed = mixed.where("lo <> hi").select("family", "pool")
-    own = F.col("k") >= BLOCK // 2
-    blocked = (member.join(mixed, "family").join(by_comp, ["family", "component"])
-               .withColumn("pure", F.when(own, F.col("component")))
-               .withColumn("block", F.pmod(F.xxhash64("sig"), F.ceil(F.when(own, F.col("k")).otherwise(F.col("pool")) / BLOCK)))
-               .withColumn("block_id", F.xxhash64("family", F.coalesce("pure", F.lit(b"")), "block"))
-               .select("sig", "component", "family", "pure", "block_id"))
-    blocked = cut_lineage(blocked, "blocks")
-    blocks = blocked.select("family", "block_id", "pure").distinct()
-    other = blocks.select("family", F.col("block_id").alias("other_id"), F.col("pure").alias("other_pure"))
-    pairs = (blocks.join(other, "family").where("block_id <= other_id")
-             .where("NOT coalesce(pure = other_pure, false)")
-             .select("family", "block_id", "other_id", F.xxhash64("family", "block_id", "other_id").alias("task")))
-    sides = pairs.select("family", "block_id", "task", F.lit(0).alias("side")).union(
-        pairs.where("block_id <> other_id").select("family", F.col("other_id").alias("block_id"), "task", F.lit(1).alias("side")))
-    rows = blocked.join(sides, ["family", "block_id"]).join(sets, "sig")
-    return rows.select("task", "side", "sig", "component", "items").groupBy("task").applyInArrow(_verify_blocks, "a binary, b binary")
+    return 100 * shared >= 80 * (size[:, None] + size[None, :] - shared)
 
 
 def similar_groups(documents: DataFrame) -> DataFrame:
@@ -413,25 +370,11 @@ def similar_groups(documents: DataFrame) -> DataFrame:
         source = source.join(wanted.select("one"), F.col("doc_id").eqNullSafe(F.col("one")), "left_semi")
     sets = cut_lineage(source.select("text").mapInArrow(_full_sets, "sig binary, items binary")
                        .join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "full-sets")
-    # hubs: for each list and size band the first few sets in orders that all lists share
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25))
-    listed = entries.withColumn("band", band)
-    rank = [F.xxhash64("sig", F.lit(k)) for k in range(HUBS)]
-    hubs = listed.groupBy("x", "band").agg(*[F.min(F.struct(rank[k].alias("r"), "sig", "n")).alias(f"hub{k}") for k in range(HUBS)])
-    stars = (listed.join(hubs, ["x", "band"])
-             .select("sig", "n", F.explode(F.array(*[F.col(f"hub{k}") for k in range(HUBS)])).alias("hub"))
-             .where("sig <> hub.sig AND 5 * n >= 4 * hub.n AND 5 * hub.n >= 4 * n")
-             .select(F.least("sig", "hub.sig").alias("a"), F.greatest("sig", "hub.sig").alias("b")).distinct())
-    verified = (stars.join(sets.select(F.col("sig").alias("a"), F.col("items").alias("left")), "a")
-                .join(sets.select(F.col("sig").alias("b"), F.col("items").alias("right")), "b")
-                .select("a", "b", "left", "right").mapInArrow(_verify_pairs, "a binary, b binary"))
-    links = cut_lineage(verified.union(light), "links")
-    linked = cut_lineage(connected_components(links), "linked")
-    more = cut_lineage(_cross_links(entries, sets, linked), "cross-links")
-    roots = connected_components(more)
-    label = (linked.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
-             .select(F.col("node").alias("sig"), F.coalesce("root", "component").alias("label")))
-    label = label.unionByName(roots.select(F.col("node").alias("sig"), F.col("component").alias("label"))).dropDuplicates(["sig"])
+    # sets whose sizes differ by more than a quarter cannot link; a band holds sizes that can
+    bands = entries.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(1.25)))
+    label = linked_components(bands.select("sig", "x", "band"), sets.select("sig", F.col("items").alias("item")),
+                              _verify_pairs, _verify_block, light)
+    label = label.select(F.col("node").alias("sig"), F.col("component").alias("label"))
     grouped = distinct.select("sig", "one").join(label, "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     least = grouped.groupBy("label").agg(F.min("one").alias("component_id"))
     by_sig = grouped.join(least, "label").select("sig", "component_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import bpe, decontaminate, jaccard, quality, suffixes
+from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"))
 
 
+def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_bpe_encoding": op5_bpe_encoding,
+    "op7_fuzzy_line_dedup": op7_fuzzy_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
 }

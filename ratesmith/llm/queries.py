@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, suffixes
+from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, secrets, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digests(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op5_bpe_encoding": op5_bpe_encoding,
     "op7_fuzzy_line_dedup": op7_fuzzy_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_secret_scan": op9_secret_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 

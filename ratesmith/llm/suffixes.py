@@ -38,7 +38,9 @@ from ratesmith.llm import kernels as K
 from ratesmith.session import cut_lineage
 
 LENGTH = 400
-SLAB_BYTES = 12 << 20
+SLAB_BYTES = 6 << 20
+#: Buckets per shuffle partition: a task holds one bucket at a time.
+BUCKETS_PER_TASK = 6
 #: A gram that keys more than this share of all pieces (and at least HOT_LEAST) is no bucket key.
 HOT_SHARE, HOT_LEAST = 1 / 2000, 500
 #: Candidate texts are picked out by a broadcast list of keys up to this many (16 bytes each), by a shuffle beyond.
@@ -339,13 +341,14 @@ def repeated_suffixes(documents: DataFrame, length: int = LENGTH) -> tuple[DataF
     """(texts, answers): one row (key, sha, text) per distinct candidate text, and per key the
     [start, end) ranges of suffixes that tie with another for ``length`` bytes."""
     spark: SparkSession = documents.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(tasks * BUCKETS_PER_TASK, 1 << 16)
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256)) \
         .withColumn("key", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")) \
         .where(F.octet_length("text") >= length)
     ranked = (docs.select("key", "text").mapInArrow(_cover_sample(length, buckets), "bucket int, key long, payload binary")
-              .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_rank_bucket, "key long, payload binary")
+              .repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_rank_bucket, "key long, payload binary")
               .groupBy("key").agg(F.collect_list("payload").alias("shared")))
     ranked = cut_lineage(ranked, "cover-ranks")
     one = docs.groupBy("sha").agg(F.min("doc_id").alias("one"), F.first("key").alias("key"))
@@ -363,7 +366,7 @@ def repeated_suffixes(documents: DataFrame, length: int = LENGTH) -> tuple[DataF
     hot = grams.where(F.col("n") >= F.lit(total * HOT_SHARE)).orderBy(F.desc("n"), "gram").limit(100_000).collect()
     hot = np.sort(np.array([r["gram"] for r in hot], dtype=np.int64).view(np.uint64))
     answers = (candidates.mapInArrow(_piece_rows(length, hot, buckets), "bucket int, key long, pos int, payload binary")
-               .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(length), "key long, payload binary")
+               .repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(length), "key long, payload binary")
                .groupBy("key").agg(F.collect_list("payload").alias("ranges")))
     return texts, answers
 

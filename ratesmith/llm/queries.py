@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, secrets, suffixes
+from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, secrets, suffixes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity_chain": op2_toxicity_chain,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_bpe_encoding": op5_bpe_encoding,

@@ -132,7 +132,7 @@ def labelled_sample(labels: DataFrame, rows: int = LABELLED_ROWS) -> dict[str, n
             for name, rule in parts.items()}
 
 
-def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
+def threshold_of(good: np.ndarray, bad: np.ndarray, loss_of_good: float = LOSS_OF_GOOD) -> float:
     """The cut with the least loss; of a range of equally good ones, its middle.
 
     ``good`` and ``bad`` are rows (score in thousandths, number of documents).
@@ -140,7 +140,7 @@ def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
     cuts = np.arange(min(good[:, 0].min(), bad[:, 0].min()), max(good[:, 0].max(), bad[:, 0].max()) + 2)
     lost = np.array([good[good[:, 0] < c, 1].sum() for c in cuts]) / good[:, 1].sum()
     kept = np.array([bad[bad[:, 0] >= c, 1].sum() for c in cuts]) / bad[:, 1].sum()
-    loss = LOSS_OF_GOOD * lost + kept
+    loss = loss_of_good * lost + kept
     best = np.flatnonzero(loss <= loss.min() + 1e-12)
     run = best[: 1 + int(np.argmax(np.append(np.diff(best) > 1, True)))]
     return float(cuts[run[len(run) // 2]]) / 1000
@@ -180,7 +180,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> QualityModel:
     sides = [seen.loc[seen["good"] == side, ["cut", "count"]].to_numpy() for side in (True, False)]
     if not all(map(len, sides)):
         return flat
-    return QualityModel(ratio, _threshold(*sides))
+    return QualityModel(ratio, threshold_of(*sides))
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:

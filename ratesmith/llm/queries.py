@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, secrets, suffixes, toxicity
+from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, secrets, suffixes, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_bpe_encoding": op5_bpe_encoding,
+    "op6_url_filter": op6_url_filter,
     "op7_fuzzy_line_dedup": op7_fuzzy_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,

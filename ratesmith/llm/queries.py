@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratesmith.llm import bpe, decontaminate, jaccard, lines, quality, secrets, suffixes, toxicity, urls
+from ratesmith.llm import bpe, decontaminate, jaccard, licences, lines, quality, secrets, suffixes, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(_table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity_chain": op2_toxicity_chain,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
@@ -61,6 +66,7 @@ QUERIES = {
 
 #: DuckDB SQL for the queries that SQL can express.  Like the queries, it reads whole tables.
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": licences.duckdb_sql(),
     "op8_decontamination": r"""
 WITH b AS (
   SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 
 CACHED_WORDS = 300_000
 WORD_END = "</w>"
@@ -227,7 +228,7 @@ def _encoded(df: DataFrame, vocabulary_path: str | None, columns, schema: str) -
                 got = encoder.encode(text.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns(got)], names=names)
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return bounded(df).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def encode_documents(documents: DataFrame, vocabulary_path: str | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 from ratesmith.session import cut_lineage
 
 WINDOW = 13
@@ -136,7 +137,7 @@ def mark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """The documents with their number of words, hit words ([start, end) pairs, flat) and hit items."""
     windows = cut_lineage(benchmark_windows(benchmark, window), "benchmark-windows")
     blocks = max(1, -(-windows.count() // block_windows))
-    out = documents.withColumns({WORDS: F.lit(0).cast("long"), HITS: F.lit(None).cast("array<int>"),
+    out = bounded(documents).withColumns({WORDS: F.lit(0).cast("long"), HITS: F.lit(None).cast("array<int>"),
                                  ITEMS: F.lit(None).cast("array<string>")})
     for k in range(blocks):
         block = windows.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == k).collect()

@@ -36,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 from ratesmith.llm.links import linked_components
 from ratesmith.llm.suffixes import _planes, _unplanes
 from ratesmith.session import cut_lineage
 
 SHINGLE = 5
-SLAB_BYTES = 12 << 20
+SLAB_BYTES = 4 << 20
 #: Light sets are at most this large, whatever the costs (a set of 24 has 10,626 subsets of 20).
 LIGHT_MOST = 24
 #: Cost of verifying a heavy set, in enumerated subsets or list entries.
@@ -336,7 +337,7 @@ def similar_groups(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row."""
     spark = documents.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = bounded(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = cut_lineage(docs.mapInArrow(_describe, "doc_id long, n long, sig binary, items binary, shingle long, sets long"), "sets")
     rows = seen.where("sig IS NOT NULL")
     distinct = cut_lineage(rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("one"), F.first("n").alias("n"),

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 

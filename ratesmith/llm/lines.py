@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 from ratesmith.llm.jaccard import _fixed_binary
 from ratesmith.llm.links import linked_components
 from ratesmith.session import cut_lineage
@@ -249,7 +250,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, gone): per document the lines to remove, as (line number, first half of the line's hash)."""
     spark = documents.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    docs = bounded(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     seen = cut_lineage(docs.mapInArrow(_occurrences, "sig binary, doc_id long, line int, simhash binary"), "lines")
     # min() skips nulls, so any row with the SimHash will do
     distinct = cut_lineage(seen.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("times"),

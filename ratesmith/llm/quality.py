@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 
 BUCKETS = 1 << 16
 #: Bound of each part of the labelled sample: trusted documents, good and bad calibration rows.
@@ -155,7 +156,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> QualityModel:
     flat = QualityModel(np.zeros(BUCKETS), -np.inf)
     if not all(map(len, sample.values())):
         return flat
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = bounded(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = (docs.mapInArrow(_counter(sample["trusted"]), "bucket long, raw long, target long")
              .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)

@@ -35,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 from ratesmith.session import cut_lineage
 
 LENGTH = 400
-SLAB_BYTES = 6 << 20
+SLAB_BYTES = 4 << 20
 #: Buckets per shuffle partition: a task holds one bucket at a time.
 BUCKETS_PER_TASK = 6
 #: A gram that keys more than this share of all pieces (and at least HOT_LEAST) is no bucket key.
@@ -343,7 +344,7 @@ def repeated_suffixes(documents: DataFrame, length: int = LENGTH) -> tuple[DataF
     spark: SparkSession = documents.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(tasks * BUCKETS_PER_TASK, 1 << 16)
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = bounded(documents).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256)) \
         .withColumn("key", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")) \
         .where(F.octet_length("text") >= length)

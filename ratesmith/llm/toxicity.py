@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
+from ratesmith.llm.batches import bounded
 
 FEATURES = 1 << 18
 #: Bytes of word beginnings that are features beside the word itself.
@@ -243,4 +244,4 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, chain: Chain | None
                                              names=["doc_id", *[f"p_{n}" for n in names], "toxic"])
 
     schema = "doc_id long, " + ", ".join(f"p_{n} double" for n in names) + ", toxic boolean"
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return bounded(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

@@ -312,7 +312,7 @@ def _verify_pairs(left: list[bytes], right: list[bytes]) -> list[bool]:
     return [_linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right)]
 
 
-def _verify_block(items: list[bytes], listed: list, comp: np.ndarray, side: np.ndarray) -> np.ndarray:
+def _verify_block(items: list[bytes], component: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Which sets of one or two blocks link: their overlaps, by products of slices of the incidence matrix."""
     sets = [np.frombuffer(x, np.uint64) for x in items]
     size = np.array([len(s) for s in sets])

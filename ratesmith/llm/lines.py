@@ -9,7 +9,8 @@ principle), and linked when the edit similarity of the normalised lines, 1 - dis
 longer length, is at least ``SIMILARITY``.  Of each connected group of lines one occurrence
 is kept, the first by (doc_id, line number); all others are removed with their line break.
 
-Keys of 32 bits keep the lists short however many lines there are.  SimHash is the method's
+Keys of 32 bits keep the lists short however many lines there are, and of lines with an equal
+block only those stay candidates that differ in at most ``OTHER_BITS`` of 64 other bits.  SimHash is the method's
 candidate search: pairs further apart than 7 bits are found only by a chance equal block
 (measured recall in the README).
 
@@ -33,7 +34,7 @@ from ratesmith.session import cut_lineage
 
 SIMILARITY_PERCENT = 80
 BLOCKS = 8
-COMPARED, OTHER_BITS = 256, 20
+COMPARED, OTHER_BITS = 256, 10
 _SALTS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
@@ -204,21 +205,23 @@ def edit_distance(a: str, b: str) -> int:
 def similar(a: str, b: str) -> bool:
     longer = max(len(a), len(b))
     allowed = longer * (100 - SIMILARITY_PERCENT) // 100
-    return abs(len(a) - len(b)) <= allowed and edit_distance(a, b) <= allowed
+    if abs(len(a) - len(b)) > allowed:
+        return False
+    left, right = a.split(" "), b.split(" ")
+    if len(left) == len(right):  # exchanging the words that differ is one way of editing
+        if sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= allowed:
+            return True
+    return edit_distance(a, b) <= allowed
 
 
 def _verify_pairs(left: list[str], right: list[str]) -> list[bool]:
     return [similar(a, b) for a, b in zip(left, right)]
 
 
-def _verify_block(items: list[str], listed: list[list[int]], comp: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Verifies pairs that share a block value; components joined on the way are not compared again."""
-    link = np.zeros((len(items), len(items)), bool)
-    by_key: dict[int, list[int]] = {}
-    for i, keys in enumerate(listed):
-        for x in keys:
-            by_key.setdefault(x, []).append(i)
-    root = {int(c): int(c) for c in comp}
+def _verify_block(items: list[str], component: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Verifies the asked pairs; components joined on the way are not compared again."""
+    link = np.zeros(asked.shape, bool)
+    root = list(range(len(items)))
 
     def find(c: int) -> int:
         while root[c] != c:
@@ -226,19 +229,11 @@ def _verify_block(items: list[str], listed: list[list[int]], comp: np.ndarray, s
             c = root[c]
         return c
 
-    two, tried = (side == 1).any(), set()
-    for members in by_key.values():
-        for n, i in enumerate(members):
-            for j in members[n + 1:]:
-                if (two and side[i] == side[j]) or (i, j) in tried:
-                    continue
-                ci, cj = find(int(comp[i])), find(int(comp[j]))
-                if ci == cj:
-                    continue
-                tried.add((i, j))
-                if similar(items[i], items[j]):
-                    link[i, j] = link[j, i] = True
-                    root[ci] = cj
+    for i, j in zip(*np.nonzero(asked)):
+        ci, cj = find(int(component[i])), find(int(component[j]))
+        if ci != cj and similar(items[i], items[j]):
+            link[i, j] = True
+            root[ci] = cj
     return link
 
 
@@ -267,7 +262,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
         found = docs.join(ids, "doc_id", "left_semi")
     items = found.select("text").mapInArrow(_wanted_lines(chosen), "sig binary, item string")
     items = cut_lineage(items.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "line-texts")
-    groups = linked_components(entries.withColumn("band", F.lit(0)), items, _verify_pairs, _verify_block, with_lists=True)
+    groups = linked_components(entries.withColumn("band", F.lit(0)), items, _verify_pairs, _verify_block, by_list=True)
     member = distinct.join(groups.withColumnRenamed("node", "sig"), "sig", "left")
     member = member.where("times > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "sig"))
     kept = member.groupBy("component").agg(F.min("first").alias("kept"))

@@ -5,10 +5,11 @@ is told by a verification.  All pairs of a list are never made:
 
 1. Every item is verified against the first items of its lists in a few orders that all lists
    share, so that most of a large group hangs on the same few hubs.
-2. Items on connected lists form a family.  Only items of *different* components of a family
-   can still change the result, so only those are verified, block against block; blocks
-   lie within one component where it is large enough, and two blocks of one component are
-   not compared.  A task holds two blocks.
+2. The items of a list (or of lists that are connected by common items) form a family.  Only
+   items of *different* components of a family can still change the result, so only those
+   are verified: a small family at once, a larger one block against block.  Blocks lie within one
+   component where it is large enough, and two blocks of one component are not compared.  A
+   task holds two blocks, or small families one after the other.
 
 The result is the same as that of verifying all pairs of every family.
 """
@@ -37,25 +38,29 @@ def _pair_task(verify: Callable):
     return run
 
 
-def _block_task(verify: Callable):
+def _family_task(verify: Callable):
     def run(table: pa.Table) -> pa.Table:
-        comp = table.column("component").to_pylist()
-        number = np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
-        side = np.array(table.column("side").to_pylist())
-        link = verify(table.column("item").to_pylist(), table.column("listed").to_pylist(), number, side)
-        link = link & comparable(number, side)
-        # one pair of items is enough to join two components
-        pairs = np.unique(np.sort(np.stack(np.nonzero(link), axis=1), axis=1), axis=0) if link.any() else np.empty((0, 2), int)
-        joined = {tuple(sorted((comp[i], comp[j]))) for i, j in pairs}
-        return pa.table([pa.array([a for a, _ in joined], pa.binary()), pa.array([b for _, b in joined], pa.binary())], names=["a", "b"])
+        table = table.sort_by("family")
+        family = table.column("family").to_pylist()
+        comp, side = table.column("component").to_pylist(), np.array(table.column("side").to_pylist(), np.int8)
+        items = table.column("item").to_pylist()
+        cut = [0, *[i for i in range(1, len(family)) if family[i] != family[i - 1]], len(family)]
+        joined = set()
+        for i, j in zip(cut, cut[1:]):
+            number = np.unique(np.array(comp[i:j], dtype=object), return_inverse=True)[1]
+            asked = comparable(number, side[i:j])
+            if asked.any():
+                link = verify(items[i:j], number, asked) & asked
+                joined |= {tuple(sorted((comp[i + a], comp[i + b]))) for a, b in zip(*np.nonzero(link))}
+        pairs = sorted(joined)
+        return pa.table([pa.array([p[k] for p in pairs], pa.binary()) for k in range(2)], names=["a", "b"])
 
     return run
 
 
 def comparable(component: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Pairs a block task is asked about: of different components, and across the blocks if there are two."""
-    different = component[:, None] < component[None, :]
-    different |= different.T
+    """Pairs a task is asked about: of different components, and across the blocks if there are two."""
+    different = component[:, None] != component[None, :]
     if (side == 1).any():
         return different & (side[:, None] == 0) & (side[None, :] == 1)
     return np.triu(different)
@@ -69,25 +74,34 @@ def _stars(entries: DataFrame) -> DataFrame:
             .where("sig <> hub").select(F.least("sig", "hub").alias("a"), F.greatest("sig", "hub").alias("b")).distinct())
 
 
-def _cross_links(entries: DataFrame, items: DataFrame, linked: DataFrame, verify_block: Callable, with_lists: bool) -> DataFrame:
-    """Links between different components of one family, as pairs of components."""
+def _families(entries: DataFrame, by_list: bool) -> DataFrame:
+    """(sig, family): the lists of an item, or the one family of all lists it is connected to."""
+    if by_list:
+        return entries.select("sig", F.col("x").alias("family"))
     hubs = entries.groupBy("x").agg(F.min("sig").alias("hub"))
     lists = connected_components(entries.join(hubs, "x").select("sig", "hub"))
-    member = (lists.select(F.col("node").alias("sig"), F.col("component").alias("family"))
-              .join(linked.select(F.col("node").alias("sig"), "component"), "sig", "left")
+    return lists.select(F.col("node").alias("sig"), F.xxhash64("component").alias("family"))
+
+
+def _cross_links(entries: DataFrame, items: DataFrame, linked: DataFrame, verify_block: Callable, by_list: bool) -> DataFrame:
+    """Links between different components of one family, as pairs of components."""
+    chunks = 4 * int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    member = (_families(entries, by_list).join(linked.select(F.col("node").alias("sig"), "component"), "sig", "left")
               .withColumn("component", F.coalesce("component", "sig")))
     member = cut_lineage(member, "families")
     by_comp = member.groupBy("family", "component").agg(F.count("*").alias("k"))
     own = F.col("k") >= BLOCK // 2
-    mixed = by_comp.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+    mixed = by_comp.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("k").alias("all"),
                                           F.sum(F.when(own, 0).otherwise(F.col("k"))).alias("pool"))
-    mixed = mixed.where("lo <> hi").select("family", "pool")
-    blocked = (member.join(mixed, "family").join(by_comp, ["family", "component"])
+    mixed = mixed.where("lo <> hi").select("family", "all", "pool")
+    open_ = cut_lineage(member.join(mixed, "family"), "open-families")
+    small = open_.where(F.col("all") <= BLOCK).select(
+        F.pmod(F.xxhash64("family"), F.lit(chunks)).alias("task"), "family", F.lit(0).alias("side"), "sig", "component")
+    blocked = (open_.where(F.col("all") > BLOCK).join(by_comp, ["family", "component"])
                .withColumn("pure", F.when(own, F.col("component")))
                .withColumn("block", F.pmod(F.xxhash64("sig"), F.ceil(F.when(own, F.col("k")).otherwise(F.col("pool")) / BLOCK)))
                .withColumn("block_id", F.xxhash64("family", F.coalesce("pure", F.lit(b"")), "block"))
                .select("sig", "component", "family", "pure", "block_id"))
-    blocked = cut_lineage(blocked, "blocks")
     blocks = blocked.select("family", "block_id", "pure").distinct()
     other = blocks.select("family", F.col("block_id").alias("other_id"), F.col("pure").alias("other_pure"))
     pairs = (blocks.join(other, "family").where("block_id <= other_id")
@@ -95,22 +109,21 @@ def _cross_links(entries: DataFrame, items: DataFrame, linked: DataFrame, verify
              .select("family", "block_id", "other_id", F.xxhash64("family", "block_id", "other_id").alias("task")))
     sides = pairs.select("family", "block_id", "task", F.lit(0).alias("side")).union(
         pairs.where("block_id <> other_id").select("family", F.col("other_id").alias("block_id"), "task", F.lit(1).alias("side")))
-    rows = blocked.join(sides, ["family", "block_id"]).join(items, "sig")
-    if with_lists:
-        rows = rows.join(entries.groupBy("sig").agg(F.collect_set("x").alias("listed")), "sig")
-    else:
-        rows = rows.withColumn("listed", F.lit(None).cast("array<long>"))
-    return rows.select("task", "side", "sig", "component", "item", "listed").groupBy("task").applyInArrow(
-        _block_task(verify_block), "a binary, b binary")
+    large = blocked.join(sides, ["family", "block_id"]).select("task", "family", "side", "sig", "component")
+    rows = small.withColumn("large", F.lit(False)).union(large.withColumn("large", F.lit(True))).join(items, "sig")
+    return rows.select("large", "task", "family", "side", "component", "item").groupBy("large", "task").applyInArrow(
+        _family_task(verify_block), "a binary, b binary")
 
 
 def linked_components(entries: DataFrame, items: DataFrame, verify_pairs: Callable, verify_block: Callable,
-                      known: DataFrame | None = None, with_lists: bool = False) -> DataFrame:
+                      known: DataFrame | None = None, by_list: bool = False) -> DataFrame:
     """(node, component) of all items linked to another, by verified or ``known`` links.
 
     ``entries``: sig binary, x long (list key), band (items of different bands have no common hub).
-    ``items``: sig, item (what the verification reads).  ``verify_pairs(left, right)`` gives a
-    truth value per pair; ``verify_block(items, lists, component, side)`` a matrix of them.
+    ``items``: sig, item (what the verification reads).  ``verify_pairs(left, right)`` gives a truth
+    value per pair; ``verify_block(items, component, asked)`` a matrix of the links among the
+    ``asked`` pairs (it may leave out links that others imply).  ``by_list`` compares items of one
+    list only, which suits short lists and small items; else lists that share items are compared as one.
     """
     pairs = _stars(entries)
     verified = (pairs.join(items.select(F.col("sig").alias("a"), F.col("item").alias("left")), "a")
@@ -118,7 +131,7 @@ def linked_components(entries: DataFrame, items: DataFrame, verify_pairs: Callab
                 .select("a", "b", "left", "right").mapInArrow(_pair_task(verify_pairs), "a binary, b binary"))
     links = cut_lineage(verified if known is None else verified.union(known), "links")
     linked = cut_lineage(connected_components(links), "linked")
-    more = cut_lineage(_cross_links(entries.select("sig", "x"), items, linked, verify_block, with_lists), "cross-links")
+    more = cut_lineage(_cross_links(entries.select("sig", "x"), items, linked, verify_block, by_list), "cross-links")
     roots = connected_components(more)
     root = roots.select(F.col("node").alias("component"), F.col("component").alias("root"))
     label = linked.join(root, "component", "left").select("node", F.coalesce("root", "component").alias("component"))

@@ -177,7 +177,7 @@ def _describe(batches):
 def _subset_keys(boundary: int):
     def run(batches):
         for batch in batches:
-            sign, keys = [], []
+            sign, keys, lesser = [], [], []
             for sig, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = np.frombuffer(items, np.uint64)
                 n = len(h)
@@ -191,17 +191,19 @@ def _subset_keys(boundary: int):
                             for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
                     keys.append(np.stack(pair, axis=1))
                     sign += [sig] * len(chosen)
+                    lesser += [n <= m] * len(chosen)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sign, pa.binary()), _fixed_binary(np.concatenate(keys) if keys else np.empty((0, 2), np.uint64))],
-                names=["sig", "subset"])
+                [pa.array(sign, pa.binary()), _fixed_binary(np.concatenate(keys) if keys else np.empty((0, 2), np.uint64)),
+                 pa.array(lesser, pa.bool_())], names=["sig", "subset", "lesser"])
 
     return run
 
 
 def _light_edges(sets: DataFrame, boundary: int) -> DataFrame:
     keys = sets.where((F.col("n") <= boundary) & (F.col("n") > 0)).select("sig", "items").mapInArrow(
-        _subset_keys(boundary), "sig binary, subset binary")
-    hubs = keys.groupBy("subset").agg(F.min("sig").alias("hub"))
+        _subset_keys(boundary), "sig binary, subset binary, lesser boolean")
+    # a subset of o(a, b) links sets of a with all of a and b, but not two sets of the greater size
+    hubs = keys.where("lesser").groupBy("subset").agg(F.min("sig").alias("hub"))
     return keys.join(hubs, "subset").where("sig <> hub").select("sig", "hub").distinct()
 
 

@@ -23,7 +23,7 @@ from ratesmith.operators.closure import rate_closure  # noqa: E402
 from ratesmith.operators.timeseries import fill_calendar  # noqa: E402
 from ratesmith.plans import fixtures as FX  # noqa: E402
 from ratesmith.plans.queries import QUERIES  # noqa: E402
-from ratesmith.session import build_session  # noqa: E402
+from ratesmith.session import build_session, lineage_scope  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -45,9 +45,10 @@ BENCH = {
 
 
 def run_once(spark, fn) -> float:
-    t0 = time.perf_counter()
-    fn(spark, SF_DIR).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    with lineage_scope(spark):
+        t0 = time.perf_counter()
+        fn(spark, SF_DIR).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
 
 
 def main() -> None:
@@ -65,8 +66,9 @@ def main() -> None:
         try:
             run_once(spark, fn)  # warm-up: JIT, file listing, parquet footers
             times[name] = round(statistics.median(run_once(spark, fn) for _ in range(RUNS)), 3)
-            df = fn(spark, SF_DIR)
-            counts[name] = df.count()
+            with lineage_scope(spark):
+                df = fn(spark, SF_DIR)
+                counts[name] = df.count()
             shuffles[name] = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
         except Exception as exc:  # report the others; the failure is visible in the line
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"

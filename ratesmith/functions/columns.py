@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Stablecoin folded into its fiat currency when two feeds meet.
@@ -80,3 +80,19 @@ def pair_in(pairs: Sequence[tuple[str, str]], asset: str = "asset", quote: str =
     for a, q in pairs:
         cond = cond | ((F.col(asset) == F.lit(a)) & (F.col(quote) == F.lit(q)))
     return cond
+
+
+# Rows generated at a time when a row is repeated.
+REPEAT_CHUNK = 10_000
+
+
+def repeat_rows(df: DataFrame, count_col: str, chunk: int = REPEAT_CHUNK) -> DataFrame:
+    """Each row ``count_col`` times (a 64-bit count), without the count.
+
+    Two generators: one row per chunk, then at most ``chunk`` copies each, so no array
+    holds all copies of a row.
+    """
+    n = F.col(count_col).cast("long")
+    out = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / F.lit(chunk)).cast("long"))))
+    here = F.least(F.lit(chunk).cast("long"), n - F.col("_chunk") * F.lit(chunk))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), here))).drop("_chunk", "_copy", count_col)

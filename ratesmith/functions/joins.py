@@ -17,11 +17,9 @@ DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan, or None if unavailable."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # Spark Connect or a plan without statistics
+    if not hasattr(df, "_jdf"):  # Spark Connect
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratesmith.functions.columns import (
+    repeat_rows,
     either_side_in,
     normalise_stablecoin,
     pair_in,
@@ -102,6 +103,8 @@ def filter_currencies(df: DataFrame, currencies: Iterable[str] = MARKET_CURRENCI
 # a key, and nothing is expanded.
 
 WEIGHT = "_w"
+# Flag (1) of rows of weight 0 that count as one copy together, however often they occur.
+ONCE = "_once"
 
 
 def with_weight(rates_df: DataFrame) -> DataFrame:
@@ -112,11 +115,10 @@ def with_weight(rates_df: DataFrame) -> DataFrame:
 
 
 def expand_counts(df: DataFrame, *count_cols: str) -> DataFrame:
-    """Repeat each row ``product(count_cols)`` times (one generator per count,
-    so no array is longer than one factor)."""
+    """Repeat each row ``product(count_cols)`` times (64-bit counts, see :func:`repeat_rows`)."""
     for c in count_cols:
-        df = df.withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c).cast("int"))))
-    return df.drop(*count_cols)
+        df = repeat_rows(df, c)
+    return df
 
 
 def _finish(df: DataFrame, factors: tuple[str, str], weights: bool) -> DataFrame:
@@ -184,31 +186,30 @@ def reconcile_feeds(primary: DataFrame, secondary: DataFrame,
 def _cross(rates_df: DataFrame, specs, combine, weights: bool) -> DataFrame:
     """For each (asset, quote, src pair, trg pair): join the two pairs' rows on date.
 
-    Weighted rows pair as they are (copies are already weights; the weights
-    multiply); plain rows give the bag of the row-level join.
+    A generator tags every row with the legs it fills; the source legs are then joined with
+    the target legs once on (derivation, date), so the plan has two scans and one join
+    however many derivations there are.  Weighted rows pair as they are (copies are
+    already weights; the weights multiply); plain rows give the bag of the row-level join.
     """
     if weights:
         rates_df = with_weight(rates_df)
-
-    def side(pair: tuple[str, str], name: str) -> DataFrame:
-        weight = [F.col(WEIGHT).alias(f"{name}_w")] if weights else []
-        return rates_df.where(pair_in([pair])).select(
-            "date", F.col("rate").cast("double").alias(f"{name}_rate"), *weight)
-
-    parts = []
-    for asset, quote, src_pair, trg_pair in specs:
-        src, trg = side(src_pair, "src"), side(trg_pair, "trg")
-        w = [(F.col("src_w") * F.col("trg_w")).alias(WEIGHT)] if weights else []
-        parts.append(src.join(trg, "date").select(
-            F.lit(asset).alias("asset"), F.lit(quote).alias("quote"), "date",
-            combine(F.col("trg_rate"), F.col("src_rate")).alias("rate"), *w))
-    if not parts:
+    if not specs:
         empty = rates_df.select(*RATE_COLUMNS).where(F.lit(False))
         return with_weight(empty) if weights else empty
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def legs(which: int, name: str) -> DataFrame:
+        wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(spec[which][0]).alias("a"), F.lit(spec[which][1]).alias("q"))
+                           for k, spec in enumerate(specs)])
+        filled = F.filter(wanted, lambda w: (w["a"] == F.col("asset")) & (w["q"] == F.col("quote")))
+        weight = [F.col(WEIGHT).alias(f"{name}_w")] if weights else []
+        return (rates_df.where(pair_in([spec[which] for spec in specs])).withColumn("leg", F.explode(filled))
+                .select(F.col("leg.k").alias("k"), "date", F.col("rate").cast("double").alias(f"{name}_rate"), *weight))
+
+    new = [F.array(*[F.lit(spec[i]) for spec in specs]) for i in range(2)]
+    w = [(F.col("src_w") * F.col("trg_w")).alias(WEIGHT)] if weights else []
+    return legs(2, "src").join(legs(3, "trg"), ["k", "date"]).select(
+        F.get(new[0], F.col("k")).alias("asset"), F.get(new[1], F.col("k")).alias("quote"), "date",
+        combine(F.col("trg_rate"), F.col("src_rate")).alias("rate"), *w)
 
 
 def cross_rate_common_base(rates_df: DataFrame,
@@ -264,6 +265,27 @@ def identity_rates(rates_df: DataFrame) -> DataFrame:
                            F.lit(1.0).alias("rate")).dropDuplicates()
 
 
+def with_inverses_and_identities(rates_df: DataFrame, pairs: Sequence[tuple[str, str]] = INVERSE_PAIRS) -> DataFrame:
+    """Weighted rows, the inverses of the listed pairs, and the identities of all their assets, in one pass.
+
+    One generator per row instead of a union of re-reads.  The same rows as
+    ``rows + inverse_rates(rows)`` followed by ``+ identity_rates(...)``: identities are
+    distinct there, so here they have weight 0 and the flag ``ONCE``, which adds one copy per key.
+    """
+    rates_df = with_weight(rates_df)
+
+    def row(asset, quote, rate, weight, once):
+        return F.struct(asset.alias("asset"), quote.alias("quote"), rate.cast("double").alias("rate"),
+                        weight.cast("long").alias(WEIGHT), F.lit(once).alias(ONCE))
+
+    asset, quote, rate, weight = F.col("asset"), F.col("quote"), F.col("rate"), F.col(WEIGHT)
+    one, none, listed = F.lit(1.0), F.lit(0), pair_in(pairs)
+    rows = F.array(row(asset, quote, rate, weight, 0), row(asset, asset, one, none, 1),
+                   F.when(listed, row(quote, asset, safe_inverse("rate"), weight, 0)),
+                   F.when(listed, row(quote, quote, one, none, 1)))
+    return rates_df.select("date", F.inline(F.filter(rows, lambda r: r.isNotNull()))).select(*RATE_COLUMNS, WEIGHT, ONCE)
+
+
 def distinct_rates(df: DataFrame) -> DataFrame:
     """Full-row distinct (NULLs compare equal); partial dedupe happens map-side."""
     return df.dropDuplicates()

@@ -29,7 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratesmith.operators.rates import WEIGHT
+from ratesmith.functions.columns import repeat_rows
+from ratesmith.operators.rates import ONCE, WEIGHT
 
 FILL_LIMIT = 3
 
@@ -66,7 +67,7 @@ def dense_calendar(rates_df: DataFrame) -> DataFrame:
     joined = spine.join(counted, ["asset", "quote", "date"], "left").select(
         "asset", "quote", "date", "rate", F.col("n").isNotNull().alias("observed"),
         F.coalesce(F.col("n"), F.lit(1)).alias("n"))
-    return joined.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("n")
+    return repeat_rows(joined, "n")
 
 
 def observed_days(rates_df: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
 
     The distinct is a partial aggregate that also counts each distinct row's
     copies (a multiplicity column ``WEIGHT``, if present, counts as that many
-    copies).  Its result is the first half of the output, and, summed per
+    copies; rows flagged ``ONCE`` add one copy together).  Its result is the first half of the output, and, summed per
     (pair, day) into the day's donor and row count, the input of the fill's
     ordered pass.  Both halves read the same shuffle (exchange reuse), and the
     fill's window sees one row per pair-day, however many distinct rates a day
@@ -162,6 +163,8 @@ def fill_calendar(rates_df: DataFrame, limit: int = FILL_LIMIT) -> DataFrame:
     """
     weighted = WEIGHT in rates_df.columns
     copies = F.sum(WEIGHT) if weighted else F.count(F.lit(1))
+    if ONCE in rates_df.columns:
+        copies = copies + F.max(ONCE)
     if rates_df.schema["rate"].dataType.typeName() != "double":
         rates_df = rates_df.withColumn("rate", F.col("rate").cast("double"))
     rows = rates_df.groupBy("asset", "quote", "date", "rate").agg(copies.alias("n"))

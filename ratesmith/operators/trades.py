@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ratesmith.functions.columns import parse_date, split_part, strip_to_number, to_double
 from ratesmith.functions.joins import broadcast_if_small
+from ratesmith.session import cut_lineage
 
 TRADE_COLUMNS = (
     "exchange", "date", "Pair", "side", "executed", "amount", "price",
@@ -32,12 +33,11 @@ TRADE_COLUMNS = (
 # The reference currencies trades are valued in.
 VALUATION_CURRENCIES = ("BTC", "USDT")
 
-# Size bound (optimizer estimate, i.e. the lookup's file size once materialized)
-# under which a currency's rate lookup is broadcast.  Higher than Spark's
-# default because the other side is the trades: ten years of daily rates for
-# ~2000 assets is a few hundred MB in memory per executor, while the sort-merge
-# alternative shuffles every trade.
-LOOKUP_BROADCAST_BYTES = 128 * 1024 * 1024
+# Rows of the combined lookup up to which it is broadcast.  A built hash relation
+# of such rows takes about 140 bytes a row (measured), so the bound is about 280 MB
+# per executor for all currencies together: ten years of daily rates for 500 assets.
+LOOKUP_BROADCAST_ROWS = 2_000_000
+LOOKUP_ROW_BYTES = 140
 
 
 @dataclass(frozen=True)
@@ -158,10 +158,25 @@ def valuation_columns(currencies: Sequence[str] = VALUATION_CURRENCIES) -> list[
     return names
 
 
+def valuation_lookup(rates_df: DataFrame, currencies: Sequence[str] = VALUATION_CURRENCIES) -> DataFrame:
+    """``_date, _asset`` and one ``<currency>_rate`` per currency: the series joined on the rates' side.
+
+    A key with m rates in one currency and n in another gives m * n rows, as joining
+    trades with one series after the other would; a key missing from a series has NULL there.
+    """
+    out = None
+    for cur in currencies:
+        one = rates_df.where((F.col("quote") == F.lit(cur)) & F.col("asset").isNotNull() & F.col("date").isNotNull()).select(
+            F.col("date").alias("_date"), F.col("asset").alias("_asset"),
+            F.col("rate").cast("double").alias(f"{_prefix(cur)}_rate"))
+        out = one if out is None else out.join(one, ["_date", "_asset"], "full_outer")
+    return out
+
+
 def value_trades(trades: DataFrame, rates_df: DataFrame,
                  currencies: Sequence[str] = VALUATION_CURRENCIES,
                  missing_rate: float | None = 1.0,
-                 broadcast_bytes: int = LOOKUP_BROADCAST_BYTES) -> DataFrame:
+                 broadcast_rows: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
     """Value each trade in each reference currency.
 
     For currency C: the trade's base asset is looked up as ``baseAsset/C`` on
@@ -172,21 +187,24 @@ def value_trades(trades: DataFrame, rates_df: DataFrame,
     ``total_asset_sold``).  A missing rate counts as ``missing_rate`` (1 by
     default; ``None`` leaves the value NULL).
 
-    Plan: each currency's rates are one quote's series (assets x days), joined
-    on (date, baseAsset).  The series is broadcast when its estimated size is
-    under ``broadcast_bytes``, else the join is a sort-merge join whose skewed
-    trade partitions adaptive execution splits; both lookups use the same
-    keys, so a second shuffle of the trades is never needed.
+    Plan: the currencies' series are combined first (assets x days, without the
+    trades) and written to the checkpoint folder, which runs a job while the
+    result is being built; the trades are joined once.  The lookup is broadcast
+    when it has at most ``broadcast_rows`` rows.  Beyond that the one join is a
+    sort-merge join directly over two shuffles, whose skewed trade partitions
+    adaptive execution splits.  Trades without a date or base asset cannot
+    match and are spread over the partitions instead of sharing one.
     """
-    t = trades
-    for cur in currencies:
-        p = _prefix(cur)
-        lookup = rates_df.where(F.col("quote") == F.lit(cur)).select(
-            F.col("asset").alias(f"_{p}_asset"), F.col("date").alias(f"_{p}_date"),
-            F.col("rate").cast("double").alias(f"{p}_rate"))
-        lookup = broadcast_if_small(lookup, broadcast_bytes)
-        t = t.join(lookup, (F.col("date") == F.col(f"_{p}_date"))
-                   & (F.col("baseAsset") == F.col(f"_{p}_asset")), "left")
+    lookup = cut_lineage(valuation_lookup(rates_df, currencies), "valuation-lookup")
+    small = lookup.count() <= broadcast_rows
+    if small:
+        t = trades.join(F.broadcast(lookup), (F.col("date") == F.col("_date")) & (F.col("baseAsset") == F.col("_asset")), "left")
+    else:
+        keyed = F.col("date").isNotNull() & F.col("baseAsset").isNotNull()
+        loose = F.when(~keyed, F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
+        t = trades.withColumn("_key", F.coalesce(loose, F.concat_ws("\1", F.col("date").cast("string"), "baseAsset")))
+        lookup = lookup.withColumn("_lookup_key", F.concat_ws("\1", F.col("_date").cast("string"), "_asset"))
+        t = t.join(lookup, F.col("_key") == F.col("_lookup_key"), "left")
 
     out = {}
     for cur in currencies:

@@ -49,12 +49,13 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
     drops and the row-counted fill counts, so no step emits every pair of
     copies within a key.
 
-    Every derivation reads all rows before it, so each branch would otherwise
-    recompute the reconciliation (each pushes its own pair filter into it, so
-    no two branches share a subplan).  With ``materialize`` the reconciled
-    base (already cut down to the listed currencies) is written once to the
-    checkpoint folder: the branches' pair filters then reach that table's
-    scan, and a lost executor does not send Spark back to the feeds.
+    The cross-rates join tagged legs once per kind, and inverses and identities come from
+    one generator, so the number of scans and joins does not depend on how many
+    derivations are listed.  The branches would each recompute the reconciliation; with
+    ``materialize`` the reconciled base (already cut down to the listed currencies) is
+    written once to the checkpoint folder, which runs a job while the result is being
+    built: pair filters then reach that table's scan, and a lost executor does not send
+    Spark back to the feeds.
     """
     listed = list(currencies)
     base = R.reconcile_feeds(primary, secondary, currencies=listed, weights=True)
@@ -62,9 +63,7 @@ def market_rates(primary: DataFrame, secondary: DataFrame,
         base = cut_lineage(base, "market-base")
     united = base.unionByName(R.cross_rate_common_base(base, common_base, weights=True))
     united = united.unionByName(R.cross_rate_chain(united, chains, weights=True))
-    united = united.unionByName(R.inverse_rates(united, inverse_pairs))
-    united = united.unionByName(R.with_weight(R.identity_rates(united.drop(R.WEIGHT))))
-    return fill_calendar(united, limit)
+    return fill_calendar(R.with_inverses_and_identities(united, inverse_pairs), limit)
 
 
 def trade_history(binance_raw: DataFrame, symbols: DataFrame, exmo_raw: DataFrame,

@@ -2,7 +2,10 @@
 
 For callers that work with the catalog (tables registered by
 :func:`ratesmith.sources.files.register_rate_tables`): one method per
-computation the original services offered, each returning a lazy DataFrame.
+computation the original services offered.  Each returns a lazy DataFrame, except
+that ``market_rates`` and ``trade_history`` first write small tables to the checkpoint
+folder, which runs jobs.  Call these inside ``session.lineage_scope`` to have the tables
+removed afterwards.
 
     svc = RateCatalog(spark)
     svc.register(currencylayer_root=..., crypto_root=...)

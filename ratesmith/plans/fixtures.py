@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratesmith.functions.joins import estimated_bytes
-
 # Fixture rules (fixed values).
 # event_type -> asset currency
 EVENT_ASSET = {"view": "USD", "click": "BTC", "purchase": "SOL", "signup": "EUR", "error": "USDT"}
@@ -36,26 +34,14 @@ TRADE_EPOCH = "2024-01-01"
 USER_EXCHANGE = ["binance", "kraken"]
 
 
-# Below this size one task gets through a table's rows faster than a shuffle
-# spreads them.
-SPREAD_MIN_BYTES = 8 * 1024 * 1024
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.  The test files are single parquet row groups, which
-    Spark cannot split: a large scan with fewer splits than the session has
-    cores is spread round-robin so the row-wise work after it runs on every
-    core.  On real data (many files and row groups) this never applies."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    size = estimated_bytes(df) or 0
-    if size < SPREAD_MIN_BYTES:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no access to the scan's splits (e.g. a remote session): leave it
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """One driver table, spread round-robin over the session's cores.
+
+    The test files are single parquet row groups, which Spark cannot split.  The
+    spread is part of these test views only, at every size alike; the jobs read
+    their files as they are.
+    """
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism)
 
 
 def _lookup(key: Column, mapping: dict | list) -> Column:
@@ -164,6 +150,30 @@ def investing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("string").alias("Change"), "asset", "quote")
 
 
+def ohlc_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``ohlc`` over all events, with repeated rows and NULL and zero closes on some days, and days left out."""
+    ev = _event_currencies(spark, sf_dir)
+    day = F.dayofmonth("date")
+    daily = (ev.where(F.col("asset") != F.col("quote")).groupBy("asset", "quote", "date")
+             .agg(F.max("value").alias("v"), F.min("value").alias("Low")).where(day % 9 != 4))
+    close = F.when(day % 7 == 0, F.lit(None)).when(day % 5 == 0, F.lit(0.0)).otherwise(F.col("v"))
+    return daily.select(F.col("date").alias("Timestamp"), F.col("v").alias("High"), "Low", F.col("Low").alias("Open"),
+                        close.cast("double").alias("Close"), "asset", "quote",
+                        F.explode(F.sequence(F.lit(1), F.when(day % 3 == 0, 3).otherwise(1))).alias("copy")).drop("copy")
+
+
+def investing_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``investing`` over all events, with repeated rows and NULL and zero prices on some days."""
+    ev = _event_currencies(spark, sf_dir).withColumn(
+        "asset", F.when(F.col("asset") == "USDT", F.lit("USD")).otherwise(F.col("asset")))
+    day = F.dayofmonth("date")
+    daily = (ev.where(F.col("asset") != F.col("quote")).groupBy("asset", "quote", "date")
+             .agg(F.min("value").alias("v")).where(day % 4 != 0))
+    price = F.when(day % 11 == 0, F.lit(None)).when(day % 13 == 0, F.lit(0.0)).otherwise(F.col("v"))
+    return daily.select(F.date_format("date", "MM/dd/yyyy").alias("Date"), price.cast("double").alias("Price"), "asset", "quote",
+                        F.explode(F.sequence(F.lit(1), F.when(day % 2 == 0, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
 def klines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One kline batch per ``ohlc`` row, as exchange JSON text in column ``value``.
 
@@ -321,8 +331,21 @@ SQL_VIEWS["trades_b"] = (
     "SELECT *, " + _sql_lookup("o_custkey % 3", TRADE_BASE) + " AS b, "
     + _sql_lookup("o_orderkey % 2", TRADE_QUOTE) + " AS q FROM orders) WHERE b <> q")
 
+SQL_VIEWS["ohlc_r"] = (
+    "SELECT date AS \"Timestamp\", CASE WHEN day(date) % 7 = 0 THEN NULL WHEN day(date) % 5 = 0 THEN 0.0 ELSE v END AS \"Close\", "
+    "asset, quote FROM (SELECT asset, quote, date, max(value) AS v, "
+    "unnest(range(CASE WHEN day(date) % 3 = 0 THEN 3 ELSE 1 END)) AS copy FROM ev "
+    "WHERE asset <> quote AND day(date) % 9 <> 4 GROUP BY asset, quote, date)")
+
+SQL_VIEWS["mkt_r"] = (
+    "SELECT asset, quote, strftime(date, '%m/%d/%Y') AS dt, "
+    "CASE WHEN day(date) % 11 = 0 THEN NULL WHEN day(date) % 13 = 0 THEN 0.0 ELSE v END AS price "
+    "FROM (SELECT asset, quote, date, min(value) AS v, unnest(range(CASE WHEN day(date) % 2 = 0 THEN 2 ELSE 1 END)) AS copy FROM ("
+    "SELECT CASE WHEN asset = 'USDT' THEN 'USD' ELSE asset END AS asset, quote, date, value FROM ev) "
+    "WHERE asset <> quote AND day(date) % 4 <> 0 GROUP BY asset, quote, date)")
+
 # Which views each view reads, so a query can pull in only what it needs.
-_SQL_DEPS = {"fx": ["ev"], "fx_wide": ["ev"], "ohlc": ["ev"], "crypto": ["ev"], "mkt": ["ev"],
+_SQL_DEPS = {"fx": ["ev"], "fx_wide": ["ev"], "ohlc": ["ev"], "crypto": ["ev"], "mkt": ["ev"], "ohlc_r": ["ev"], "mkt_r": ["ev"],
              "trades_a": [], "trades_b": [], "ev": []}
 
 

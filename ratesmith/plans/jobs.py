@@ -10,6 +10,8 @@ nothing; every write runs on the executors.
     python -m ratesmith.plans.jobs market-rates --ohlc ROOT --investing ROOT --out DIR
     python -m ratesmith.plans.jobs trade-history --binance GLOB --exmo GLOB \\
         --symbols PATH --rates DIR --out DIR [--currencies BTC,USDT]
+    python -m ratesmith.plans.jobs exchange-trades --crypto ROOT --binance GLOB --exmo GLOB \\
+        --symbols PATH --out DIR        (rates, latest rates and trade history from the same rates)
 
 With ``--jdbc-url`` (plus ``--jdbc-driver``, ``--jdbc-user`` and
 ``--jdbc-password-env``, the name of the variable holding the password) the
@@ -66,10 +68,23 @@ def publish_exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) ->
     read from there, so the feed is scanned and filled once.
     """
     with lineage_scope(spark):
-        rates = cut_lineage(assembly.exchange_rates(SF.read_crypto_rates(spark, crypto_root)),
-                            "exchange-rates")
-        sink(rates, EXCHANGE_RATES_TABLE)
-        sink(R.latest_rates(rates), LATEST_RATES_TABLE)
+        _exchange_rates(spark, crypto_root, sink)
+
+
+def _exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) -> DataFrame:
+    rates = cut_lineage(assembly.exchange_rates(SF.read_crypto_rates(spark, crypto_root)), "exchange-rates")
+    sink(rates, EXCHANGE_RATES_TABLE)
+    sink(R.latest_rates(rates), LATEST_RATES_TABLE)
+    return rates
+
+
+def publish_exchange_and_trades(spark: SparkSession, crypto_root: str, binance_glob: str, exmo_glob: str,
+                                symbols_path: str, sink: Sink,
+                                currencies: tuple[str, ...] = TR.VALUATION_CURRENCIES) -> None:
+    """Exchange rates, latest rates and the trade history valued with those same rates, in one run."""
+    with lineage_scope(spark):
+        rates = _exchange_rates(spark, crypto_root, sink)
+        _trade_history(spark, binance_glob, exmo_glob, symbols_path, rates, sink, currencies)
 
 
 def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: str, sink: Sink,
@@ -92,11 +107,25 @@ def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str
     planner sees its real size and broadcasts it, instead of shuffling every
     trade by pair.
     """
+    with lineage_scope(spark):
+        _trade_history(spark, binance_glob, exmo_glob, symbols_path, rates, sink, currencies)
+
+
+def _trade_history(spark, binance_glob, exmo_glob, symbols_path, rates, sink, currencies) -> None:
     binance = SF.read_trade_exports(spark, binance_glob)
     exmo = SF.read_trade_exports(spark, exmo_glob)
-    with lineage_scope(spark):
-        symbols = cut_lineage(XJ.read_symbols(spark, symbols_path), "symbols")
-        sink(assembly.trade_history(binance, symbols, exmo, rates, currencies), TRADE_HISTORY_TABLE)
+    symbols = cut_lineage(XJ.read_symbols(spark, symbols_path), "symbols")
+    sink(assembly.trade_history(binance, symbols, exmo, rates, currencies), TRADE_HISTORY_TABLE)
+
+
+# The arguments each job cannot do without.
+NEEDED = {
+    "closed-rates": ("currencylayer",),
+    "exchange-rates": ("crypto",),
+    "market-rates": ("ohlc", "investing"),
+    "trade-history": ("binance", "exmo", "symbols", "rates"),
+    "exchange-trades": ("crypto", "binance", "exmo", "symbols"),
+}
 
 
 def _sink_from_args(args) -> Sink:
@@ -110,7 +139,7 @@ def _sink_from_args(args) -> Sink:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="ratesmith.plans.jobs")
-    p.add_argument("job", choices=["closed-rates", "exchange-rates", "market-rates", "trade-history"])
+    p.add_argument("job", choices=list(NEEDED))
     p.add_argument("--currencylayer")
     p.add_argument("--crypto")
     p.add_argument("--ohlc")
@@ -129,6 +158,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--master")
     args = p.parse_args(argv)
 
+    missing = [f"--{a}" for a in NEEDED[args.job] if not getattr(args, a)]
+    if missing:
+        p.error(f"{args.job} needs {' '.join(missing)}")
+    if not (args.out or args.jdbc_url):
+        p.error("give --out or --jdbc-url")
+
     spark = build_session(args.master)
     sink = _sink_from_args(args)
     if args.job == "closed-rates":
@@ -138,6 +173,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "market-rates":
         cur = tuple(args.currencies.split(",")) if args.currencies else R.MARKET_CURRENCIES
         publish_market_rates(spark, args.ohlc, args.investing, sink, currencies=cur)
+    elif args.job == "exchange-trades":
+        cur = tuple(args.currencies.split(",")) if args.currencies else TR.VALUATION_CURRENCIES
+        publish_exchange_and_trades(spark, args.crypto, args.binance, args.exmo, args.symbols, sink, cur)
     else:
         cur = tuple(args.currencies.split(",")) if args.currencies else TR.VALUATION_CURRENCIES
         publish_trade_history(spark, args.binance, args.exmo, args.symbols,

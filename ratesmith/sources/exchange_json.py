@@ -2,7 +2,9 @@
 
 Both arrive as JSON text (a file per response, or a column of documents).
 Parsing is ``from_json`` with a fixed schema, so unknown fields are ignored
-and nothing passes through the driver.
+and nothing passes through the driver.  A document that does not parse, or that
+is not the expected reply (an error reply, a NULL), fails the query: dropping it
+would silently lose every trade of its symbols or every day of its batch.
 """
 
 from __future__ import annotations
@@ -29,8 +31,15 @@ def symbols_from_documents(docs: DataFrame, text_col: str = "value") -> DataFram
 
     One row per listed symbol; other fields are ignored.
     """
-    parsed = docs.select(F.from_json(F.col(text_col), EXCHANGE_INFO_SCHEMA).alias("doc"))
-    return parsed.select(F.inline(F.col("doc.symbols"))).select(*SYMBOL_FIELDS)
+    parsed = F.from_json(F.col(text_col), EXCHANGE_INFO_SCHEMA, {"mode": "FAILFAST"})
+    listed = docs.select(_required(parsed["symbols"], text_col, "symbol list").alias("symbols"))
+    return listed.select(F.inline("symbols")).select(*SYMBOL_FIELDS)
+
+
+def _required(value: Column, text_col: str, what: str) -> Column:
+    """``value``, or an error naming the start of the document when it is NULL."""
+    message = F.concat(F.lit(f"not a {what}: "), F.coalesce(F.substring(text_col, 1, 200), F.lit("NULL")))
+    return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
 
 
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +59,8 @@ def klines_daily(batches: DataFrame, text_col: str = "value") -> DataFrame:
     milliseconds) as a UTC date, prices as the exchange wrote them, and the
     ``yyyy-MM`` month the row is filed under.  Repeated klines are kept.
     """
-    klines = batches.select(F.explode(F.from_json(F.col(text_col), KLINES_SCHEMA)).alias("k"))
+    parsed = F.from_json(F.col(text_col), KLINES_SCHEMA, {"mode": "FAILFAST"})
+    klines = batches.select(F.explode(_required(parsed, text_col, "kline batch")).alias("k"))
     open_ms = _kline_item(F.col("k"), KLINE_OPEN_TIME).cast("bigint")
     day = F.to_date(F.timestamp_millis(open_ms))
     return klines.select(

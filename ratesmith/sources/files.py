@@ -128,7 +128,8 @@ def register_rate_tables(spark: SparkSession, currencylayer_root: str | None = N
     Tables: ``currencylayer`` (headerless), ``binance_currencies`` (OHLC),
     ``crypto_rates`` (OHLC under ``exchange=/asset=/quote=``; other folders in
     its root are not partitions and are ignored) and ``investing_currencies``
-    (quoted, text dates).  Returns the names registered.
+    (quoted, text dates).  A table of that name is replaced, so a changed root takes
+    effect (the tables are unmanaged: no file is touched).  Returns the names registered.
     """
     done = []
     if currencylayer_root:
@@ -136,14 +137,15 @@ def register_rate_tables(spark: SparkSession, currencylayer_root: str | None = N
                            replace=True)
         done.append("currencylayer")
     if ohlc_root:
-        register_csv_table(spark, "binance_currencies", ohlc_root, OHLC_SCHEMA, header=True)
+        register_csv_table(spark, "binance_currencies", ohlc_root, OHLC_SCHEMA, header=True,
+                           replace=True)
         done.append("binance_currencies")
     if crypto_root:
         register_csv_table(spark, "crypto_rates", crypto_root, OHLC_SCHEMA,
-                           partition_cols=("exchange",) + PAIR_PARTITIONS, header=True)
+                           partition_cols=("exchange",) + PAIR_PARTITIONS, header=True, replace=True)
         done.append("crypto_rates")
     if investing_root:
         register_csv_table(spark, "investing_currencies", investing_root, INVESTING_SCHEMA,
-                           header=True, quote='"', escape='"')
+                           header=True, replace=True, quote='"', escape='"')
         done.append("investing_currencies")
     return done

@@ -4,10 +4,17 @@ The JDBC overwrite truncates the target and inserts in batches from every
 partition in parallel; it is not atomic (readers can see an empty or partly
 filled table while it runs).
 
-Each task's inserts are one transaction (``READ_COMMITTED``), so a task that
-dies with its executor leaves nothing behind and its retry cannot duplicate
-rows.  The original deployment wrote with ``isolationLevel=NONE`` (no
-transactions), which is faster but not safe under task retries; pass
+The result is first computed into a table in the shared checkpoint folder, at
+its own parallelism; only the copy from there into the database is held to a
+number of connections (Spark's writer coalesces its input, which would
+otherwise run the whole computation in that few tasks).
+
+Each task's inserts are one transaction (``READ_COMMITTED``): a task that fails
+before its commit leaves nothing behind.  A task that has committed but whose
+executor is lost before it reports is run again and inserts its rows a second
+time, so after such a loss the overwrite must be repeated; write to a staging
+table and rename it where readers may not see that.  The original deployment
+wrote with ``isolationLevel=NONE`` (no transactions); pass
 ``isolation_level="NONE"`` to get it.
 """
 
@@ -15,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ratesmith.session import cut_lineage
+
 # Write options of the overwrite (keep the table, batches of 10000 rows).
 JDBC_WRITE_OPTIONS = {
     "truncate": "true",
@@ -22,7 +31,8 @@ JDBC_WRITE_OPTIONS = {
 }
 DEFAULT_ISOLATION = "READ_COMMITTED"
 # Concurrent connections of one overwrite: a large cluster would otherwise open
-# one per partition (thousands) against a single database.
+# one per partition (thousands) against a single database.  Bounds the copy into
+# the database, not the computation before it.
 DEFAULT_JDBC_CONNECTIONS = 32
 
 
@@ -38,15 +48,21 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
                num_partitions: int | None = DEFAULT_JDBC_CONNECTIONS) -> None:
     """Replace the rows of ``table`` with ``df`` (the table itself is kept).
 
-    ``num_partitions`` caps concurrent connections (Spark coalesces to it when
-    the result has more partitions); ``None`` writes from every partition.
+    ``num_partitions`` caps concurrent connections of the copy from the
+    computed table; ``None`` writes from every partition of ``df`` itself.
     """
     props = dict(properties)
     if num_partitions:
         props["numPartitions"] = str(num_partitions)
+        df = computed_first(df)
     df.write.mode("overwrite").jdbc(url, table, properties=props)
 
 
+def computed_first(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder, computed with all its partitions."""
+    return cut_lineage(df, "jdbc-result")
+
+
 def write_files(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
     """Write ``df`` as files, optionally in ``col=value/`` folders.

@@ -69,9 +69,12 @@ def _int_text(c: Column) -> Column:
 
 def _event_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    asset, quote = _lookup(F.col("event_type"), EVENT_ASSET), _lookup(F.col("user_id") % 5, USER_QUOTE)
+    # no pair of a currency with itself: such an event is quoted in the next currency
+    other = _lookup((F.col("user_id") + 1) % 5, USER_QUOTE)
     return ev.select(
-        _lookup(F.col("event_type"), EVENT_ASSET).alias("asset"),
-        _lookup(F.col("user_id") % 5, USER_QUOTE).alias("quote"),
+        asset.alias("asset"),
+        F.when(asset == quote, other).otherwise(quote).alias("quote"),
         F.to_date("ts").alias("date"),
         F.dayofmonth("ts").alias("dom"),
         (F.col("user_id") % 5).alias("uq"),
@@ -80,12 +83,19 @@ def _event_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _moved(days) -> Column:
+    """The event's date moved back by some days: no event is left out, and the days moved from are gaps."""
+    return F.date_sub("date", days.cast("int")).alias("date")
+
+
+def _gap_days() -> Column:
+    return F.greatest((F.col("dom") + F.col("uq")) % 9 - 4, F.lit(0))
+
+
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily rates ``asset, quote, date, rate``; unique keys, 4-day gaps."""
+    """Daily rates ``asset, quote, date, rate``; unique keys, 4-day gaps, every event used."""
     ev = _event_currencies(spark, sf_dir)
-    return (ev.where((F.col("asset") != F.col("quote"))
-                     & (((F.col("dom") + F.col("uq")) % 9) <= 4))
-            .groupBy("asset", "quote", "date")
+    return (ev.withColumn("date", _moved(_gap_days())).groupBy("asset", "quote", "date")
             .agg(F.max("value").alias("rate")))
 
 
@@ -105,9 +115,7 @@ def ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
     USDT stays USDT here: it is folded into USD only when feeds are reconciled.
     """
     ev = _event_currencies(spark, sf_dir)
-    return (ev.where((F.col("asset") != F.col("quote"))
-                     & (((F.col("dom") + F.col("uq")) % 9) <= 4))
-            .groupBy("asset", "quote", "date")
+    return (ev.withColumn("date", _moved(_gap_days())).groupBy("asset", "quote", "date")
             .agg(F.max("value").alias("Close"), F.min("value").alias("Low"))
             .select(F.col("date").alias("Timestamp"), F.col("Close").alias("High"), "Low",
                     F.col("Low").alias("Open"), "Close", "asset", "quote"))
@@ -120,9 +128,7 @@ def crypto(spark: SparkSession, sf_dir: str) -> DataFrame:
     exchanges on a day has two rows for that day once the exchange is dropped.
     """
     ev = _event_currencies(spark, sf_dir).withColumn("exchange", _lookup(F.col("user_id") % 2, USER_EXCHANGE))
-    return (ev.where((F.col("asset") != F.col("quote"))
-                     & (((F.col("dom") + F.col("uq")) % 9) <= 4))
-            .groupBy("exchange", "asset", "quote", "date")
+    return (ev.withColumn("date", _moved(_gap_days())).groupBy("exchange", "asset", "quote", "date")
             .agg(F.max("value").alias("Close"), F.min("value").alias("Low"))
             .select("exchange", F.col("date").alias("Timestamp"), F.col("Close").alias("High"), "Low",
                     F.col("Low").alias("Open"), "Close", "asset", "quote"))
@@ -132,8 +138,7 @@ def mkt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secondary feed ``asset, quote, dt, price, high, low``; ``dt`` is MM/dd/yyyy text."""
     ev = _event_currencies(spark, sf_dir).withColumn(
         "asset", F.when(F.col("asset") == "USDT", F.lit("USD")).otherwise(F.col("asset")))
-    return (ev.where((F.col("asset") != F.col("quote"))
-                     & (((F.col("dom") + 2 * F.col("uq")) % 4) != 0))
+    return (ev.withColumn("date", _moved(F.when((F.col("dom") + 2 * F.col("uq")) % 4 == 0, 1).otherwise(0)))
             .groupBy("asset", "quote", "date")
             .agg(F.min("value").alias("price"), F.max("value").alias("high"),
                  F.min("value").alias("low"))
@@ -151,11 +156,11 @@ def investing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ohlc_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``ohlc`` over all events, with repeated rows and NULL and zero closes on some days, and days left out."""
+    """As ``ohlc`` over all events, with repeated rows and NULL and zero closes on some days, and gaps."""
     ev = _event_currencies(spark, sf_dir)
     day = F.dayofmonth("date")
-    daily = (ev.where(F.col("asset") != F.col("quote")).groupBy("asset", "quote", "date")
-             .agg(F.max("value").alias("v"), F.min("value").alias("Low")).where(day % 9 != 4))
+    daily = (ev.withColumn("date", _moved(F.when(day % 9 == 4, 1).otherwise(0))).groupBy("asset", "quote", "date")
+             .agg(F.max("value").alias("v"), F.min("value").alias("Low")))
     close = F.when(day % 7 == 0, F.lit(None)).when(day % 5 == 0, F.lit(0.0)).otherwise(F.col("v"))
     return daily.select(F.col("date").alias("Timestamp"), F.col("v").alias("High"), "Low", F.col("Low").alias("Open"),
                         close.cast("double").alias("Close"), "asset", "quote",
@@ -167,8 +172,8 @@ def investing_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _event_currencies(spark, sf_dir).withColumn(
         "asset", F.when(F.col("asset") == "USDT", F.lit("USD")).otherwise(F.col("asset")))
     day = F.dayofmonth("date")
-    daily = (ev.where(F.col("asset") != F.col("quote")).groupBy("asset", "quote", "date")
-             .agg(F.min("value").alias("v")).where(day % 4 != 0))
+    daily = (ev.withColumn("date", _moved(F.when(day % 4 == 0, 1).otherwise(0))).groupBy("asset", "quote", "date")
+             .agg(F.min("value").alias("v")))
     price = F.when(day % 11 == 0, F.lit(None)).when(day % 13 == 0, F.lit(0.0)).otherwise(F.col("v"))
     return daily.select(F.date_format("date", "MM/dd/yyyy").alias("Date"), price.cast("double").alias("Price"), "asset", "quote",
                         F.explode(F.sequence(F.lit(1), F.when(day % 2 == 0, 2).otherwise(1))).alias("copy")).drop("copy")
@@ -200,8 +205,8 @@ def trades_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_tax", "l_returnflag")
     b = _lookup(F.col("l_partkey") % 3, TRADE_BASE)
-    q = _lookup(F.col("l_suppkey") % 2, TRADE_QUOTE)
-    li = li.select("*", b.alias("b"), q.alias("q")).where(F.col("b") != F.col("q"))
+    q, other = (_lookup((F.col("l_suppkey") + k) % 2, TRADE_QUOTE) for k in (0, 1))
+    li = li.select("*", b.alias("b"), F.when(b == q, other).otherwise(q).alias("q"))
     day = F.date_add(F.lit(TRADE_EPOCH).cast("date"), (F.col("l_orderkey") % 30).cast("int"))
     return li.select(
         F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "),
@@ -241,8 +246,8 @@ def trades_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                                 "o_totalprice")
     b = _lookup(F.col("o_custkey") % 3, TRADE_BASE)
-    q = _lookup(F.col("o_orderkey") % 2, TRADE_QUOTE)
-    o = o.select("*", b.alias("b"), q.alias("q")).where(F.col("b") != F.col("q"))
+    q, other = (_lookup((F.col("o_orderkey") + k) % 2, TRADE_QUOTE) for k in (0, 1))
+    o = o.select("*", b.alias("b"), F.when(b == q, other).otherwise(q).alias("q"))
     day = F.date_add(F.lit(TRADE_EPOCH).cast("date"), (F.col("o_orderkey") % 30).cast("int"))
     qty = (F.col("o_custkey") % 50) + 1
     sep = F.when(F.col("o_custkey") % 11 == 0, F.lit("")).otherwise(F.lit("_"))
@@ -269,18 +274,25 @@ def trades_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql_event_currencies() -> str:
     return (
         "SELECT " + _sql_lookup("event_type", EVENT_ASSET) + " AS asset, "
-        + _sql_lookup("user_id % 5", USER_QUOTE) + " AS quote, "
+        "CASE WHEN " + _sql_lookup("event_type", EVENT_ASSET) + " = " + _sql_lookup("user_id % 5", USER_QUOTE)
+        + " THEN " + _sql_lookup("(user_id + 1) % 5", USER_QUOTE) + " ELSE " + _sql_lookup("user_id % 5", USER_QUOTE) + " END AS quote, "
         "CAST(ts AS DATE) AS date, dayofmonth(ts) AS dom, user_id % 5 AS uq, user_id, value "
         "FROM events")
 
 
 SQL_VIEWS: dict[str, str] = {}
 
+def _sql_moved(days: str, source: str = "ev") -> str:
+    """The events with their date moved back by some days (column ``date`` replaced)."""
+    return f"(SELECT * REPLACE (CAST(date - CAST({days} AS INTEGER) AS DATE) AS date) FROM {source})"
+
+
+_SQL_GAPS = _sql_moved("greatest((dom + uq) % 9 - 4, 0)")
+
 SQL_VIEWS["ev"] = _sql_event_currencies()
 
 SQL_VIEWS["fx"] = (
-    "SELECT asset, quote, date, max(value) AS rate FROM ev "
-    "WHERE asset <> quote AND (dom + uq) % 9 <= 4 GROUP BY asset, quote, date")
+    f"SELECT asset, quote, date, max(value) AS rate FROM {_SQL_GAPS} GROUP BY asset, quote, date")
 
 SQL_VIEWS["fx_wide"] = (
     "SELECT asset, 'U' || CAST(user_id AS VARCHAR) AS quote, date, max(value) AS rate "
@@ -288,21 +300,24 @@ SQL_VIEWS["fx_wide"] = (
 
 SQL_VIEWS["ohlc"] = (
     "SELECT date AS \"Timestamp\", max(value) AS \"High\", min(value) AS \"Low\", "
-    "min(value) AS \"Open\", max(value) AS \"Close\", asset, quote FROM ev "
-    "WHERE asset <> quote AND (dom + uq) % 9 <= 4 GROUP BY asset, quote, date")
+    f"min(value) AS \"Open\", max(value) AS \"Close\", asset, quote FROM {_SQL_GAPS} GROUP BY asset, quote, date")
 
 SQL_VIEWS["crypto"] = (
     "SELECT " + _sql_lookup("user_id % 2", USER_EXCHANGE) + " AS exchange, date AS \"Timestamp\", "
     "max(value) AS \"High\", min(value) AS \"Low\", min(value) AS \"Open\", max(value) AS \"Close\", "
-    "asset, quote FROM ev WHERE asset <> quote AND (dom + uq) % 9 <= 4 "
-    "GROUP BY 1, asset, quote, date")
+    f"asset, quote FROM {_SQL_GAPS} GROUP BY 1, asset, quote, date")
 
 SQL_VIEWS["mkt"] = (
     "SELECT asset, quote, strftime(date, '%m/%d/%Y') AS dt, min(value) AS price, "
     "max(value) AS high, min(value) AS low FROM ("
     "SELECT CASE WHEN asset = 'USDT' THEN 'USD' ELSE asset END AS asset, quote, date, dom, uq, "
-    "value FROM ev) "
-    "WHERE asset <> quote AND (dom + 2 * uq) % 4 <> 0 GROUP BY asset, quote, date")
+    f"value FROM {_sql_moved('CASE WHEN (dom + 2 * uq) % 4 = 0 THEN 1 ELSE 0 END')}) "
+    "GROUP BY asset, quote, date")
+
+def _sql_other_quote(base_key: str, quote_key: str) -> str:
+    own, other = (_sql_lookup(f"({quote_key} + {k}) % 2", TRADE_QUOTE) for k in (0, 1))
+    return f"CASE WHEN {_sql_lookup(base_key, TRADE_BASE)} = {own} THEN {other} ELSE {own} END"
+
 
 SQL_VIEWS["trades_a"] = (
     "SELECT strftime(DATE '" + TRADE_EPOCH + "' + CAST(l_orderkey % 30 AS INTEGER), '%Y-%m-%d') "
@@ -315,7 +330,7 @@ SQL_VIEWS["trades_a"] = (
     "CAST(CAST(floor(l_tax * 100) AS BIGINT) AS VARCHAR) || b AS \"Fee\", "
     "l_orderkey, l_linenumber, b, q FROM ("
     "SELECT *, " + _sql_lookup("l_partkey % 3", TRADE_BASE) + " AS b, "
-    + _sql_lookup("l_suppkey % 2", TRADE_QUOTE) + " AS q FROM lineitem) WHERE b <> q")
+    + _sql_other_quote("l_partkey % 3", "l_suppkey") + " AS q FROM lineitem)")
 
 SQL_VIEWS["trades_b"] = (
     "SELECT strftime(DATE '" + TRADE_EPOCH + "' + CAST(o_orderkey % 30 AS INTEGER), '%d.%m.%Y') "
@@ -329,20 +344,20 @@ SQL_VIEWS["trades_b"] = (
     "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS \"Total\", "
     "o_orderkey FROM ("
     "SELECT *, " + _sql_lookup("o_custkey % 3", TRADE_BASE) + " AS b, "
-    + _sql_lookup("o_orderkey % 2", TRADE_QUOTE) + " AS q FROM orders) WHERE b <> q")
+    + _sql_other_quote("o_custkey % 3", "o_orderkey") + " AS q FROM orders)")
 
 SQL_VIEWS["ohlc_r"] = (
     "SELECT date AS \"Timestamp\", CASE WHEN day(date) % 7 = 0 THEN NULL WHEN day(date) % 5 = 0 THEN 0.0 ELSE v END AS \"Close\", "
     "asset, quote FROM (SELECT asset, quote, date, max(value) AS v, "
-    "unnest(range(CASE WHEN day(date) % 3 = 0 THEN 3 ELSE 1 END)) AS copy FROM ev "
-    "WHERE asset <> quote AND day(date) % 9 <> 4 GROUP BY asset, quote, date)")
+    "unnest(range(CASE WHEN day(date) % 3 = 0 THEN 3 ELSE 1 END)) AS copy "
+    f"FROM {_sql_moved('CASE WHEN day(date) % 9 = 4 THEN 1 ELSE 0 END')} GROUP BY asset, quote, date)")
 
 SQL_VIEWS["mkt_r"] = (
     "SELECT asset, quote, strftime(date, '%m/%d/%Y') AS dt, "
     "CASE WHEN day(date) % 11 = 0 THEN NULL WHEN day(date) % 13 = 0 THEN 0.0 ELSE v END AS price "
     "FROM (SELECT asset, quote, date, min(value) AS v, unnest(range(CASE WHEN day(date) % 2 = 0 THEN 2 ELSE 1 END)) AS copy FROM ("
-    "SELECT CASE WHEN asset = 'USDT' THEN 'USD' ELSE asset END AS asset, quote, date, value FROM ev) "
-    "WHERE asset <> quote AND day(date) % 4 <> 0 GROUP BY asset, quote, date)")
+    "SELECT CASE WHEN asset = 'USDT' THEN 'USD' ELSE asset END AS asset, quote, date, value "
+    f"FROM {_sql_moved('CASE WHEN day(date) % 4 = 0 THEN 1 ELSE 0 END')}) GROUP BY asset, quote, date)")
 
 # Which views each view reads, so a query can pull in only what it needs.
 _SQL_DEPS = {"fx": ["ev"], "fx_wide": ["ev"], "ohlc": ["ev"], "crypto": ["ev"], "mkt": ["ev"], "ohlc_r": ["ev"], "mkt_r": ["ev"],

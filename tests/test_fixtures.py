@@ -7,8 +7,8 @@ from ratesmith.plans import fixtures as FX
 
 # Documented row counts (FIXTURES.md sections 3 and 5).
 COUNTS = {
-    "/root/testdata/sf0.001": {"fx": 262, "mkt": 293, "trades_a": 4978, "trades_b": 1255, "crypto": 337},
-    "/root/testdata/sf0.01": {"fx": 372, "mkt": 384, "trades_a": 49928, "trades_b": 12529, "crypto": 743},
+    "/root/testdata/sf0.001": {"fx": 319, "mkt": 355, "trades_a": 6000, "trades_b": 1500, "crypto": 467},
+    "/root/testdata/sf0.01": {"fx": 397, "mkt": 422, "trades_a": 60000, "trades_b": 15000, "crypto": 793},
 }
 
 

@@ -89,7 +89,7 @@ def test_command_line_closed_rates(spark, scratch):
     (fx.select("date", F.col("asset").alias("ast"), F.col("quote").alias("qout"), "rate", "asset", "quote")
      .write.partitionBy("asset", "quote").csv(f"{scratch}/cl"))
     jobs.main(["closed-rates", "--currencylayer", f"{scratch}/cl", "--out", f"{scratch}/out"])
-    assert spark.read.parquet(f"{scratch}/out/{jobs.CLOSED_RATES_TABLE}").count() == 669
+    assert spark.read.parquet(f"{scratch}/out/{jobs.CLOSED_RATES_TABLE}").count() == 777
 
 
 def test_rate_catalog_over_registered_tables(spark, scratch):
@@ -105,7 +105,7 @@ def test_rate_catalog_over_registered_tables(spark, scratch):
     names = svc.register(currencylayer_root=f"{scratch}/currency/currencylayer",
                          ohlc_root=f"{scratch}/currency/exchange=binance", crypto_root=f"{scratch}/currency")
     try:
-        assert svc.closed_rates().count() == 669
+        assert svc.closed_rates().count() == 777
         assert rows(svc.exchange_rates()) == rows(assembly.exchange_rates(o))
         assert svc.latest_rates(svc.exchange_rates()).count() == 22
         assert rows(svc.yearly_close_stats()) == rows(R.yearly_close_stats(o))

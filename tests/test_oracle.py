@@ -29,4 +29,4 @@ def test_query_matches_oracle(spark, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["date", "asset", "quote", "rate"]
-    assert df.count() == 669
+    assert df.count() == 777

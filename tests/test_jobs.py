@@ -63,7 +63,7 @@ def test_trade_history_job(spark, scratch):
     want = assembly.trade_history(ta, spark.createDataFrame(
         [(s["symbol"], s["baseAsset"], s["quoteAsset"]) for s in symbols],
         "symbol string, baseAsset string, quoteAsset string"), tb, rates)
-    assert got.count() == want.count() == 1255 + 4978
+    assert got.count() == want.count() == 1500 + 6000
     assert rows(got) == rows(want)
     # the fixture currencies also work end to end
     assert assembly.trade_history(ta, spark.read.parquet(f"{scratch}/rates").limit(0).select(

@@ -357,7 +357,9 @@ def repeated_suffixes(documents: DataFrame, length: int = LENGTH) -> tuple[DataF
     source = docs
     if wanted.count() <= BROADCAST_KEYS:
         source = docs.join(F.broadcast(wanted.select("key").distinct()), "key", "left_semi")
-    texts = (source.join(wanted.select("sha", "one"), ["sha"]).where(F.col("doc_id").eqNullSafe(F.col("one")))
+    # both keys of the join are unique together, so the copies of one text do not meet in one task
+    chosen = wanted.select(F.col("sha").alias("wanted_sha"), "one")
+    texts = (source.join(chosen, (F.col("sha") == F.col("wanted_sha")) & F.col("doc_id").eqNullSafe(F.col("one")))
              .select("sha", "key", "text").dropDuplicates(["sha"]))
     texts = cut_lineage(texts.join(ranked, "key"), "candidate-texts")
     candidates = texts.select("key", "text", "shared")
@@ -394,7 +396,9 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("raw")).select(
         "doc_id", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("sha"))
     copied = docs.where(F.col("n_bytes") >= length).groupBy("sha").count().where("count > 1").select("sha", F.lit(True).alias("copied"))
-    out = docs.join(copied, "sha", "left").join(done, "sha", "left")
+    # one row per text that loses anything; a single join, whose hot texts adaptive execution can split
+    lost = done.join(copied, "sha", "left_anti").withColumn("copied", F.lit(False))
+    out = docs.join(lost.unionByName(copied, allowMissingColumns=True), "sha", "left")
     whole = F.coalesce(F.col("copied"), F.lit(False))
     return out.select(
         "doc_id", "n_bytes",

@@ -3,7 +3,7 @@
 Lines are the ``\\n``-split parts of a text.  A line is normalised to its lower-case (A-Z)
 words of digits, ASCII letters and non-ASCII characters, joined by single spaces; lines
 without such a word are never touched.  Equal normalised lines are one line.  Every
-distinct line gets a 256-bit SimHash of its words, cut into 8 blocks of 32 bits; lines that
+distinct line gets a 256-bit SimHash of its distinct words, cut into 8 blocks of 32 bits; lines that
 agree in a block are candidates (so all pairs within 7 differing bits are, by the pigeonhole
 principle), and linked when the edit similarity of the normalised lines, 1 - distance /
 longer length, is at least ``SIMILARITY``.  Of each connected group of lines one occurrence
@@ -61,7 +61,16 @@ class LineReader:
 
 
 def simhash_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """(lines, BLOCKS) 32-bit blocks: the majority of each of 256 hash bits over a line's words."""
+    """(lines, BLOCKS) 32-bit blocks: the majority of each of 256 hash bits over a line's distinct words.
+
+    A word counts once per line, or the frequent short words of a language would make its long lines alike.
+    """
+    line_of = np.repeat(np.arange(len(first)), size)
+    _, once = np.unique(K.mix(word ^ K.mix(line_of.astype(np.uint64))), return_index=True)
+    once.sort()
+    word, line_of = word[once], line_of[once]
+    size = np.bincount(line_of, minlength=len(first))
+    first = np.cumsum(size) - size
     out = np.empty((len(first), BLOCKS), np.uint32)
     step = 1 << 15  # words expanded to 256 counters at a time
     ends = first + size
@@ -70,7 +79,8 @@ def simhash_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.
         stop = max(line + 1, int(np.searchsorted(ends, first[line] + step, side="right")))
         w = word[first[line]: ends[stop - 1]]
         bits = np.unpackbits(np.stack([K.mix(w + np.uint64(s)) for s in _SALTS], axis=1).view(np.uint8), axis=1)
-        ones = np.add.reduceat(bits, first[line:stop] - first[line], axis=0, dtype=np.int32)
+        kind = np.uint16 if len(w) < 1 << 15 else np.int64
+        ones = np.add.reduceat(bits, first[line:stop] - first[line], axis=0, dtype=kind)
         out[line:stop] = np.packbits(2 * ones > size[line:stop, None], axis=1).view(np.uint32)
         line = stop
     return out
@@ -175,8 +185,11 @@ def _wanted_lines(wanted: np.ndarray | None):
     return run
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance: equal ends are stripped, the rest goes bit-parallel, one column per character of ``b``."""
+def edit_distance(a: str, b: str, limit: int | None = None) -> int:
+    """Levenshtein distance: equal ends are stripped, the rest goes bit-parallel, one column per character of ``b``.
+
+    With a ``limit`` it stops, with some greater number, once the distance must exceed it.
+    """
     lo, most = 0, min(len(a), len(b))
     while lo < most and a[lo] == b[lo]:
         lo += 1
@@ -192,13 +205,17 @@ def edit_distance(a: str, b: str) -> int:
         at[c] = at.get(c, 0) | 1 << i
     full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, score = full, 0, len(a)  # +1 and -1 steps down a column
+    left = len(b)
     for c in b:
+        left -= 1
         match = at.get(c, 0)
         diagonal = (((match & up) + up) ^ up) | match | down
         right_up, right_down = down | (~(diagonal | up) & full), up & diagonal
         score += bool(right_up & top) - bool(right_down & top)
         right_up, right_down = (right_up << 1 | 1) & full, right_down << 1 & full
         up, down = right_down | (~(diagonal | right_up) & full), right_up & diagonal
+        if limit is not None and score - left > limit:
+            return score - left
     return score
 
 
@@ -211,7 +228,7 @@ def similar(a: str, b: str) -> bool:
     if len(left) == len(right):  # exchanging the words that differ is one way of editing
         if sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= allowed:
             return True
-    return edit_distance(a, b) <= allowed
+    return edit_distance(a, b, allowed) <= allowed
 
 
 def _verify_pairs(left: list[str], right: list[str]) -> list[bool]:

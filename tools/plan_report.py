@@ -33,14 +33,14 @@ def summarise(plan: str) -> dict:
 
 def main(argv):
     from ratesmith.session import build_session
-    import __spark_entry__ as E
+    from ratesmith.plans.queries import QUERIES
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or sorted(E.queries())
+    names = argv[2:] or sorted(QUERIES)
     spark = build_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
     for name in names:
-        df = E.queries()[name](spark, sf_dir)
+        df = QUERIES[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         print(f"{name:24s} " + " ".join(f"{k}={v}" for k, v in s.items()), flush=True)

@@ -38,6 +38,10 @@ COMPARED, OTHER_BITS = 256, 10
 _SALTS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
+#: For each byte, its eight bits (highest first) as eight one-byte counters of a 64-bit number.
+_COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+
+
 class LineReader:
     """Lines, their words and their 128-bit hashes, for slices of a text column."""
 
@@ -45,6 +49,15 @@ class LineReader:
         self.values, self.chars = K.byte_values(), K.Rolling()
         self.parts = [K.Rolling(0x9E3779B97F4A7C15), K.Rolling(0xD1342543DE82EF95)]
 
+    def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Lines with words per row."""
+        total = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(K.ALNUM_WORD[K.lower_ascii(data)], out=total[1:])
+        start = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
+        start = start[start < len(data)]
+        worded = total[np.append(start[1:], len(data))[: len(start)]] > total[start]
+        return K.counts(np.searchsorted(offsets[1:], start[worded], side="right"), len(offsets) - 1)
+
     def read(self, data: np.ndarray, offsets: np.ndarray):
         """(lower-cased bytes, word start, word end, word hash, line row, line number, first word, words, hash pair)."""
         low = K.lower_ascii(data)
@@ -78,9 +91,14 @@ def simhash_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.
     while line < len(first):
         stop = max(line + 1, int(np.searchsorted(ends, first[line] + step, side="right")))
         w = word[first[line]: ends[stop - 1]]
-        bits = np.unpackbits(np.stack([K.mix(w + np.uint64(s)) for s in _SALTS], axis=1).view(np.uint8), axis=1)
-        kind = np.uint16 if len(w) < 1 << 15 else np.int64
-        ones = np.add.reduceat(bits, first[line:stop] - first[line], axis=0, dtype=kind)
+        raw = np.stack([K.mix(w + np.uint64(s)) for s in _SALTS], axis=1).view(np.uint8)
+        # runs of at most 255 words of a line, so that one-byte counters, eight to a number, suffice
+        at = first[line:stop] - first[line]
+        runs = -(-size[line:stop] // 255)
+        head = np.cumsum(runs) - runs
+        cut = np.repeat(at, runs) + 255 * (np.arange(runs.sum()) - np.repeat(head, runs))
+        counted = np.add.reduceat(_COUNTERS[raw], cut, axis=0).view(np.uint8)
+        ones = counted.astype(np.int64) if len(cut) == len(at) else np.add.reduceat(counted, head, axis=0, dtype=np.int64)
         out[line:stop] = np.packbits(2 * ones > size[line:stop, None], axis=1).view(np.uint32)
         line = stop
     return out
@@ -299,12 +317,17 @@ def _apply(text_at: int, gone_at: int):
         gone = batch.column(gone_at)
         listed = gone.is_valid().to_numpy(zero_copy_only=False)
         for a, b in K.slices(offsets):
-            _, _, _, _, row, number, _, _, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-            total[a:b] = K.counts(row, b - a)
-            ends = np.searchsorted(row, np.arange(b - a + 1))
-            for r in np.flatnonzero(listed[a:b]):
+            d, o = data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
+            total[a:b] = reader.count(d, o)
+            rows = np.flatnonzero(listed[a:b])
+            if not len(rows):
+                continue
+            some = batch.column(text_at).take(pa.array(a + rows))
+            _, _, _, _, row, number, _, _, pair = reader.read(*K.text_buffer(some))
+            ends = np.searchsorted(row, np.arange(len(rows) + 1))
+            for n, r in enumerate(rows):
                 marked = {(g["line"], bytes(g["sig"])) for g in gone[a + r].as_py()}
-                drop = {int(number[i]) for i in range(ends[r], ends[r + 1]) if (int(number[i]), pair[i].tobytes()) in marked}
+                drop = {int(number[i]) for i in range(ends[n], ends[n + 1]) if (int(number[i]), pair[i].tobytes()) in marked}
                 removed[a + r] = len(drop)
                 texts[a + r] = "\n".join(x for k, x in enumerate(texts[a + r].split("\n")) if k not in drop)
         return total, removed, texts

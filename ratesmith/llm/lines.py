@@ -3,16 +3,13 @@
 Lines are the ``\\n``-split parts of a text.  A line is normalised to its lower-case (A-Z)
 words of digits, ASCII letters and non-ASCII characters, joined by single spaces; lines
 without such a word are never touched.  Equal normalised lines are one line.  Every
-distinct line gets a 256-bit SimHash of its distinct words, cut into 8 blocks of 32 bits; lines that
-agree in a block are candidates (so all pairs within 7 differing bits are, by the pigeonhole
-principle), and linked when the edit similarity of the normalised lines, 1 - distance /
-longer length, is at least ``SIMILARITY``.  Of each connected group of lines one occurrence
+distinct line gets 8 keys of 32 bits; lines that agree in a key are candidates, however many
+lines share it, and linked when the edit similarity of the normalised lines, 1 - distance /
+longer length, is at least ``SIMILARITY_PERCENT``.  Of each connected group of lines one occurrence
 is kept, the first by (doc_id, line number); all others are removed with their line break.
 
-Keys of 32 bits keep the lists short however many lines there are, and of lines with an equal
-block only those stay candidates that differ in at most ``OTHER_BITS`` of 64 other bits.  SimHash is the method's
-candidate search: pairs further apart than 7 bits are found only by a chance equal block
-(measured recall in the README).
+The keys are the 8 blocks of a 256-bit SimHash of the distinct words: pairs within 7 differing bits have one
+in common, by the pigeonhole principle; others are found only by a chance equal block (README).
 
 Defined cases: a null or empty text has no lines with words; rows without a doc_id lose
 nothing and take part in nothing; rows of one id and equal lines keep the same lines; an
@@ -34,7 +31,12 @@ from ratesmith.session import cut_lineage
 
 SIMILARITY_PERCENT = 80
 BLOCKS = 8
-COMPARED, OTHER_BITS = 256, 10
+#: Of a block's 64 neighbouring bits all may differ: an equal key alone makes a candidate.
+OTHER_BITS = 64
+#: Keys of a line: the SimHash blocks.
+KEYS = BLOCKS
+#: Greater lengths count as this one, which only keeps more candidates.
+LONGEST = 65_535
 _SALTS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 
 
@@ -104,19 +106,28 @@ def simhash_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.
     return out
 
 
+def _lengths(low: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Characters of the normalised lines."""
+    chars = np.zeros(len(low) + 1, np.int64)
+    np.cumsum((low & 0xC0) != 0x80, out=chars[1:])
+    total = np.concatenate([[0], np.cumsum(chars[end] - chars[start])])
+    return total[first + size] - total[first] + size - 1
+
+
 def _occurrences(batches):
-    """One row per line with words; of lines that are equal in a slice only one carries the SimHash."""
+    """One row per line with words; of lines that are equal in a slice only one carries the keys, and its length."""
     reader = LineReader()
     for batch in batches:
         data, offsets = K.text_buffer(batch.column(1))
         for a, b in K.slices(offsets):
-            _, _, _, word, row, number, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+            low, start, end, word, row, number, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
             _, one = np.unique(pair.view("V16").ravel(), return_index=True)
             one = np.sort(one)
-            keys = np.zeros((len(first), BLOCKS), np.uint32)
+            keys = np.zeros((len(first), KEYS + 1), np.uint32)
             # words of the chosen lines, gathered
             take = np.repeat(first[one] - (np.cumsum(size[one]) - size[one]), size[one]) + np.arange(size[one].sum())
-            keys[one] = simhash_blocks(word[take], np.cumsum(size[one]) - size[one], size[one])
+            keys[one, :KEYS] = simhash_blocks(word[take], np.cumsum(size[one]) - size[one], size[one])
+            keys[one, KEYS] = _lengths(low, start, end, first, size)[one]
             has = np.zeros(len(first), bool)
             has[one] = True
             blob = _fixed_binary(keys[one])
@@ -128,60 +139,52 @@ def _occurrences(batches):
 
 
 def _block_entries(buckets: int):
-    """SimHash blocks of distinct lines, dealt by block value."""
+    """Keys of distinct lines, dealt by key; a line goes by the first half of its hash."""
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, BLOCKS)
-            sign = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64).reshape(n, 2)
-            block = np.tile(np.arange(BLOCKS, dtype=np.uint8), n)
-            value, owner = keys.ravel(), np.repeat(np.arange(n), BLOCKS)
-            beside = keys[:, (np.arange(BLOCKS)[:, None] + [1, 3]) % BLOCKS].reshape(-1, 2)
-            bucket = (K.mix(_list_key(block, value)) % np.uint64(buckets)).astype(np.int32)
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, KEYS + 1)
+            half = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)[::2]
+            column = np.tile(np.arange(KEYS, dtype=np.uint8), n)
+            value, owner = keys[:, :KEYS].ravel(), np.repeat(np.arange(n), KEYS)
+            length = np.minimum(keys[:, KEYS], LONGEST).astype(np.uint16)
+            bucket = (K.mix(_list_key(column, value)) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            block, value, owner, beside, bucket = (c[order] for c in (block, value, owner, beside, bucket))
+            column, value, owner, bucket = (c[order] for c in (column, value, owner, bucket))
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            blobs = [sign[owner[i:j]].tobytes() + beside[i:j].tobytes() + value[i:j].tobytes() + block[i:j].tobytes()
+            blobs = [half[owner[i:j]].tobytes() + value[i:j].tobytes() + length[owner[i:j]].tobytes() + column[i:j].tobytes()
                      for i, j in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
 
     return run
 
 
-def _list_key(block: np.ndarray, value: np.ndarray) -> np.ndarray:
-    return block.astype(np.uint64) << np.uint64(32) | value.astype(np.uint64)
+def _list_key(column: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return column.astype(np.uint64) << np.uint64(32) | value.astype(np.uint64)
 
 
 def _shared_blocks(table: pa.Table) -> pa.Table:
-    """Entries of block values shared by lines that may be similar.
+    """Entries of keys shared by lines that may be similar.
 
-    Of two lines with one equal block, 64 of the other bits travel along.  In a list of up to
-    ``COMPARED`` lines an entry stays only if those bits differ in at most ``OTHER_BITS`` from
-    another line's: this drops lines that meet by chance.  Longer lists stay whole.
+    An entry stays if the list has another of a length that 80 % similarity allows: a distance
+    is at least the difference of the lengths, so this drops no link, whatever the list's size.
     """
-    x, sign, beside = [], [], []
+    x, half, length = [], [], []
     for raw in table.column("payload").to_pylist():
-        n = len(raw) // 29
-        sign.append(np.frombuffer(raw, np.uint64, 2 * n).reshape(n, 2))
-        beside.append(np.frombuffer(raw, np.uint64, n, 16 * n))
-        x.append(_list_key(np.frombuffer(raw, np.uint8, n, 28 * n), np.frombuffer(raw, np.uint32, n, 24 * n)))
-    x, sign, beside = np.concatenate(x), np.concatenate(sign), np.concatenate(beside)
-    order = np.argsort(x, kind="stable")
-    x, sign, beside = x[order], sign[order], beside[order]
-    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-    size = np.diff(np.append(first, len(x)))
-    stay = np.repeat(size > COMPARED, size)
-    for k in range(2, COMPARED + 1):
-        lists = first[size == k]
-        for at in np.array_split(lists, max(1, len(lists) * k * k >> 20)) if len(lists) else []:
-            rows = at[:, None] + np.arange(k)
-            differ = np.bitwise_count(beside[rows][:, :, None] ^ beside[rows][:, None, :])
-            differ[:, np.arange(k), np.arange(k)] = 64
-            stay[rows] = differ.min(axis=2) <= OTHER_BITS
-    return pa.table([_fixed_binary(sign[stay]), pa.array(x[stay].astype(np.int64))], names=["sig", "x"])
+        n = len(raw) // 15
+        half.append(np.frombuffer(raw, np.uint64, n))
+        length.append(np.frombuffer(raw, np.uint16, n, 12 * n))
+        x.append(_list_key(np.frombuffer(raw, np.uint8, n, 14 * n), np.frombuffer(raw, np.uint32, n, 8 * n)))
+    x, half, length = np.concatenate(x), np.concatenate(half), np.concatenate(length).astype(np.int64)
+    order = np.lexsort((length, x))
+    x, half, length = x[order], half[order], length[order]
+    # the next longer line of the list is the likeliest
+    near = (x[1:] == x[:-1]) & (100 * (length[1:] - length[:-1]) <= (100 - SIMILARITY_PERCENT) * length[1:])
+    stay = np.concatenate([near, [False]]) | np.concatenate([[False], near])
+    return pa.table([_fixed_binary(half[stay][:, None]), pa.array(x[stay].astype(np.int64))], names=["half", "x"])
 
 
 def _wanted_lines(wanted: np.ndarray | None):
@@ -286,8 +289,11 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     distinct = cut_lineage(seen.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("times"),
                                                    F.max("simhash").alias("simhash")), "distinct-lines")
     entries = cut_lineage(distinct.select("sig", "simhash").mapInArrow(_block_entries(buckets), "bucket int, payload binary")
-                          .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_blocks, "sig binary, x long"), "entries")
-    wanted = cut_lineage(entries.select("sig").distinct().join(distinct.select("sig", "first"), "sig"), "wanted-lines")
+                          .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_blocks, "half binary, x long"), "entries")
+    # lines with an equal half hash enter each other's lists, and are verified like any others
+    wanted = cut_lineage(entries.select("half").distinct().join(
+        distinct.select(F.substring("sig", 1, 8).alias("half"), "sig", "first"), "half"), "wanted-lines")
+    entries = cut_lineage(entries.join(wanted.select("half", "sig"), "half").select("sig", "x"), "list-entries")
     found = docs
     chosen = None
     if wanted.count() <= BROADCAST_LINES:

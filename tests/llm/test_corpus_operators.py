@@ -194,6 +194,23 @@ def test_line_dedup_against_brute_force(spark):
     assert lines.line_report(docs.where("false")).count() == 0
 
 
+def test_a_list_keeps_similar_lines_at_any_size():
+    import pyarrow as pa
+
+    def kept(length):  # lines that share every key, of these lengths
+        n = len(length)
+        keys = np.column_stack([np.ones((n, lines.KEYS), np.uint32), np.array(length, np.uint32)])
+        sig = np.column_stack([np.arange(n, dtype=np.uint64), np.zeros(n, np.uint64)])
+        batch = pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x]) for x in (sig, keys)], names=["sig", "simhash"])
+        out = lines._shared_blocks(pa.Table.from_batches(lines._block_entries(1)([batch])))
+        return {int.from_bytes(h, "little") for h in out.column("half").to_pylist()}
+
+    for more in (0, 1, 254, 255, 256, 400):
+        assert kept([80, 100] + [1000] * more) == {0, 1} | (set(range(2, more + 2)) if more > 1 else set())
+        assert kept([79, 100] + [1000] * more) == (set(range(2, more + 2)) if more > 1 else set())
+    assert kept([70_000, 60_000, 20]) == {0, 1}
+
+
 # ---- 10: suffix repeats --------------------------------------------------------------------
 
 def repeats(rows, length):

@@ -194,6 +194,49 @@ def test_line_dedup_against_brute_force(spark):
     assert lines.line_report(docs.where("false")).count() == 0
 
 
+def removed_lines(spark, texts):
+    """The numbers of the lines removed, one document a line."""
+    return {r.doc_id for r in lines.line_report(table(spark, list(enumerate(texts)))).collect() if r.n_removed}
+
+
+def test_short_lines_with_one_changed_word_against_all_pairs(spark):
+    rnd = random.Random(7)
+    fresh = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(4, 8)))
+    texts = []
+    for size in (2, 3, 4, 5, 8, 12, 13, 20, 50):
+        base = [fresh() for _ in range(size)]
+        texts.append(" ".join(base))
+        for at in {0, size // 2, (size - 1) // 2, size - 1}:
+            texts.append(" ".join(base[:at] + [base[at][:-1] + "0"] + base[at + 1:]))  # a typo
+            texts.append(" ".join(base[:at] + ["0" * len(base[at])] + base[at + 1:]))
+            texts.append(" ".join(base[:at] + ["a"] + base[at:]))
+            texts.append(" ".join(base[:at] + base[at + 1:]))
+        three = list(base) if size >= 4 else []
+        for at in rnd.sample(range(size), 3 if three else 0):
+            three[at] = three[at][:-1] + "1"
+        texts += [" ".join(three)] if three else []
+    texts = list(dict.fromkeys(texts))
+    u = Union(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j in range(i):
+            if 5 * levenshtein(a, texts[j]) <= max(len(a), len(texts[j])):
+                u.join(i, j)
+    want = {i for i in range(len(texts)) if u.find(i) != i}
+    assert len(want) > 100 and removed_lines(spark, texts) == want
+
+
+def test_line_links_do_not_depend_on_the_length_of_a_list(spark):
+    rnd = random.Random(8)
+    fresh = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    start = [fresh() for _ in range(10)]  # all lines share their first half, so one list has them all
+    pair = [" ".join(start + [fresh() for _ in range(10)])]
+    pair.append(" ".join(w[:-1] + "0" if k in (11, 14, 17, 19) else w for k, w in enumerate(pair[0].split())))
+    other = [" ".join(start + [fresh() for _ in range(10)]) for _ in range(300)]
+    assert lines.similar(*pair) and not any(lines.similar(p, o) for p in pair for o in other)
+    for pad in (0, 254, 255, 300):
+        assert 1 in removed_lines(spark, pair + other[:pad])
+
+
 def test_a_list_keeps_similar_lines_at_any_size():
     import pyarrow as pa
 

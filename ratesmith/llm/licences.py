@@ -8,7 +8,8 @@ Sentences end at . ! ? ; or : before white space, at blank lines, and before a l
 starts like a licence; other line breaks are spaces, so hard-wrapped licence texts are whole.
 Normalised: lower-case (A-Z), runs of other characters than a-z and 0-9 as one space, "licence"
 as "license"; a sentence starting with "copyright" is a copyright notice whatever follows.
-A sentence that is not known separates what is before it from what is after it.
+A sentence that is not known separates what is before it from what is after it; list markers
+("1.", "(a)", "*") and empty sentences are none, so numbered conditions follow each other.
 
 Defined cases: a null or empty text has no sentences and no licences; a repeated licence is
 reported once; rows are scanned one by one, so repeated rows, null ids and other columns do no
@@ -118,11 +119,16 @@ BREAKS = (
     (r"\n([^A-Za-z0-9\n]*(?:" + "|".join(OPENINGS) + r"))", MARK + r"\1"),
 )
 
+#: A normalised sentence that is only a list marker, or empty.
+MARKER = r"^(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})?$"
+#: A list marker at the start of a sentence that no break follows: "1) ", "(a) ", "o ".
+MARKED = r"^[^A-Za-z0-9]*(?:(?:[0-9]{1,2}|[A-Za-z]|[ivxIVX]{1,4})\)|o)[ \t\n\x0B\f\r]+"
+
 
 def _sentences(text: Column) -> Column:
     for pattern, put in BREAKS:
         text = F.regexp_replace(text, pattern, put.replace("\\1", "$1"))
-    return F.split(text, MARK, -1)
+    return F.transform(F.split(text, MARK, -1), lambda s: F.regexp_replace(s, MARKED, ""))
 
 
 def _normalised(sentence: Column) -> Column:
@@ -136,7 +142,8 @@ def scan_licences(documents: DataFrame) -> DataFrame:
     known = F.create_map(*[F.lit(x) for name, text in SENTENCES for x in (text, f"<{name}>")])
     text = F.coalesce(F.col("text"), F.lit(""))
     cue = text.rlike("(?i)" + "|".join(CUES))
-    named = F.transform(_sentences(text), lambda s: F.element_at(known, _normalised(s)))
+    plain = F.filter(F.transform(_sentences(text), _normalised), lambda s: ~s.rlike(MARKER))
+    named = F.transform(plain, lambda s: F.element_at(known, s))
     out = documents.select("doc_id", F.when(cue, named).otherwise(F.array().cast("array<string>")).alias("named"))
     out = out.select("doc_id", F.size(F.filter("named", lambda x: x.isNotNull())).cast("long").alias("n_sentences"),
                      F.array_join("named", "", UNKNOWN).alias("rest"))
@@ -154,7 +161,7 @@ def scan_licences(documents: DataFrame) -> DataFrame:
 
 
 def duckdb_sql() -> str:
-    """The same scan as DuckDB SQL over the view ``documents``."""
+    """The same scan as DuckDB SQL over the view ``documents``, but list markers and empty sentences separate."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     marked = "coalesce(text, '')"
     for pattern, put in BREAKS:

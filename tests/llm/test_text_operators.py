@@ -232,6 +232,28 @@ def test_licences(spark):
     assert licences.scan_licences(table(spark, rows).where("false")).count() == 0
 
 
+BSD = ["Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are\nmet:",
+       "Redistributions of source code must retain the above copyright\n   notice, this list of conditions and the following disclaimer.",
+       "Redistributions in binary form must reproduce the above copyright\n   notice, this list of conditions and the following disclaimer in the\n"
+       "   documentation and/or other materials provided with the distribution.",
+       "Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+       "   this software without specific prior written permission."]
+AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR\nIMPLIED WARRANTIES ARE DISCLAIMED."
+
+
+def test_numbered_bsd_texts(spark):
+    rows, want = [], {}
+    for marks in ("1. 2. 3.", "1) 2) 3)", "(a) (b) (c)", "a. b. c.", "i. ii. iii.", "* * *", "- - -", "o o o"):
+        for last, licence in ((3, "BSD-2-Clause"), (4, "BSD-3-Clause")):
+            text = "\n\n".join(["Copyright (c) 2020, Someone", BSD[0], *[f"{m} {t}" for m, t in zip(marks.split(), BSD[1:last])], AS_IS])
+            for written in (text, "\n".join(" * " + x for x in text.split("\n")), text.replace("\n\n", "\n\n\n\n")):
+                want[len(rows)] = (last + 1, licence, "")
+                rows.append((len(rows), written))
+    rows.append((1000, BSD[0] + " Some other words. " + " ".join(BSD[1:3])))
+    want[1000] = (3, "", "bsd-grant,bsd-source,bsd-binary")
+    assert {r.doc_id: (r.n_sentences, r.licences, r.left_over) for r in licences.scan_licences(table(spark, rows)).collect()} == want
+
+
 def test_licence_tables_are_consistent():
     names = [n for n, _ in licences.SENTENCES]
     assert len(set(names)) == len(names) and len({t for _, t in licences.SENTENCES}) == len(names)

@@ -190,7 +190,8 @@ def test_line_dedup_against_brute_force(spark):
     assert collections.Counter(tuple(r) for r in report) == want
     assert len({group[plain(t)] for t in near}) < len({plain(t) for t in near})
     kept = lines.dedup_lines(docs)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 2  # both rows 5 lose all: "other" is first in 3
+    emptied = sum(n for (_, lines_, gone, _), n in want.items() if lines_ and lines_ == gone)  # both rows 5 among them
+    assert emptied >= 2 and kept.columns == docs.columns and kept.count() == len(rows) - emptied
     assert lines.line_report(docs.where("false")).count() == 0
 
 

@@ -68,7 +68,7 @@ def test_trade_history_job(spark, scratch):
     # the fixture currencies also work end to end
     assert assembly.trade_history(ta, spark.read.parquet(f"{scratch}/rates").limit(0).select(
         F.lit("x").alias("symbol"), F.lit("x").alias("baseAsset"), F.lit("x").alias("quoteAsset")),
-        tb, rates, FIXTURE_VALUATION_CURRENCIES).count() == 1255
+        tb, rates, FIXTURE_VALUATION_CURRENCIES).count() == tb.count()  # no symbol known: only the other exchange's trades
 
 
 def test_lineage_scope_removes_its_tables(spark):

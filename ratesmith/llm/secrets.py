@@ -6,7 +6,8 @@ a character class (hex digits; base-64 characters) of at least ``WINDOW`` charac
 window slides over the run and its Shannon entropy is kept up to date from the counts of the
 entering and the leaving character.  Overlapping windows at or above the class's threshold
 are united to a span.  Runs that an allow-list explains (only letters, only digits, UUIDs,
-example keys, alphabets, names joined by signs) are suppressed, and so are spans inside a base span.
+names joined by signs) are suppressed, and so are spans that hold an example key or an alphabet
+and spans inside a base span.
 
 The entropy is exact integer arithmetic (millionths of a bit), so results do not depend on
 the order of additions.  Positions are code points, ends are exclusive.
@@ -27,15 +28,16 @@ CLASSES = (
     ("hex", r"[0-9A-Fa-f]{20,}", 3.0),
     ("base64", r"[A-Za-z0-9+/_=-]{20,}", 3.9),
 )
-#: Runs that are no secrets, matched against the whole run.
+#: Runs that are no secrets, matched against the whole run.  A group that repeats without bound is possessive:
+#: Java's matcher would otherwise recurse once per repetition.  No match is lost, as its parts are told apart by their signs.
 ALLOWED = (
     r"[A-Za-z+/_=-]+",  # letters only: words, also joined ones
     r"[0-9+/_=-]+",  # numbers, dates, telephone numbers
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
-    r".*(?:EXAMPLE|example|XXXX|xxxx).*",  # documentation
-    r".*(?:0123456789|abcdefghij|ABCDEFGHIJ).*",  # alphabets
-    r"(?:[A-Za-z]+[0-9]{0,4}[/_=+-])+[A-Za-z]*[0-9]{0,4}",  # paths, slugs and version names
+    r"(?:[A-Za-z]+[0-9]{0,4}[/_=+-])++[A-Za-z]*[0-9]{0,4}",  # paths, slugs and version names
 )
+#: Spans that are no secrets when they hold one of these: documentation, alphabets.
+ALLOWED_WITHIN = r"EXAMPLE|example|XXXX|xxxx|0123456789|abcdefghij|ABCDEFGHIJ"
 # The patterns of the base kinds, in their order; the last number is the least length of the group.
 BASE = (
     ("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12),
@@ -90,7 +92,8 @@ def window_spans(run: Column, bits: float) -> Column:
     """array<struct<start, end>> of the united windows of an ASCII string with enough entropy."""
     spans = "array<struct<start:int,end:int>>"
     f = F.array(*[F.lit(weight(c)).cast("long") for c in range(WINDOW + 1)])
-    codes = F.transform(F.sequence(F.lit(1), F.length(run)), lambda i: F.ascii(F.substring(run, i, F.lit(1))))
+    codes = F.transform(F.split(run, "(?<=.)", -1), F.ascii)  # one pass; the piece after the last character is empty
+    codes = F.slice(codes, F.lit(1), F.length(run))
     # each step sees the entering code and the one WINDOW places before it (-1 at first)
     leaving = F.concat(F.array_repeat(F.lit(-1), WINDOW), codes)
     steps = F.filter(F.arrays_zip(codes.alias("enter"), leaving.alias("leave")), lambda z: z["enter"].isNotNull())
@@ -126,7 +129,8 @@ def _entropy_spans(text: Column, pattern: str, bits: float) -> Column:
     runs = F.filter(runs, lambda r: ~r["text"].rlike(allowed))
     kind = KIND_ORDER.index("entropy")
     return F.flatten(F.transform(runs, lambda r: F.transform(
-        window_spans(r["text"], bits),
+        F.filter(window_spans(r["text"], bits),
+                 lambda w: ~F.substring(r["text"], w["start"] + 1, w["end"] - w["start"]).rlike(ALLOWED_WITHIN)),
         lambda w: F.struct((r["start"] + w["start"]).alias("start"), F.lit(kind).alias("kind"), (r["start"] + w["end"]).alias("end"))))).cast(_SPAN)
 
 

@@ -15,7 +15,8 @@ nothing; every write runs on the executors.
 
 With ``--jdbc-url`` (plus ``--jdbc-driver``, ``--jdbc-user`` and
 ``--jdbc-password-env``, the name of the variable holding the password) the
-results go to tables instead of ``--out``.
+results go to tables instead of ``--out``, through a staging table and one swap
+(``--jdbc-direct``: straight into the table).
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from ratesmith.plans import assembly
 from ratesmith.session import build_session, cut_lineage, lineage_scope
 from ratesmith.sources import exchange_json as XJ
 from ratesmith.sources import files as SF
+from ratesmith.sources import publish as PB
 from ratesmith.sources import sinks as SK
 
 Sink = Callable[[DataFrame, str], None]
@@ -43,9 +45,20 @@ LATEST_RATES_TABLE = "trades.max_rates"
 TRADE_HISTORY_TABLE = "trades.trade_history"
 
 
-def jdbc_sink(url: str, properties: dict[str, str]) -> Sink:
+def store_sink(store: PB.TableStore) -> Sink:
+    """Staged publication (:mod:`ratesmith.sources.publish`): nothing repeated, old rows or new ones."""
     def write(df: DataFrame, table: str) -> None:
-        SK.write_jdbc(df, url, table, properties)
+        PB.publish(df, table, store)
+    return write
+
+
+def jdbc_sink(url: str, properties: dict[str, str], staged: bool = True) -> Sink:
+    """Tables behind a JDBC URL; without ``staged`` written directly, as the original did."""
+    def write(df: DataFrame, table: str) -> None:
+        if staged:
+            PB.publish(df, table, PB.JdbcStore(df.sparkSession, url, properties))
+        else:
+            SK.write_jdbc(df, url, table, properties)
     return write
 
 
@@ -131,7 +144,7 @@ NEEDED = {
 def _sink_from_args(args) -> Sink:
     if args.jdbc_url:
         password = os.environ.get(args.jdbc_password_env, "") if args.jdbc_password_env else ""
-        return jdbc_sink(args.jdbc_url, SK.jdbc_properties(args.jdbc_driver, args.jdbc_user, password))
+        return jdbc_sink(args.jdbc_url, SK.jdbc_properties(args.jdbc_driver, args.jdbc_user, password), not args.jdbc_direct)
     if not args.out:
         raise SystemExit("give --out or --jdbc-url")
     return file_sink(args.out)
@@ -155,6 +168,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     p.add_argument("--jdbc-user", default="")
     p.add_argument("--jdbc-password-env")
+    p.add_argument("--jdbc-direct", action="store_true", help="truncate and insert, without a staging table")
     p.add_argument("--master")
     args = p.parse_args(argv)
 

@@ -12,8 +12,9 @@ otherwise run the whole computation in that few tasks).
 Each task's inserts are one transaction (``READ_COMMITTED``): a task that fails
 before its commit leaves nothing behind.  A task that has committed but whose
 executor is lost before it reports is run again and inserts its rows a second
-time, so after such a loss the overwrite must be repeated; write to a staging
-table and rename it where readers may not see that.  The original deployment
+time, so after such a loss the overwrite must be repeated;
+:mod:`ratesmith.sources.publish` writes to a staging table instead, where
+neither can happen.  The original deployment
 wrote with ``isolationLevel=NONE`` (no transactions); pass
 ``isolation_level="NONE"`` to get it.
 """

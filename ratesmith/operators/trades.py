@@ -67,6 +67,11 @@ class ExchangeFormat:
     spent_sign: float
     pair_separator: str | None = None
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """The export's columns that are read."""
+        return (self.date_col, self.pair_col, self.side_col, self.price_col, self.base_qty_col, self.quote_qty_col)
+
 
 # Export layouts of the two exchanges.
 BINANCE = ExchangeFormat(
@@ -193,7 +198,7 @@ def value_trades(trades: DataFrame, rates_df: DataFrame,
     when it has at most ``broadcast_rows`` rows.  Beyond that the one join is a
     sort-merge join directly over two shuffles, whose skewed trade partitions
     adaptive execution splits.  Trades without a date or base asset cannot
-    match and are spread over the partitions instead of sharing one.
+    match and are spread over the partitions, by a hash of their values, instead of sharing one.
     """
     lookup = cut_lineage(valuation_lookup(rates_df, currencies), "valuation-lookup")
     small = lookup.count() <= broadcast_rows
@@ -201,7 +206,8 @@ def value_trades(trades: DataFrame, rates_df: DataFrame,
         t = trades.join(F.broadcast(lookup), (F.col("date") == F.col("_date")) & (F.col("baseAsset") == F.col("_asset")), "left")
     else:
         keyed = F.col("date").isNotNull() & F.col("baseAsset").isNotNull()
-        loose = F.when(~keyed, F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
+        # the salt is the row's own content: a task that runs again sends each row where it was sent before
+        loose = F.when(~keyed, F.concat(F.lit("\0"), F.xxhash64(*trades.columns).cast("string")))
         t = trades.withColumn("_key", F.coalesce(loose, F.concat_ws("\1", F.col("date").cast("string"), "baseAsset")))
         lookup = lookup.withColumn("_lookup_key", F.concat_ws("\1", F.col("_date").cast("string"), "_asset"))
         t = t.join(lookup, F.col("_key") == F.col("_lookup_key"), "left")

@@ -38,11 +38,10 @@ class RateCatalog:
         """Register the given rate folders (see ``register_rate_tables``)."""
         return SF.register_rate_tables(self.spark, **roots)
 
-    def refresh(self, *tables: str) -> None:
-        """Make partition folders added since registration visible."""
-        for t in tables or (CURRENCYLAYER, PRIMARY, CRYPTO, SECONDARY):
-            if self.spark.catalog.tableExists(t):
-                SF.refresh_partitions(self.spark, t)
+    def refresh(self, *tables: str, drop_missing: bool = False) -> dict[str, SF.PartitionChange]:
+        """Make partition folders added since registration visible; what changed, by table."""
+        return {t: SF.refresh_partitions(self.spark, t, drop_missing)
+                for t in tables or (CURRENCYLAYER, PRIMARY, CRYPTO, SECONDARY) if self.spark.catalog.tableExists(t)}
 
     def _t(self, name: str) -> DataFrame:
         return self.spark.table(name)

@@ -31,6 +31,7 @@ from ratesmith.operators import rates as R
 from ratesmith.operators import trades as TR
 from ratesmith.plans import assembly
 from ratesmith.session import build_session, cut_lineage, lineage_scope
+from ratesmith.sources import checked as CH
 from ratesmith.sources import exchange_json as XJ
 from ratesmith.sources import files as SF
 from ratesmith.sources import publish as PB
@@ -45,6 +46,10 @@ LATEST_RATES_TABLE = "trades.max_rates"
 TRADE_HISTORY_TABLE = "trades.trade_history"
 
 
+PLAIN_READERS = {"currencylayer": SF.read_currencylayer, "ohlc": SF.read_ohlc,
+                 "crypto": SF.read_crypto_rates, "investing": SF.read_investing}
+
+
 def store_sink(store: PB.TableStore) -> Sink:
     """Staged publication (:mod:`ratesmith.sources.publish`): nothing repeated, old rows or new ones."""
     def write(df: DataFrame, table: str) -> None:
@@ -68,24 +73,34 @@ def file_sink(root: str, fmt: str = "parquet") -> Sink:
     return write
 
 
-def publish_closed_rates(spark: SparkSession, currencylayer_root: str, sink: Sink) -> None:
+def _feed(spark: SparkSession, layout: str, root: str, rejects: Sink | None, table: str) -> DataFrame:
+    """A rate feed; with a ``rejects`` sink its good rows only, the other lines going there under the table's name."""
+    if rejects is None:
+        return PLAIN_READERS[layout](spark, root)
+    read = CH.read_checked(spark, layout, root)
+    rejects(read.rejects, table)
+    return read.good
+
+
+def publish_closed_rates(spark: SparkSession, currencylayer_root: str, sink: Sink, rejects: Sink | None = None) -> None:
     """The live job: rate closure of the headerless feed."""
-    feed = SF.read_currencylayer(spark, currencylayer_root)
+    feed = _feed(spark, "currencylayer", currencylayer_root, rejects, CLOSED_RATES_TABLE)
     sink(assembly.closed_rates(feed), CLOSED_RATES_TABLE)
 
 
-def publish_exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) -> None:
+def publish_exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink, rejects: Sink | None = None) -> None:
     """Filled exchange rates and each pair's latest rate.
 
     The rates are written once to the checkpoint folder and both results are
     read from there, so the feed is scanned and filled once.
     """
     with lineage_scope(spark):
-        _exchange_rates(spark, crypto_root, sink)
+        _exchange_rates(spark, crypto_root, sink, rejects)
 
 
-def _exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) -> DataFrame:
-    rates = cut_lineage(assembly.exchange_rates(SF.read_crypto_rates(spark, crypto_root)), "exchange-rates")
+def _exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink, rejects: Sink | None) -> DataFrame:
+    feed = _feed(spark, "crypto", crypto_root, rejects, EXCHANGE_RATES_TABLE)
+    rates = cut_lineage(assembly.exchange_rates(feed), "exchange-rates")
     sink(rates, EXCHANGE_RATES_TABLE)
     sink(R.latest_rates(rates), LATEST_RATES_TABLE)
     return rates
@@ -93,19 +108,21 @@ def _exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink) -> DataFr
 
 def publish_exchange_and_trades(spark: SparkSession, crypto_root: str, binance_glob: str, exmo_glob: str,
                                 symbols_path: str, sink: Sink,
-                                currencies: tuple[str, ...] = TR.VALUATION_CURRENCIES) -> None:
+                                currencies: tuple[str, ...] = TR.VALUATION_CURRENCIES,
+                                rejects: Sink | None = None) -> None:
     """Exchange rates, latest rates and the trade history valued with those same rates, in one run."""
     with lineage_scope(spark):
-        rates = _exchange_rates(spark, crypto_root, sink)
+        rates = _exchange_rates(spark, crypto_root, sink, rejects)
         _trade_history(spark, binance_glob, exmo_glob, symbols_path, rates, sink, currencies)
 
 
 def publish_market_rates(spark: SparkSession, ohlc_root: str, investing_root: str, sink: Sink,
                          table: str = CLOSED_RATES_TABLE,
-                         currencies: tuple[str, ...] = R.MARKET_CURRENCIES) -> None:
+                         currencies: tuple[str, ...] = R.MARKET_CURRENCIES,
+                         rejects: Sink | None = None) -> None:
     """Rates of the listed currencies assembled from two feeds."""
-    primary = SF.read_ohlc(spark, ohlc_root)
-    secondary = SF.read_investing(spark, investing_root)
+    primary = _feed(spark, "ohlc", ohlc_root, rejects, f"{table}.ohlc")
+    secondary = _feed(spark, "investing", investing_root, rejects, f"{table}.investing")
     with lineage_scope(spark):
         sink(assembly.market_rates(primary, secondary, currencies), table)
 
@@ -125,8 +142,8 @@ def publish_trade_history(spark: SparkSession, binance_glob: str, exmo_glob: str
 
 
 def _trade_history(spark, binance_glob, exmo_glob, symbols_path, rates, sink, currencies) -> None:
-    binance = SF.read_trade_exports(spark, binance_glob)
-    exmo = SF.read_trade_exports(spark, exmo_glob)
+    binance = CH.read_aligned_exports(spark, binance_glob, TR.BINANCE.columns)
+    exmo = CH.read_aligned_exports(spark, exmo_glob, TR.EXMO.columns)
     symbols = cut_lineage(XJ.read_symbols(spark, symbols_path), "symbols")
     sink(assembly.trade_history(binance, symbols, exmo, rates, currencies), TRADE_HISTORY_TABLE)
 
@@ -164,6 +181,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--currencies", help="comma list: market-rates keeps these currencies, "
                                         "trade-history values trades in these")
     p.add_argument("--out")
+    p.add_argument("--rejects", help="folder for the lines of the rate files that do not parse (parquet, one table a feed)")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     p.add_argument("--jdbc-user", default="")
@@ -180,16 +198,17 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(args.master)
     sink = _sink_from_args(args)
+    rejects = file_sink(args.rejects) if args.rejects else None
     if args.job == "closed-rates":
-        publish_closed_rates(spark, args.currencylayer, sink)
+        publish_closed_rates(spark, args.currencylayer, sink, rejects)
     elif args.job == "exchange-rates":
-        publish_exchange_rates(spark, args.crypto, sink)
+        publish_exchange_rates(spark, args.crypto, sink, rejects)
     elif args.job == "market-rates":
         cur = tuple(args.currencies.split(",")) if args.currencies else R.MARKET_CURRENCIES
-        publish_market_rates(spark, args.ohlc, args.investing, sink, currencies=cur)
+        publish_market_rates(spark, args.ohlc, args.investing, sink, currencies=cur, rejects=rejects)
     elif args.job == "exchange-trades":
         cur = tuple(args.currencies.split(",")) if args.currencies else TR.VALUATION_CURRENCIES
-        publish_exchange_and_trades(spark, args.crypto, args.binance, args.exmo, args.symbols, sink, cur)
+        publish_exchange_and_trades(spark, args.crypto, args.binance, args.exmo, args.symbols, sink, cur, rejects)
     else:
         cur = tuple(args.currencies.split(",")) if args.currencies else TR.VALUATION_CURRENCIES
         publish_trade_history(spark, args.binance, args.exmo, args.symbols,

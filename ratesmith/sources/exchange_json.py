@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratesmith.session import cut_lineage
+
 SYMBOL_FIELDS = ("symbol", "baseAsset", "quoteAsset")
 
 EXCHANGE_INFO_SCHEMA = T.StructType([
@@ -93,3 +95,38 @@ def write_klines_monthly(daily: DataFrame, root: str, mode: str = "append") -> N
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.csv(root)
+
+
+_MONTHLY_SCHEMA = "Timestamp string, High string, Low string, Open string, Close string, month string"
+_PRICES = ("High", "Low", "Open", "Close")
+
+
+def merge_klines_monthly(spark: SparkSession, daily: DataFrame, root: str) -> None:
+    """Bring daily rows into the monthly files of ``root``: one line a day, the batch's taking the place of an older one.
+
+    A keyed upsert over files: the months of the batch are read back, joined with it by day, and written
+    as whole months (dynamic partition overwrite); other months are not touched.  Running a batch again, or
+    batches that overlap, changes nothing but the days whose prices changed.  If a batch itself
+    has a day more than once with different prices, the greatest (high, low, open, close) stays, so the
+    result does not depend on the order of rows.  Rows without a date are an error.
+
+    The merged months are computed into the checkpoint folder before any file is replaced, so the
+    files being read are not the ones being written, and a failure before the last step leaves the root as it was.
+    """
+    day = F.date_format("date", "yyyy-MM-dd")
+    batch = daily.select(F.coalesce(day, F.raise_error(F.lit("kline without an open time"))).alias("Timestamp"),
+                         *[F.col(c.lower()).cast("string").alias(c) for c in _PRICES], F.date_format("date", "yyyy-MM").alias("month"))
+    batch = cut_lineage(batch.withColumn("fresh", F.lit(1)), "kline-batch")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    rows = batch
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        # months are a small table (one row a month); joined, they prune the folders that are read
+        months = F.broadcast(batch.select("month").distinct())
+        old = spark.read.schema(_MONTHLY_SCHEMA).option("header", "true").csv(root)
+        rows = old.join(months, "month", "left_semi").select(*[c for c in batch.columns if c != "fresh"], F.lit(0).alias("fresh")).unionByName(batch)
+    order = F.struct("fresh", *[F.col(c).cast("double").alias(f"n{c}") for c in _PRICES], *_PRICES)
+    merged = rows.groupBy("month", "Timestamp").agg(F.max(order).alias("row")).select("Timestamp", *[f"row.{c}" for c in _PRICES], "month")
+    merged = cut_lineage(merged, "kline-months")
+    (merged.hint("rebalance", "month").sortWithinPartitions("month", "Timestamp").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("header", "true").partitionBy("month").csv(root))

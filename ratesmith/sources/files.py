@@ -9,6 +9,9 @@ parse keep NULLs (permissive mode), as the jobs expect.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -106,18 +109,99 @@ def register_csv_table(spark: SparkSession, name: str, location: str, schema: T.
     pcols = ", ".join(f"`{p}` STRING" for p in partition_cols)
     opts = {"header": str(header).lower(), "path": location, **options}
 
-    def lit(v: str) -> str:
-        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    opt_sql = ", ".join(f"{lit(k)} {lit(v)}" for k, v in opts.items())
+    opt_sql = ", ".join(f"{_sql_text(k)} {_sql_text(v)}" for k, v in opts.items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {pcols}) USING csv "
               f"OPTIONS ({opt_sql}) PARTITIONED BY ({', '.join(partition_cols)})")
     refresh_partitions(spark, name)
 
 
-def refresh_partitions(spark: SparkSession, name: str) -> None:
-    """Make partition folders added since registration visible (``MSCK REPAIR``)."""
-    spark.catalog.recoverPartitions(name)
+@dataclass(frozen=True)
+class PartitionChange:
+    """Partitions that a refresh added to and took from the catalogue, as (column, value) pairs."""
+
+    added: tuple[tuple[tuple[str, str], ...], ...]
+    dropped: tuple[tuple[tuple[str, str], ...], ...]
+
+
+#: Partitions of one ALTER TABLE statement.
+PARTITIONS_AT_ONCE = 500
+# Fixed value: the folder that stands for a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _table_location(spark: SparkSession, name: str) -> tuple[str, list[str]]:
+    """The folder and the partition columns of a catalog table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    location = next(r.data_type for r in rows if r.col_name == "Location")
+    heading = next(i for i, r in enumerate(rows) if r.col_name == "# Partition Information")
+    columns = []
+    for r in rows[heading + 2:]:  # the heading is followed by the columns' own heading
+        if not r.col_name or r.col_name.startswith("#"):
+            break
+        columns.append(r.col_name)
+    return location, columns
+
+
+def partition_folders(spark: SparkSession, location: str, columns: Sequence[str]) -> dict[tuple, str]:
+    """(column, value) pairs -> path of every partition folder; folders that are none are left out.
+
+    Lists folders only, level by level, never the files in them.
+    """
+    jvm = spark.sparkContext._jvm
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    root = jvm.org.apache.hadoop.fs.Path(location)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    level: list[tuple[tuple, object]] = [((), root)]
+    for column in columns:
+        deeper = []
+        for pairs, folder in level:
+            for status in fs.listStatus(folder):
+                key, _, value = status.getPath().getName().partition("=")
+                if status.isDirectory() and key.lower() == column.lower() and value:
+                    deeper.append((pairs + ((column, unescape(value)),), status.getPath()))
+        level = deeper
+    return {pairs: path.toString() for pairs, path in level}
+
+
+def registered_partitions(spark: SparkSession, name: str) -> set[tuple]:
+    """The partitions the catalogue has for a table, as (column, value) pairs."""
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    out = set()
+    for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        out.add(tuple((k, unescape(v)) for k, _, v in (part.partition("=") for part in r.partition.split("/"))))
+    return out
+
+
+def _sql_text(v: str) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _partition_sql(pairs: tuple) -> str:
+    value = lambda v: "NULL" if v == NULL_PARTITION else _sql_text(v)
+    return "PARTITION (" + ", ".join(f"`{c}` = {value(v)}" for c, v in pairs) + ")"
+
+
+def refresh_partitions(spark: SparkSession, name: str, drop_missing: bool = False) -> PartitionChange:
+    """Make partition folders added since registration visible, and tell which they are.
+
+    The folders are compared with what the catalogue has and only the difference is sent to it, so
+    that a refresh without news changes nothing (``MSCK REPAIR`` lists and sends every folder
+    each time).  ``drop_missing`` also takes out partitions whose folder is gone.  The
+    names of the partitions pass through the driver, no file names do.
+    """
+    location, columns = _table_location(spark, name)
+    folders, known = partition_folders(spark, location, columns), registered_partitions(spark, name)
+    added = tuple(sorted(folders.keys() - known))
+    dropped = tuple(sorted(known - folders.keys())) if drop_missing else ()
+    for i in range(0, len(added), PARTITIONS_AT_ONCE):
+        parts = " ".join(f"{_partition_sql(p)} LOCATION {_sql_text(folders[p])}" for p in added[i:i + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    for i in range(0, len(dropped), PARTITIONS_AT_ONCE):
+        parts = ", ".join(_partition_sql(p) for p in dropped[i:i + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    if added or dropped:
+        spark.catalog.refreshTable(name)
+    return PartitionChange(added, dropped)
 
 
 def register_rate_tables(spark: SparkSession, currencylayer_root: str | None = None,

@@ -57,6 +57,27 @@ def test_hot_key_of_the_valuation_is_split(spark):
     assert len(split) == 60_000 + 54_000  # two rates of BTC/USDT repeat its trades
 
 
+def test_the_salt_of_unmatched_trades_is_their_content(spark):
+    """A stage that runs again over its input in another order sends every row to the partition it was sent to."""
+    trades = some_trades(spark, 4000, 0.1).withColumn("baseAsset", F.when(F.col("price") % 3 == 0, F.col("baseAsset")))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        places = []
+        for order in (trades, trades.orderBy(F.desc("price")), trades.repartition(3, "executed")):
+            df = TR.value_trades(order, some_rates(spark), broadcast_rows=0)
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert "monotonically_increasing_id" not in plan and "xxhash64" in plan
+            key = F.coalesce(F.when(F.col("baseAsset").isNull(), F.concat(F.lit("\0"), F.xxhash64(*order.columns).cast("string"))), F.lit("keyed"))
+            places.append(sorted((r.price, r.key) for r in order.select("price", key.alias("key")).collect()))
+            values = rows(df)
+            assert values == rows(TR.value_trades(trades, some_rates(spark)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert places[0] == places[1] == places[2]
+    assert len({k for _, k in places[0]}) > 2000  # and spread
+
+
 def test_lookup_has_one_row_per_pair_of_rates(spark):
     got = rows(TR.valuation_lookup(some_rates(spark), ("BTC", "USDT")).where("_asset = 'BTC'"))
     assert got == [(DAY, "BTC", 1.0, 5.0), (DAY, "BTC", 1.0, 6.0)]

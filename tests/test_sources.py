@@ -60,6 +60,38 @@ def test_register_table_and_refresh_partitions(spark, scratch):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_refresh_adds_only_what_is_new(spark, scratch):
+    line = "2024-01-01,x,y,40.5\n"
+    root, name = f"{scratch}/it's here", "cl_diff_" + os.path.basename(scratch).replace("-", "_")
+    put(f"{root}/asset=USD/quote=UAH/a.csv", line)
+    put(f"{root}/notes/readme.csv", "no partition\n")
+    put(f"{root}/asset=USD/other=1/a.csv", line)
+    put(f"{root}/asset=USD/loose.csv", line)
+    try:
+        SF.register_csv_table(spark, name, root, SF.CURRENCYLAYER_SCHEMA)
+        assert spark.table(name).count() == 1
+        assert SF.refresh_partitions(spark, name) == SF.PartitionChange((), ())  # no news, nothing sent
+        put(f"{root}/asset=EUR/quote=USD/a.csv", line)
+        put(f"{root}/asset=O%27X/quote=a%2Fb/a.csv", line)  # escaped folder names: O'X, a/b
+        put(f"{root}/asset=USD/quote=UAH/b.csv", line)  # a file more in a known partition
+        change = SF.refresh_partitions(spark, name)
+        assert change.added == ((("asset", "EUR"), ("quote", "USD")), (("asset", "O'X"), ("quote", "a/b"))) and not change.dropped
+        assert rows(spark.table(name), "asset", "quote") == [("EUR", "USD"), ("O'X", "a/b"), ("USD", "UAH"), ("USD", "UAH")]
+        for i in range(7):
+            put(f"{root}/asset=USD/quote=Q{i}/a.csv", line)
+        SF.PARTITIONS_AT_ONCE, before = 3, SF.PARTITIONS_AT_ONCE
+        try:
+            assert len(SF.refresh_partitions(spark, name).added) == 7
+        finally:
+            SF.PARTITIONS_AT_ONCE = before
+        os.rename(f"{root}/asset=EUR", f"{scratch}/gone")
+        assert SF.refresh_partitions(spark, name) == SF.PartitionChange((), ())
+        assert SF.refresh_partitions(spark, name, drop_missing=True).dropped == ((("asset", "EUR"), ("quote", "USD")),)
+        assert spark.table(name).count() == 10
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_trade_exports_all_strings(spark, scratch):
     put(f"{scratch}/tr/a.csv", "Date(UTC),Pair,Side,Price,Executed,Amount,Fee\n"
                                "2024-01-01 00:00:00,BTCUSDT,BUY,1,2BTC,3USDT,0\n")
@@ -187,3 +219,51 @@ def test_klines_overwrite_replaces_only_the_batch_months(spark, scratch):
     back = spark.read.option("header", "true").csv(f"{scratch}/k")
     assert dict((r.month, r["count"]) for r in back.groupBy("month").count().collect()) == {
         "2020-06": 2, "2020-07": 3}
+
+
+def _monthly(spark, root):
+    back = spark.read.option("header", "true").csv(root)
+    return sorted((r.month, str(r.Timestamp), r.High, r.Close) for r in back.collect())
+
+
+def _files(root):
+    return {os.path.join(d, n): os.path.getmtime(os.path.join(d, n)) for d, _, names in os.walk(root) for n in names if n.endswith(".csv")}
+
+
+def test_a_kline_batch_run_twice_changes_nothing(spark, scratch):
+    batch = lambda ks: XJ.klines_daily(spark.createDataFrame([(json.dumps(ks),)], "value string"))
+    root = f"{scratch}/k"
+    june = [_kline(d, 1, 2, 0.5, 1.5) for d in _days(dt.date(2020, 6, 1), 30)]
+    july = [_kline(d, 1, 2, 0.5, 1.5) for d in _days(dt.date(2020, 7, 1), 10)]
+    XJ.merge_klines_monthly(spark, batch(june + july[:5]), root)
+    once = _monthly(spark, root)
+    assert len(once) == 35
+    XJ.merge_klines_monthly(spark, batch(june + july[:5]), root)
+    assert _monthly(spark, root) == once
+    kept = {f: t for f, t in _files(root).items() if "2020-06" in f}
+    # the next batch overlaps: a day got its final price, five days are new, June is not touched
+    XJ.merge_klines_monthly(spark, batch([_kline(dt.date(2020, 7, 5), 1, 9, 0.5, 8.5)] + july[5:]), root)
+    got = _monthly(spark, root)
+    assert len(got) == 40 and ("2020-07", "2020-07-05", "9.00000000", "8.50000000") in got
+    assert {f: t for f, t in _files(root).items() if "2020-06" in f} == kept
+    # appending, as before, repeats the days
+    XJ.write_klines_monthly(batch(july), root)
+    assert len(_monthly(spark, root)) == 50
+    XJ.merge_klines_monthly(spark, batch(july[:1]), root)  # and the next merge of the month mends it
+    assert len(_monthly(spark, root)) == 40
+
+
+def test_a_day_twice_in_one_batch_has_one_line(spark, scratch):
+    day = dt.date(2021, 1, 1)
+    for order in (1, -1):
+        ks = [_kline(day, 1, 2, 0.5, 1.5), _kline(day, 1, 10, 0.5, 1.5), _kline(day, 1, 9, 0.5, 1.5)][::order]
+        root = f"{scratch}/k{order}"
+        XJ.merge_klines_monthly(spark, XJ.klines_daily(spark.createDataFrame([(json.dumps(ks),)], "value string")), root)
+        assert _monthly(spark, root) == [("2021-01", "2021-01-01", "10.00000000", "1.50000000")]
+
+
+def test_merged_files_read_as_the_exchange_wrote_them(spark, scratch):
+    daily = XJ.klines_daily(spark.createDataFrame([(json.dumps([_kline(dt.date(2020, 6, 24), 26.66, 26.66, 5.5, 26.553)]),)], "value string"))
+    XJ.merge_klines_monthly(spark, daily, f"{scratch}/m")
+    lines = [r.value for r in spark.read.text(f"{scratch}/m/month=2020-06").collect()]
+    assert lines == ["Timestamp,High,Low,Open,Close", "2020-06-24,26.66000000,5.50000000,26.66000000,26.55300000"]

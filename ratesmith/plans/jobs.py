@@ -6,7 +6,7 @@ Each job publishes through a *sink*, a callable ``(DataFrame, table_name)``:
 nothing; every write runs on the executors.
 
     python -m ratesmith.plans.jobs closed-rates --currencylayer ROOT --out DIR
-    python -m ratesmith.plans.jobs exchange-rates --crypto ROOT --out DIR
+    python -m ratesmith.plans.jobs exchange-rates --crypto ROOT --out DIR [--update]
     python -m ratesmith.plans.jobs market-rates --ohlc ROOT --investing ROOT --out DIR
     python -m ratesmith.plans.jobs trade-history --binance GLOB --exmo GLOB \\
         --symbols PATH --rates DIR --out DIR [--currencies BTC,USDT]
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ratesmith.operators import rates as R
 from ratesmith.operators import trades as TR
 from ratesmith.plans import assembly
+from ratesmith.plans import incremental as INC
 from ratesmith.session import build_session, cut_lineage, lineage_scope
 from ratesmith.sources import checked as CH
 from ratesmith.sources import exchange_json as XJ
@@ -106,6 +107,23 @@ def _exchange_rates(spark: SparkSession, crypto_root: str, sink: Sink, rejects:
     return rates
 
 
+def update_closed_rates(spark: SparkSession, currencylayer_root: str, out: str, rejects: Sink | None = None,
+                        redo_last: bool = False) -> INC.Run:
+    """The live job, computing only the dates after those already under ``out`` (:mod:`ratesmith.plans.incremental`)."""
+    feed = _feed(spark, "currencylayer", currencylayer_root, rejects, CLOSED_RATES_TABLE)
+    return INC.update_closed_rates(spark, feed, f"{out.rstrip('/')}/{CLOSED_RATES_TABLE}", redo_last)
+
+
+def update_exchange_rates(spark: SparkSession, crypto_root: str, out: str, rejects: Sink | None = None,
+                          redo_last: bool = False) -> INC.Run:
+    """Filled exchange rates beyond those already under ``out``; each pair's latest rate from all of them."""
+    feed = _feed(spark, "crypto", crypto_root, rejects, EXCHANGE_RATES_TABLE)
+    root = f"{out.rstrip('/')}/{EXCHANGE_RATES_TABLE}"
+    run = INC.update_exchange_rates(spark, feed, root, redo_last)
+    file_sink(out)(R.latest_rates(INC.published(spark, root).select(*R.RATE_COLUMNS)), LATEST_RATES_TABLE)
+    return run
+
+
 def publish_exchange_and_trades(spark: SparkSession, crypto_root: str, binance_glob: str, exmo_glob: str,
                                 symbols_path: str, sink: Sink,
                                 currencies: tuple[str, ...] = TR.VALUATION_CURRENCIES,
@@ -181,6 +199,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--currencies", help="comma list: market-rates keeps these currencies, "
                                         "trade-history values trades in these")
     p.add_argument("--out")
+    p.add_argument("--update", action="store_true", help="closed-rates and exchange-rates: only the dates after those in --out")
+    p.add_argument("--redo-last", action="store_true", help="with --update: compute the last run's dates again")
     p.add_argument("--rejects", help="folder for the lines of the rate files that do not parse (parquet, one table a feed)")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver", default="org.postgresql.Driver")
@@ -196,10 +216,17 @@ def main(argv: list[str] | None = None) -> None:
     if not (args.out or args.jdbc_url):
         p.error("give --out or --jdbc-url")
 
+    if args.update and (args.job not in ("closed-rates", "exchange-rates") or not args.out):
+        p.error("--update needs --out and closed-rates or exchange-rates")
+
     spark = build_session(args.master)
     sink = _sink_from_args(args)
     rejects = file_sink(args.rejects) if args.rejects else None
-    if args.job == "closed-rates":
+    if args.update and args.job == "closed-rates":
+        update_closed_rates(spark, args.currencylayer, args.out, rejects, args.redo_last)
+    elif args.update:
+        update_exchange_rates(spark, args.crypto, args.out, rejects, args.redo_last)
+    elif args.job == "closed-rates":
         publish_closed_rates(spark, args.currencylayer, sink, rejects)
     elif args.job == "exchange-rates":
         publish_exchange_rates(spark, args.crypto, sink, rejects)

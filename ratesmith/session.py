@@ -13,6 +13,7 @@ import contextlib
 import contextvars
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 _SCOPE: contextvars.ContextVar[str | None] = contextvars.ContextVar("ratesmith_scope", default=None)
 
+# The tables of a session that no job scope owns lie in one folder, named by the application.  Hadoop deletes
+# it when the JVM ends; what a killed JVM leaves is found by its age (sweep_lineage).
+_TABLES = "tables"
+_OWNED = "session-"
+
+
+def _tables_root(spark: SparkSession) -> str:
+    """Where all sessions of the cluster keep their tables: the configured folder itself, not Spark's own folder in it."""
+    current = ensure_checkpoint_dir(spark)
+    try:
+        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # a remote session
+        configured = None
+    return f"{(configured or current).rstrip('/')}/{_TABLES}"
+
+
+def _filesystem(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def lineage_folder(spark: SparkSession) -> str:
+    """The folder that owns new lineage cuts: the current job's (:func:`lineage_scope`), else the session's.
+
+    The session's folder is removed when its JVM ends, or by :func:`release_lineage`.
+    """
+    scope = _SCOPE.get()
+    if scope:
+        return scope
+    folder = f"{_tables_root(spark)}/{_OWNED}{spark.sparkContext.applicationId}"
+    fs, path = _filesystem(spark, folder)
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return folder
+
 
 @contextlib.contextmanager
 def lineage_scope(spark: SparkSession):
@@ -108,16 +145,43 @@ def lineage_scope(spark: SparkSession):
     leaving the block removes it (the results must have been written by then:
     DataFrames read from the folder are lazy).
     """
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    folder = f"{root}/tables/job-{uuid.uuid4().hex}"
+    folder = f"{_tables_root(spark)}/job-{uuid.uuid4().hex}"
     token = _SCOPE.set(folder)
     try:
         yield folder
     finally:
         _SCOPE.reset(token)
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = _filesystem(spark, folder)
+        fs.delete(path, True)
+
+
+def release_lineage(spark: SparkSession) -> None:
+    """Delete the session's lineage cuts now; results that still read them must have been written."""
+    fs, path = _filesystem(spark, f"{_tables_root(spark)}/{_OWNED}{spark.sparkContext.applicationId}")
+    fs.delete(path, True)
+
+
+def sweep_lineage(spark: SparkSession, older_than_hours: float = 72.0) -> list[str]:
+    """Delete what ended jobs and killed sessions left in the checkpoint folder; returns the folders.
+
+    A folder goes when nothing was written to it for ``older_than_hours``: give more than the longest run,
+    since other applications may share the checkpoint folder.  This session's folder stays.
+    """
+    fs, path = _filesystem(spark, _tables_root(spark))
+    if not fs.exists(path):
+        return []
+    latest = time.time() * 1000 - older_than_hours * 3_600_000
+    own, gone = _OWNED + spark.sparkContext.applicationId, []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name == own or not name.startswith((_OWNED, "job-")):
+            continue
+        # each cut is a folder of its own, so the newest of them tells when the owner last wrote
+        newest = max([status.getModificationTime(), *(s.getModificationTime() for s in fs.listStatus(status.getPath()))])
+        if newest < latest:
+            fs.delete(status.getPath(), True)
+            gone.append(status.getPath().toString())
+    return gone
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -126,11 +190,10 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     The data then lives in the shared folder, not on executors, so a lost
     executor does not send Spark back through the lineage; and later filters
     on the re-read table reach its parquet scan.  (A reliable RDD checkpoint
-    would compute ``df`` twice unless it were also cached.)  Inside a
-    :func:`lineage_scope` the table is removed with the scope.
+    would compute ``df`` twice unless it were also cached.)  The table belongs to the
+    :func:`lineage_folder` and is removed with it.
     """
     spark = df.sparkSession
-    root = _SCOPE.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{lineage_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

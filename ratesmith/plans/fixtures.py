@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Fixture rules (fixed values).
 # event_type -> asset currency
@@ -39,9 +40,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     The test files are single parquet row groups, which Spark cannot split.  The
     spread is part of these test views only, at every size alike; the jobs read
-    their files as they are.
+    their files as they are.  The files never change, so their footers are read for the
+    schema once a process, not once a view.
     """
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism)
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.read.schema(_SCHEMAS[path]) if path in _SCHEMAS else spark.read
+    df = reader.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def _lookup(key: Column, mapping: dict | list) -> Column:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -305,6 +306,85 @@ def test_url_models_tell_unseen_urls_apart(spark):
     assert sum((r.verdict == "allow") == (r.page_id % 2 == 1) for r in got) >= 97
 
 
+def url_verdicts(rows, fold_of):
+    """(page, verdict, score) by dictionaries of counted strings, and the least-loss threshold over held-out scores."""
+    def read_of(url):
+        host, path = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "").groups() if "://" in (url or "") else ("", "")
+        host = host.translate(str.maketrans(urls._UPPER, urls._LOWER))
+        return (host + path) or url or "", host
+
+    grams, after = collections.Counter(), collections.defaultdict(set)
+    known = []
+    for _, url in rows:
+        rule = ruled(url)[2]
+        if rule:
+            how = {h + p: v for v, h, p in urls.RULES}[rule]
+            text, host = read_of(url)
+            known.append((how, fold_of[host], text))
+            raw = urls.START + text.encode() + urls.END
+            for model in (fold_of[host], "all"):
+                for at in range(urls.ORDER, len(raw)):
+                    for k in range(urls.ORDER + 1):
+                        grams[how, model, raw[at - k:at + 1]] += 1
+                        after[how, model, raw[at - k:at]].add(raw[at])
+    totals = collections.Counter()
+    for (how, model, gram), n in grams.items():
+        totals[how, model, len(gram) - 1, gram[:-1]] += n
+
+    def score(text, model):
+        raw, gain = urls.START + text.encode() + urls.END, 0.0
+        for at in range(urls.ORDER, len(raw)):
+            p = {"allow": 1 / 256, "block": 1 / 256}
+            for k in range(urls.ORDER + 1):
+                for how in p:
+                    total, followers = totals[how, model, k, raw[at - k:at]], len(after[how, model, raw[at - k:at]])
+                    if total:
+                        p[how] = (grams[how, model, raw[at - k:at + 1]] + followers * p[how]) / (total + followers)
+            gain += math.log(p["allow"]) - math.log(p["block"])
+        return gain / (len(raw) - urls.ORDER)
+
+    held = [(how, math.floor(round(score(text, 1 - fold), 9) * 1000)) for how, fold, text in known]
+    losses = {}
+    n_good, n_bad = (sum(h == how for h, _ in held) for how in ("allow", "block"))
+    for c in range(min(c for _, c in held), max(c for _, c in held) + 2):
+        losses[c] = sum(h == "allow" and x < c for h, x in held) / n_good + sum(h == "block" and x >= c for h, x in held) / n_bad
+    best = [c for c in losses if losses[c] <= min(losses.values()) + 1e-12]
+    run = [c for i, c in enumerate(best) if c == best[0] + i]
+    threshold = run[len(run) // 2] / 1000
+    out = []
+    for page, url in rows:
+        rule, s = ruled(url)[2], score(read_of(url)[0], "all")
+        how = {h + p: v for v, h, p in urls.RULES}[rule] if rule else "allow" if s >= threshold else "block"
+        out.append((page, how, s))
+    return out, threshold
+
+
+def test_url_verdicts_against_counted_strings(spark):
+    rnd = random.Random(8)
+    word = lambda s: "".join(rnd.choice(s) for _ in range(rnd.randint(1, 9)))
+    rows = [(0, None), (1, ""), (2, "no scheme ü"), (3, "http://" + "long" * 3000 + ".org/x"), (4, "http://é.org/日本")]
+    rows += [(10 + i, rnd.choice([f"http://{word('abcdef')}.com/{word('abcx')}", f"https://{word('uvwxyz')}.net/es/{word('xyz')}",
+                                  f"http://{word('abcxyz')}.org/{word('abcxyz')}", "http://same.example.org/again"])) for i in range(150)]
+    pages = spark.createDataFrame([(i, u, "t") for i, u in rows], "page_id long, url string, read string").repartition(3)
+    hosts = spark.createDataFrame([(h,) for h in sorted({ruled(u)[0] for _, u in rows})], "host string")
+    fold_of = {r.host: r.fold for r in hosts.select("host", F.pmod(F.xxhash64("host"), F.lit(urls.FOLDS)).alias("fold")).collect()}
+    want, threshold = url_verdicts(rows, fold_of)
+    got = {r.page_id: r for r in urls.judge_urls(pages).collect()}
+    assert len(got) == len(rows)
+    for page, how, score in want:
+        assert abs(got[page].llr - score) < 1e-6
+        assert got[page].verdict == how or abs(score - threshold) < 1e-6
+    assert {r.verdict for r in got.values() if r.rule is None} == {"allow", "block"}
+
+
+def test_url_slabs_do_not_change_scores(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 37}.{'com' if i % 3 else 'net'}/{'es' if i % 5 else 'xx'}/{i % 11}") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    once = sorted(map(tuple, urls.judge_urls(pages).collect()))
+    monkeypatch.setattr(urls, "SLAB_BYTES", 200)
+    assert sorted(map(tuple, urls.judge_urls(pages).collect())) == once
+
+
 # ---- 2: toxicity ---------------------------------------------------------------------------
 
 def test_toxicity_on_held_out_documents(spark):

@@ -36,10 +36,15 @@ SENTENCES = (
     ("mit-liability", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("isc-grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
     ("isc-as-is", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("isc-liability", "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
     ("bsd-grant", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd-source", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd-binary", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
     ("bsd-endorse", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-as-is", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd-liability", "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services"),
+    ("bsd-loss", "loss of use data or profits"),
+    ("bsd-cause", "or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
     ("bsd3-short", "licensed under the bsd 3 clause license"),
     ("bsd2-short", "licensed under the bsd 2 clause license"),
     ("gpl3-work", "this work is licensed under the gnu general public license version 3"),
@@ -51,9 +56,19 @@ SENTENCES = (
     ("gpl-hope", "this program is distributed in the hope that it will be useful but without any warranty"),
     ("gpl-implied", "without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("gpl-see", "see the gnu general public license for more details"),
+    ("agpl3-later", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl-see", "see the gnu affero general public license for more details"),
+    ("agpl3-short", "licensed under the gnu affero general public license version 3"),
+    ("lgpl-free", "this library is free software"),
+    ("lgpl21-later", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl3-later", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl-hope", "this library is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl-see", "see the gnu lesser general public license for more details"),
     ("lgpl-short", "licensed under the gnu lesser general public license version 3"),
     ("mpl2-subject", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("mpl2-short", "licensed under the mozilla public license version 2 0"),
+    ("epl2-materials", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("epl2-short", "licensed under the eclipse public license version 2 0"),
     ("cc-by", "licensed under cc by 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
@@ -65,12 +80,22 @@ SENTENCES = (
     ("spdx-apache2", "spdx license identifier apache 2 0"),
     ("spdx-gpl3", "spdx license identifier gpl 3 0 only"),
     ("spdx-bsd3", "spdx license identifier bsd 3 clause"),
+    ("spdx-bsd2", "spdx license identifier bsd 2 clause"),
+    ("spdx-isc", "spdx license identifier isc"),
+    ("spdx-agpl3", "spdx license identifier agpl 3 0 or later"),
+    ("spdx-mpl2", "spdx license identifier mpl 2 0"),
+    ("spdx-epl2", "spdx license identifier epl 2 0"),
     ("all-rights", "all rights reserved"),
     ("copyright", "copyright"),
 )
 # Ordered rules (licence, sequence of sentence identifiers).
 RULES = (
     ("Apache-2.0", ("apache2-the-license", "apache2-compliance", "apache2-obtain", "apache2-as-is", "apache2-see")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "bsd-liability", "bsd-loss", "bsd-cause")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "bsd-liability", "bsd-loss", "bsd-cause")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl3-later", "gpl-hope", "gpl-implied", "agpl-see")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl3-later", "lgpl-hope", "gpl-implied", "lgpl-see")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl21-later", "lgpl-hope", "gpl-implied", "lgpl-see")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later", "gpl-hope", "gpl-implied", "gpl-see")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-later", "gpl-hope", "gpl-implied", "gpl-see")),
     ("MIT", ("mit-grant", "mit-notice", "mit-as-is", "mit-liability")),
@@ -78,6 +103,10 @@ RULES = (
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-later")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl3-later")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl3-later")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl21-later")),
+    ("ISC", ("isc-grant", "isc-as-is", "isc-liability")),
     ("ISC", ("isc-grant", "isc-as-is")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("Apache-2.0", ("apache2-the-license",)),
@@ -89,7 +118,10 @@ RULES = (
     ("GPL-3.0-only", ("gpl3-work",)),
     ("GPL-3.0-only", ("gpl3-short",)),
     ("GPL-2.0-only", ("gpl2-short",)),
+    ("AGPL-3.0-only", ("agpl3-short",)),
     ("LGPL-3.0-only", ("lgpl-short",)),
+    ("EPL-2.0", ("epl2-materials",)),
+    ("EPL-2.0", ("epl2-short",)),
     ("MPL-2.0", ("mpl2-subject",)),
     ("MPL-2.0", ("mpl2-short",)),
     ("CC-BY-4.0", ("cc-by",)),
@@ -103,11 +135,17 @@ RULES = (
     ("Apache-2.0", ("spdx-apache2",)),
     ("GPL-3.0-only", ("spdx-gpl3",)),
     ("BSD-3-Clause", ("spdx-bsd3",)),
+    ("BSD-2-Clause", ("spdx-bsd2",)),
+    ("ISC", ("spdx-isc",)),
+    ("AGPL-3.0-or-later", ("spdx-agpl3",)),
+    ("MPL-2.0", ("spdx-mpl2",)),
+    ("EPL-2.0", ("spdx-epl2",)),
     ("All-rights-reserved", ("copyright", "all-rights")),
     ("All-rights-reserved", ("all-rights",)),
 )
-#: Every known sentence holds one of these, so a text without them needs no closer look.
-CUES = ("licen[cs]", "copyright", "permi[ts]", "warrant", "redistribut", "rights\\s+reserved", "public\\s+domain", "free\\s+software", "above")
+#: Every known sentence holds one of these, so a text that, normalised as a whole, has none needs no closer look.
+CUES = ("licen[cs]", "copyright", "permi[ts]", "warrant", "redistribut", "rights reserved", "public domain", "free software", "above",
+        "consequential damages", "loss of use", "business interruption")
 #: A line that starts like this starts a sentence.
 OPENINGS = ("Licensed", "Released", "This", "Copyright", "SPDX", "Permission", "Redistribution", "All rights", "THE SOFTWARE", "You may", "Unless")
 UNKNOWN, MARK = "<->", "\x01"
@@ -141,7 +179,7 @@ def scan_licences(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_sentences (known ones), licences (comma-joined, in rule order) and left_over identifiers."""
     known = F.create_map(*[F.lit(x) for name, text in SENTENCES for x in (text, f"<{name}>")])
     text = F.coalesce(F.col("text"), F.lit(""))
-    cue = text.rlike("(?i)" + "|".join(CUES))
+    cue = F.regexp_replace(F.translate(text, _UPPER, _LOWER), "[^a-z0-9]+", " ").rlike("|".join(CUES))
     plain = F.filter(F.transform(_sentences(text), _normalised), lambda s: ~s.rlike(MARKER))
     named = F.transform(plain, lambda s: F.element_at(known, s))
     out = documents.select("doc_id", F.when(cue, named).otherwise(F.array().cast("array<string>")).alias("named"))
@@ -161,7 +199,7 @@ def scan_licences(documents: DataFrame) -> DataFrame:
 
 
 def duckdb_sql() -> str:
-    """The same scan as DuckDB SQL over the view ``documents``, but list markers and empty sentences separate."""
+    """The same scan as DuckDB SQL over the view ``documents``."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     marked = "coalesce(text, '')"
     for pattern, put in BREAKS:
@@ -179,11 +217,12 @@ cut AS (
   SELECT doc_id, generate_subscripts(s, 1) AS pos, unnest(s) AS sentence
   FROM (SELECT doc_id, string_split({marked}, chr(1)) AS s FROM documents)),
 plain AS (
-  SELECT doc_id, pos, replace(trim(regexp_replace(translate(sentence, '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g')), 'licence', 'license') AS p
+  SELECT doc_id, pos, replace(trim(regexp_replace(translate(regexp_replace(sentence, {quote(MARKED.replace(chr(92) + 'x0B', chr(92) + 'v'))}, ''),
+                                                            '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g')), 'licence', 'license') AS p
   FROM cut),
 named AS (
   SELECT doc_id, count(name) AS n_sentences, CAST([] AS VARCHAR[]) AS found,
-         string_agg(coalesce(name, '<->'), '' ORDER BY pos) AS rest
+         coalesce(string_agg(coalesce(name, '<->'), '' ORDER BY pos) FILTER (NOT regexp_matches(p, {quote(MARKER)})), '') AS rest
   FROM plain LEFT JOIN known ON sentence = CASE WHEN p LIKE 'copyright %' THEN 'copyright' ELSE p END
   GROUP BY doc_id),
 {", ".join(steps)}

@@ -200,7 +200,10 @@ def fit(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
         return nothing
     ids = np.array([r["doc_id"] for r in sample], dtype=np.int64)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = docs.mapInArrow(_collect_features(ids), "doc_id long, features binary, vals binary").orderBy("doc_id").toArrow()
+    found = docs.mapInArrow(_collect_features(ids), "doc_id long, features binary, vals binary")
+    # one row an id, however often it is repeated: with the sample bounded, so is what the driver gets
+    found = (found.groupBy("doc_id").agg(F.min(F.struct("features", "vals")).alias("row"))
+             .select("doc_id", "row.features", "row.vals").orderBy("doc_id").toArrow())
     if not found.num_rows:
         return nothing
     by_id = {r["doc_id"]: r for r in sample}

@@ -201,7 +201,7 @@ def mark_hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     hits = found[0]
     for more in found[1:]:
         hits = hits.union(more)
-    hits = hits.groupBy("sha").agg(F.flatten(F.collect_list("hits")).alias(HITS), F.array_distinct(F.flatten(F.collect_list("items"))).alias(ITEMS))
+    hits = hits.groupBy("sha").agg(F.flatten(F.collect_list("hits")).alias(HITS), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(ITEMS))
     none = F.array()
     out = (documents.withColumn("__sha", sha).join(hits.withColumnRenamed("sha", "__sha"), "__sha", "left")
            .withColumns({WORDS: F.lit(0).cast("long"), HITS: F.coalesce(HITS, none.cast("array<int>")),

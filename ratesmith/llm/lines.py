@@ -106,19 +106,28 @@ def _part_keys(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndar
     return out
 
 
+#: Bits of a word's hash that the SimHash is made from; the rest of a 64-bit cell numbers the line.
+_WORD_BITS = np.uint64(40)
+_LINES = 1 << 24
+
+
 def _majority_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """(lines, BLOCKS) 32-bit blocks: the majority of each of 256 hash bits over a line's distinct words.
 
     A word counts once per line, or the frequent short words of a language would make its long lines alike.
     """
-    line_of = np.repeat(np.arange(len(first)), size)
-    _, once = np.unique(K.mix(word ^ K.mix(line_of.astype(np.uint64))), return_index=True)
-    once.sort()
-    word, line_of = word[once], line_of[once]
+    if len(first) > _LINES:
+        parts = [slice(i, i + _LINES) for i in range(0, len(first), _LINES)]
+        return np.concatenate([_majority_blocks(word[first[p][0]: first[p][-1] + size[p][-1]], first[p] - first[p][0], size[p]) for p in parts])
+    # a word is told by _WORD_BITS of its hash, beside its line: sorting values is much faster than sorting places
+    cell = np.repeat(np.arange(len(first), dtype=np.uint64) << _WORD_BITS, size) | word & ((np.uint64(1) << _WORD_BITS) - np.uint64(1))
+    cell.sort()
+    cell = cell[np.concatenate([[True], cell[1:] != cell[:-1]])] if len(cell) else cell
+    word, line_of = cell & ((np.uint64(1) << _WORD_BITS) - np.uint64(1)), (cell >> _WORD_BITS).astype(np.int64)
     size = np.bincount(line_of, minlength=len(first))
     first = np.cumsum(size) - size
     out = np.empty((len(first), BLOCKS), np.uint32)
-    step = 1 << 15  # words expanded to 256 counters at a time
+    step = 1 << 11  # words expanded to 256 counters at a time: what a core's cache holds
     ends = first + size
     line = 0
     while line < len(first):
@@ -145,6 +154,13 @@ def _lengths(low: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndar
     return total[first + size] - total[first] + size - 1
 
 
+def _one_of_each(pair: np.ndarray) -> np.ndarray:
+    """The place of one row of each distinct pair of hashes."""
+    order = np.lexsort((pair[:, 1], pair[:, 0]))
+    sorted_ = pair[order]
+    return order[np.concatenate([[True], (sorted_[1:] != sorted_[:-1]).any(axis=1)])] if len(order) else order
+
+
 def _occurrences(batches):
     """One row per line with words; of lines that are equal in a slice only one carries the keys, and its length."""
     reader = LineReader()
@@ -152,8 +168,7 @@ def _occurrences(batches):
         data, offsets = K.text_buffer(batch.column(1))
         for a, b in K.slices(offsets):
             low, start, end, word, row, number, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-            _, one = np.unique(pair.view("V16").ravel(), return_index=True)
-            one = np.sort(one)
+            one = np.sort(_one_of_each(pair))
             keys = np.zeros((len(first), KEYS + 1), np.uint32)
             # words of the chosen lines, gathered
             take = np.repeat(first[one] - (np.cumsum(size[one]) - size[one]), size[one]) + np.arange(size[one].sum())
@@ -227,7 +242,7 @@ def _wanted_lines(wanted: np.ndarray | None):
             data, offsets = K.text_buffer(batch.column(0))
             for a, b in K.slices(offsets):
                 low, start, end, _, _, _, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-                _, one = np.unique(pair.view("V16").ravel(), return_index=True)
+                one = _one_of_each(pair)
                 if wanted is not None:
                     slot = np.minimum(np.searchsorted(wanted, pair[one, 0]), max(len(wanted) - 1, 0))
                     one = one[wanted[slot] == pair[one, 0]] if len(wanted) else one[:0]

@@ -138,9 +138,11 @@ print("TABLES", sum(len(names) for _, names, _ in os.walk({scratch!r} + "/shared
     assert left == []
 
 
-def test_sweep_and_release(spark):
+def test_sweep_and_release(spark, scratch, monkeypatch):
     from ratesmith import session as S
 
+    # a folder of its own: the configured one may hold other sessions' tables
+    monkeypatch.setattr(S, "_tables_root", lambda spark: f"file:{scratch}/tables")
     df = S.cut_lineage(spark.range(3), "probe")
     assert df.count() == 3
     own = S.lineage_folder(spark).removeprefix("file:")
@@ -156,7 +158,8 @@ def test_sweep_and_release(spark):
     gone = {os.path.basename(p) for p in S.sweep_lineage(spark, 24)}
     assert {"session-app-1", "job-2"} <= gone and not gone & {"somebody-else", "session-app-3", os.path.basename(own)}
     assert df.count() == 3  # this session's tables stay
-    probe = S.cut_lineage(spark.range(3), "probe")
     with S.lineage_scope(spark) as scope:
         assert S.lineage_folder(spark) == scope
-    assert probe.count() == 3
+    assert df.count() == 3 and os.path.isdir(own)
+    S.release_lineage(spark)
+    assert not os.path.exists(own)

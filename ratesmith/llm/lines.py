@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
@@ -233,23 +234,59 @@ def _shared_blocks(table: pa.Table) -> pa.Table:
     return pa.table([_fixed_binary(half[stay][:, None]), pa.array(x[stay].astype(np.int64))], names=["half", "x"])
 
 
-def _wanted_lines(wanted: np.ndarray | None):
-    """(sig, text) of normalised lines; only the wanted ones, by the first half of their hash, if given."""
+def line_spans(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, line: np.ndarray):
+    """(start, end, there, last) of numbered lines of rows, without their line breaks; ``there`` is false beyond a row's lines."""
+    breaks = np.flatnonzero(data == 10)
+    before = np.searchsorted(breaks, offsets)
+    breaks = np.append(breaks, len(data))
+    count = (before[1:] - before[:-1])[row]
+    there = line <= count
+    at = before[row] + np.where(there, line, 0)
+    start = np.where(line > 0, breaks[at - 1] + 1, offsets[row])
+    end = np.where(line < count, breaks[at], offsets[row + 1])
+    return start, end, there, line == count
 
-    def run(batches):
-        reader = LineReader()
-        for batch in batches:
-            data, offsets = K.text_buffer(batch.column(0))
-            for a, b in K.slices(offsets):
-                low, start, end, _, _, _, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-                one = _one_of_each(pair)
-                if wanted is not None:
-                    slot = np.minimum(np.searchsorted(wanted, pair[one, 0]), max(len(wanted) - 1, 0))
-                    one = one[wanted[slot] == pair[one, 0]] if len(wanted) else one[:0]
-                text = [b" ".join(low[start[w]: end[w]].tobytes() for w in range(first[i], first[i] + size[i])).decode() for i in one]
-                yield pa.RecordBatch.from_arrays([_fixed_binary(pair[one]), pa.array(text, pa.string())], names=["sig", "item"])
 
-    return run
+def _inside(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of n positions lie in one of the spans, which do not overlap."""
+    edge = np.zeros(n + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    return np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1,
+                                 [None, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _list_rows(column: pa.Array) -> np.ndarray:
+    """The row of every element of a list column."""
+    return np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+
+
+def _wanted_lines(batches):
+    """(sig, normalised line) of the asked lines with words of every text; ``asked`` holds line numbers in order."""
+    reader = LineReader()
+    for batch in batches:
+        data, offsets = K.text_buffer(batch.column(0))
+        row, line = _list_rows(batch.column(1)), batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        start, end, there, _ = line_spans(data, offsets, row, line)
+        start, end = start[there], end[there]
+        start, end = start[end > start], end[end > start]
+        ends = np.concatenate([[0], np.cumsum(end - start)])
+        picked = data[_inside(start, end, len(data))]
+        for a, b in K.slices(ends):
+            low, _, stop, _, _, _, first, size, pair = reader.read(picked[ends[a]: ends[b]], ends[a: b + 1] - ends[a])
+            # words and, in the first byte after each but a line's last, a space
+            inner = np.ones(len(stop), bool)
+            inner[first + size - 1] = False
+            keep = K.ALNUM_WORD[low]
+            keep[stop[inner]] = True
+            low[stop[inner]] = 32
+            total = np.concatenate([[0], np.cumsum(keep)])
+            text = _strings(low[keep], np.concatenate([[0], total[stop[first + size - 1]]]))
+            yield pa.RecordBatch.from_arrays([_fixed_binary(pair), text.cast(pa.string())], names=["sig", "item"])
 
 
 def edit_distance(a: str, b: str, limit: int | None = None) -> int:
@@ -286,6 +323,37 @@ def edit_distance(a: str, b: str, limit: int | None = None) -> int:
     return score
 
 
+#: How far ahead, in words of both lines together, the word script looks for two equal words.
+REACH = 6
+#: (words of the left, words of the right) to pass over, few first, then those that exchange the most words.
+_STEPS = sorted(((m, n) for m in range(REACH + 1) for n in range(REACH + 1 - m) if m + n), key=lambda s: (s[0] + s[1], abs(s[0] - s[1])))
+
+
+def _words_within(left: list[str], right: list[str], allowed: int) -> bool:
+    """Whether some way of exchanging, dropping and adding whole words takes at most ``allowed`` characters.
+
+    Such a script is one way of editing, so its length is never below the edit distance.
+    """
+    i = j = 0
+    while i < len(left) and j < len(right):
+        if left[i] == right[j]:
+            i, j = i + 1, j + 1
+            continue
+        for m, n in _STEPS:
+            if i + m < len(left) and j + n < len(right) and left[i + m] == right[j + n]:
+                break
+        else:
+            m, n = len(left) - i, len(right) - j
+        gone, come = left[i: i + m], right[j: j + n]
+        # without words on one side, a separator goes or comes with each word
+        allowed -= max(sum(map(len, gone)) + m, sum(map(len, come)) + n) - (1 if m and n else 0)
+        if allowed < 0:
+            return False
+        i, j = i + m, j + n
+    rest = left[i:] or right[j:]
+    return sum(map(len, rest)) + len(rest) <= allowed
+
+
 def similar(a: str, b: str) -> bool:
     longer = max(len(a), len(b))
     allowed = longer * (100 - SIMILARITY_PERCENT) // 100
@@ -295,7 +363,7 @@ def similar(a: str, b: str) -> bool:
     if len(left) == len(right):  # exchanging the words that differ is one way of editing
         if sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= allowed:
             return True
-    return edit_distance(a, b, allowed) <= allowed
+    return _words_within(left, right, allowed) or edit_distance(a, b, allowed) <= allowed
 
 
 def _verify_pairs(left: list[str], right: list[str]) -> list[bool]:
@@ -321,7 +389,7 @@ def _verify_block(items: list[str], component: np.ndarray, asked: np.ndarray) ->
     return link
 
 
-#: Lines to verify are picked out by a broadcast list of hashes up to this many (8 bytes each), by a shuffle beyond.
+#: Lines to verify are picked out by a broadcast list of places up to this many (a document's id and its line numbers), by a shuffle beyond.
 BROADCAST_LINES = 2_000_000
 
 
@@ -340,14 +408,11 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     wanted = cut_lineage(entries.select("half").distinct().join(
         distinct.select(F.substring("sig", 1, 8).alias("half"), "sig", "first"), "half"), "wanted-lines")
     entries = cut_lineage(entries.join(wanted.select("half", "sig"), "half").select("sig", "x"), "list-entries")
-    found = docs
-    chosen = None
+    # a line is normalised and hashed anew from its text, so rows of one id cannot exchange their lines
+    places = wanted.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.sort_array(F.collect_set("first.line")).alias("asked"))
     if wanted.count() <= BROADCAST_LINES:
-        raw = wanted.select("sig").toPandas()["sig"]
-        chosen = np.unique(np.frombuffer(b"".join(map(bytes, raw)), np.uint64)[::2])
-        ids = F.broadcast(wanted.select(F.col("first.doc_id").alias("doc_id")).distinct())
-        found = docs.join(ids, "doc_id", "left_semi")
-    items = found.select("text").mapInArrow(_wanted_lines(chosen), "sig binary, item string")
+        places = F.broadcast(places)
+    items = docs.join(places, "doc_id").select("text", "asked").mapInArrow(_wanted_lines, "sig binary, item string")
     items = cut_lineage(items.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "line-texts")
     groups = linked_components(entries.withColumn("band", F.lit(0)), items, _verify_pairs, _verify_block, by_list=True)
     member = distinct.join(groups.withColumnRenamed("node", "sig"), "sig", "left")
@@ -358,31 +423,48 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     return gone.select("doc_id", F.struct("line", "sig").alias("g")).groupBy("doc_id").agg(F.collect_set("g").alias("gone"))
 
 
+def _without_lines(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, line: np.ndarray) -> pa.Array:
+    """The texts without the given lines, and what is left joined by line breaks."""
+    start, end, _, last = line_spans(data, offsets, row, line)
+    keep = ~_inside(start, np.where(last, end, end + 1), len(data))
+    # where the last line goes, so does the break after the last one that stays
+    total = np.concatenate([[0], np.cumsum(keep)])
+    some = row[last][total[offsets[row[last] + 1]] > total[offsets[row[last]]]]
+    keep[np.flatnonzero(keep)[total[offsets[some + 1]] - 1]] = False
+    total = np.concatenate([[0], np.cumsum(keep)])
+    return _strings(data[keep], total[offsets])
+
+
 def _apply(text_at: int, gone_at: int):
     """Per row of a batch: (lines with words, lines removed, new text)."""
 
     def run(batch: pa.RecordBatch):
         reader = LineReader()
-        data, offsets = K.text_buffer(batch.column(text_at))
+        column, gone = batch.column(text_at).cast(pa.large_string()), batch.column(gone_at)
+        data, offsets = K.text_buffer(column)
         total, removed = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-        texts = batch.column(text_at).to_pylist()
-        gone = batch.column(gone_at)
-        listed = gone.is_valid().to_numpy(zero_copy_only=False)
+        of, (line, sig) = _list_rows(gone), gone.flatten().flatten()
+        line = line.to_numpy(zero_copy_only=False).astype(np.int64)
+        sig = K.text_buffer(sig.cast(pa.large_binary()).view(pa.large_string()))[0].view(np.uint64).reshape(-1, 2)
+        place, changed = np.arange(batch.num_rows), [column]
+        done = batch.num_rows
         for a, b in K.slices(offsets):
-            d, o = data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
-            total[a:b] = reader.count(d, o)
-            rows = np.flatnonzero(listed[a:b])
-            if not len(rows):
+            total[a:b] = reader.count(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+            i, j = np.searchsorted(of, [a, b])
+            if i == j:
                 continue
-            some = batch.column(text_at).take(pa.array(a + rows))
-            _, _, _, _, row, number, _, _, pair = reader.read(*K.text_buffer(some))
-            ends = np.searchsorted(row, np.arange(len(rows) + 1))
-            for n, r in enumerate(rows):
-                marked = {(g["line"], bytes(g["sig"])) for g in gone[a + r].as_py()}
-                drop = {int(number[i]) for i in range(ends[n], ends[n + 1]) if (int(number[i]), pair[i].tobytes()) in marked}
-                removed[a + r] = len(drop)
-                texts[a + r] = "\n".join(x for k, x in enumerate(texts[a + r].split("\n")) if k not in drop)
-        return total, removed, texts
+            rows, local = np.unique(of[i:j], return_inverse=True)
+            d, o = K.text_buffer(column.take(pa.array(rows)))
+            _, _, _, _, row, number, _, _, pair = reader.read(d, o)
+            lines, asked = row << 32 | number, local << 32 | line[i:j]
+            at = np.minimum(np.searchsorted(lines, asked), len(lines) - 1)
+            # rows of one id: a line goes only from the text that has it
+            at = np.unique(at[(lines[at] == asked) & (pair[at] == sig[i:j]).all(axis=1)]) if len(lines) else at[:0]
+            removed[rows] = K.counts(row[at], len(rows))
+            changed.append(_without_lines(d, o, row[at], number[at]))
+            place[rows] = done + np.arange(len(rows))
+            done += len(rows)
+        return total, removed, pa.concat_arrays(changed).take(pa.array(place))
 
     return run
 
@@ -403,11 +485,10 @@ def dedup_lines(documents: DataFrame, drop_emptied: bool = True) -> DataFrame:
         for batch in batches:
             total, removed, texts = apply(batch)
             columns = list(batch.columns[:gone_at])
-            columns[text_at] = pa.array(texts, columns[text_at].type)
+            columns[text_at] = texts.cast(columns[text_at].type)
             if sized:
                 at = batch.schema.names.index("n_chars")
-                old = columns[at].to_pylist()
-                columns[at] = pa.array([len(t) if k else n for t, k, n in zip(texts, removed, old)], columns[at].type)
+                columns[at] = pc.if_else(pa.array(removed > 0), pc.utf8_length(texts).cast(columns[at].type), columns[at])
             kept = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:gone_at])
             yield kept.filter(pa.array((total == 0) | (removed < total))) if drop_emptied else kept
 
@@ -424,7 +505,8 @@ def line_report(documents: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             total, removed, texts = apply(batch)
-            digest = [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+            data, offsets = K.text_buffer(texts)
+            digest = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(removed), pa.array(digest)],
                                              names=["doc_id", "n_lines", "n_removed", "kept_sha256"])
 

@@ -115,12 +115,12 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of the maximal runs of member bytes; runs never cross rows."""
+def edges(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the maximal runs of member bytes; runs never cross rows."""
     n = len(member)
     if n == 0:
         e = np.empty(0, dtype=np.int64)
-        return e, e, e
+        return e, e
     before = np.empty(n, dtype=bool)
     before[0] = False
     before[1:] = member[:-1]
@@ -132,7 +132,12 @@ def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     after[-1] = False
     after[:-1] = member[1:]
     after[inner[inner > 0] - 1] = False
-    end = np.flatnonzero(member & ~after) + 1
+    return start, np.flatnonzero(member & ~after) + 1
+
+
+def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the maximal runs of member bytes; runs never cross rows."""
+    start, end = edges(member, offsets)
     return start, end, np.searchsorted(offsets[1:], start, side="right")
 
 

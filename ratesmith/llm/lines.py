@@ -51,6 +51,14 @@ _SALTS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB8
 #: For each byte, its eight bits (highest first) as eight one-byte counters of a 64-bit number.
 _COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
 
+_WORDED = (K.ALNUM_WORD[K.lower_ascii(np.arange(256, dtype=np.uint8))]).astype(np.uint8)
+
+
+def _line_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where lines start, but for empty last ones."""
+    start = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
+    return start[start < len(data)]
+
 
 class LineReader:
     """Lines, their words and their 128-bit hashes, for slices of a text column."""
@@ -61,26 +69,26 @@ class LineReader:
 
     def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Lines with words per row."""
-        total = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(K.ALNUM_WORD[K.lower_ascii(data)], out=total[1:])
-        start = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
-        start = start[start < len(data)]
-        worded = total[np.append(start[1:], len(data))[: len(start)]] > total[start]
+        start = _line_starts(data, offsets)
+        if not len(start):
+            return np.zeros(len(offsets) - 1, np.int64)
+        worded = np.maximum.reduceat(_WORDED[data], start).astype(bool)
         return K.counts(np.searchsorted(offsets[1:], start[worded], side="right"), len(offsets) - 1)
 
     def read(self, data: np.ndarray, offsets: np.ndarray):
         """(lower-cased bytes, word start, word end, word hash, line row, line number, first word, words, hash pair)."""
         low = K.lower_ascii(data)
-        start, end, row = K.runs(K.ALNUM_WORD[low], offsets)
+        start, end = K.edges(K.ALNUM_WORD[low], offsets)
         word = K.mix(self.chars.load(self.values[low]).spans(start, end) ^ (end - start).astype(np.uint64))
-        breaks = np.zeros(len(low) + 1, np.int64)
-        np.cumsum(low == 10, out=breaks[1:])
-        number = breaks[start] - breaks[offsets[row]]
-        new = np.concatenate([[True], (row[1:] != row[:-1]) | (number[1:] != number[:-1])]) if len(row) else np.empty(0, bool)
-        first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(row)))
+        at = _line_starts(low, offsets)
+        first = np.searchsorted(start, at)
+        size = np.diff(np.append(first, len(start)))
+        at, first, size = at[size > 0], first[size > 0], size[size > 0]
+        row = np.searchsorted(offsets[1:], at, side="right")
+        breaks = np.flatnonzero(low == 10)
+        number = np.searchsorted(breaks, at) - np.searchsorted(breaks, offsets[row])
         pair = [K.mix(r.load(word).spans(first, first + size) ^ size.astype(np.uint64)) for r in self.parts]
-        return low, start, end, word, row[first], number[first], first, size, np.stack(pair, axis=1)
+        return low, start, end, word, row, number, first, size, np.stack(pair, axis=1)
 
 
 def simhash_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -149,10 +157,10 @@ def _majority_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> n
 
 def _lengths(low: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Characters of the normalised lines."""
-    chars = np.zeros(len(low) + 1, np.int64)
-    np.cumsum((low & 0xC0) != 0x80, out=chars[1:])
-    total = np.concatenate([[0], np.cumsum(chars[end] - chars[start])])
-    return total[first + size] - total[first] + size - 1
+    inner = np.flatnonzero((low & 0xC0) == 0x80)  # further bytes of a character; all of them belong to words
+    total = np.concatenate([[0], np.cumsum(end - start)])
+    further = np.searchsorted(inner, end[first + size - 1]) - np.searchsorted(inner, start[first])
+    return total[first + size] - total[first] - further + size - 1
 
 
 def _one_of_each(pair: np.ndarray) -> np.ndarray:
@@ -370,6 +378,32 @@ def _verify_pairs(left: list[str], right: list[str]) -> list[bool]:
     return [similar(a, b) for a, b in zip(left, right)]
 
 
+#: Cells that the pairs of neighbouring characters are counted in.
+PAIR_CELLS = 256
+
+
+def _may_be_similar(items: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of items the lengths and the counts of neighbouring characters leave possible.
+
+    An edit changes the length by at most one and takes away at most two pairs of neighbours;
+    cells that different pairs share only make the counts more alike, so no similar pair is lost.
+    """
+    size = np.array([len(x) for x in items], np.int64)
+    code = np.frombuffer("".join(items).encode("utf-32-le"), np.uint32)
+    owner = np.repeat(np.arange(len(items)), size)
+    cell = (K.mix(code[:-1].astype(np.uint64) << np.uint64(32) | code[1:]) % np.uint64(PAIR_CELLS)).astype(np.int64)
+    inside = owner[1:] == owner[:-1]
+    count = np.bincount(owner[:-1][inside] * PAIR_CELLS + cell[inside], minlength=len(items) * PAIR_CELLS)
+    count = count.reshape(len(items), PAIR_CELLS).astype(np.int32)
+    allowed = np.maximum(size[left], size[right]) * (100 - SIMILARITY_PERCENT) // 100
+    out = np.abs(size[left] - size[right]) <= allowed
+    near = np.flatnonzero(out)
+    for k in range(0, len(near), 4096):
+        p = near[k: k + 4096]
+        out[p] = np.maximum(count[left[p]] - count[right[p]], 0).sum(axis=1) <= 2 * allowed[p]
+    return out
+
+
 def _verify_block(items: list[str], component: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Verifies the asked pairs; components joined on the way are not compared again."""
     link = np.zeros(asked.shape, bool)
@@ -381,7 +415,9 @@ def _verify_block(items: list[str], component: np.ndarray, asked: np.ndarray) ->
             c = root[c]
         return c
 
-    for i, j in zip(*np.nonzero(asked)):
+    left, right = np.nonzero(asked)
+    likely = _may_be_similar(items, left, right)
+    for i, j in zip(left[likely], right[likely]):
         ci, cj = find(int(component[i])), find(int(component[j]))
         if ci != cj and similar(items[i], items[j]):
             link[i, j] = True
@@ -455,13 +491,17 @@ def _apply(text_at: int, gone_at: int):
                 continue
             rows, local = np.unique(of[i:j], return_inverse=True)
             d, o = K.text_buffer(column.take(pa.array(rows)))
-            _, _, _, _, row, number, _, _, pair = reader.read(d, o)
-            lines, asked = row << 32 | number, local << 32 | line[i:j]
-            at = np.minimum(np.searchsorted(lines, asked), len(lines) - 1)
+            start, end, there, _ = line_spans(d, o, local, line[i:j])
+            order = np.flatnonzero(there)[np.argsort(start[there], kind="stable")]
+            ends = np.concatenate([[0], np.cumsum((end - start)[order])])
+            picked = d[np.repeat(start[order] - ends[:-1], np.diff(ends)) + np.arange(ends[-1])]
+            _, _, _, _, read, _, _, _, pair = reader.read(picked, ends)
             # rows of one id: a line goes only from the text that has it
-            at = np.unique(at[(lines[at] == asked) & (pair[at] == sig[i:j]).all(axis=1)]) if len(lines) else at[:0]
-            removed[rows] = K.counts(row[at], len(rows))
-            changed.append(_without_lines(d, o, row[at], number[at]))
+            at = order[read][(pair == sig[i:j][order[read]]).all(axis=1)]
+            gone_lines = np.unique(local[at] << 32 | line[i:j][at])
+            row, number = gone_lines >> 32, gone_lines & 0xFFFFFFFF
+            removed[rows] = K.counts(row, len(rows))
+            changed.append(_without_lines(d, o, row, number))
             place[rows] = done + np.arange(len(rows))
             done += len(rows)
         return total, removed, pa.concat_arrays(changed).take(pa.array(place))

@@ -19,7 +19,8 @@ only by their first ``LENGTH`` bytes, so only suffixes that tie for that long ma
 A task holds one bucket or one slab of text.  Before each exchange a task answers the ties
 it can see itself and sends one suffix of each class, so a passage found in a third of all
 documents is sent once per slab; grams that are still too common are not used as bucket keys.
-Whole texts that are equal are told by their SHA-256 and take part once.
+Whole texts that are equal are told by their SHA-256 and take part once.  Sample ranks travel
+under 60 bits of it; ranges to remove under a number given to each candidate text.
 
 Defined cases: null and empty texts have no bytes and lose none; texts shorter than
 ``LENGTH`` lose none; repeated rows are copies of each other, whatever their ids; null ids
@@ -40,6 +41,8 @@ from ratesmith.session import cut_lineage
 
 LENGTH = 400
 SLAB_BYTES = 4 << 20
+#: Hexadecimal digits of a text's SHA-256 that its sample ranks travel under.
+KEY_DIGITS = 15
 #: Buckets per shuffle partition: a task holds one bucket at a time.
 BUCKETS_PER_TASK = 6
 #: A gram that keys more than this share of all pieces (and at least HOT_LEAST) is no bucket key.
@@ -131,7 +134,8 @@ def _cover_sample(length: int, buckets: int):
             for a, b in K.slices(offsets, SLAB_BYTES):
                 starts, ends = offsets[a:b], offsets[a + 1: b + 1]
                 once = np.zeros(b - a, bool)
-                once[np.unique(keys[a:b], return_index=True)[1]] = True
+                copies = batch.column(2).slice(a, b - a).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                once[np.unique(copies, return_index=True)[1]] = True
                 once &= ends - starts >= length
                 found = []
                 for lo in range(int(starts[0]), int(ends[-1]), K.SLICE_BYTES):
@@ -346,9 +350,9 @@ def repeated_suffixes(documents: DataFrame, length: int = LENGTH) -> tuple[DataF
     buckets = min(tasks * BUCKETS_PER_TASK, 1 << 16)
     docs = bounded(documents).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256)) \
-        .withColumn("key", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")) \
+        .withColumn("key", F.conv(F.substring("sha", 1, KEY_DIGITS), 16, 10).cast("long")) \
         .where(F.octet_length("text") >= length)
-    ranked = (docs.select("key", "text").mapInArrow(_cover_sample(length, buckets), "bucket int, key long, payload binary")
+    ranked = (docs.select("key", "text", "sha").mapInArrow(_cover_sample(length, buckets), "bucket int, key long, payload binary")
               .repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_rank_bucket, "key long, payload binary")
               .groupBy("key").agg(F.collect_list("payload").alias("shared")))
     ranked = cut_lineage(ranked, "cover-ranks")
@@ -361,7 +365,8 @@ def repeated_suffixes(documents: DataFrame, length: int = LENGTH) -> tuple[DataF
     chosen = wanted.select(F.col("sha").alias("wanted_sha"), "one")
     texts = (source.join(chosen, (F.col("sha") == F.col("wanted_sha")) & F.col("doc_id").eqNullSafe(F.col("one")))
              .select("sha", "key", "text").dropDuplicates(["sha"]))
-    texts = cut_lineage(texts.join(ranked, "key"), "candidate-texts")
+    # texts of one key get each other's positions, which only adds candidates; from here on every text has a number of its own
+    texts = cut_lineage(texts.join(ranked, "key").drop("key").withColumn("key", F.monotonically_increasing_id()), "candidate-texts")
     candidates = texts.select("key", "text", "shared")
     grams = candidates.mapInArrow(_common_grams(length), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     grams = cut_lineage(grams.where(F.col("n") >= HOT_LEAST), "common-grams")

@@ -386,7 +386,11 @@ def similar_groups(documents: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each_group(documents: DataFrame) -> DataFrame:
-    """The documents without those that have a linked document of a smaller id (and without repeats of a row's id)."""
+    """The documents without those that have a linked document of a smaller id.
+
+    Rows of one id stand or fall together: all go if one of them is linked to a smaller id, else all
+    stay, repeats included.  Rows without an id stay.
+    """
     groups = similar_groups(documents)
     later = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return documents.join(later, "doc_id", "left_anti").select(*documents.columns)

@@ -502,7 +502,8 @@ def _apply(text_at: int, gone_at: int):
             row, number = gone_lines >> 32, gone_lines & 0xFFFFFFFF
             removed[rows] = K.counts(row, len(rows))
             changed.append(_without_lines(d, o, row, number))
-            place[rows] = done + np.arange(len(rows))
+            hit = np.flatnonzero(removed[rows])
+            place[rows[hit]] = done + hit
             done += len(rows)
         return total, removed, pa.concat_arrays(changed).take(pa.array(place))
 

@@ -151,6 +151,82 @@ def test_edit_distance():
         assert lines.similar(a, b) == (5 * levenshtein(a, b) <= longer)
 
 
+def test_word_scripts_are_never_shorter_than_the_distance():
+    rnd = random.Random(14)
+    accepted = 0
+    for _ in range(2000):
+        left = [rnd.choice(["a", "bb", "ccc", "dddd", "é"]) for _ in range(rnd.randint(1, 12))]
+        right = list(left)
+        for _ in range(rnd.randint(0, 4)):
+            i, kind = rnd.randrange(len(right)), rnd.random()
+            if kind < 0.3 and len(right) > 1:
+                del right[i]
+            elif kind < 0.6:
+                right.insert(i, rnd.choice(["x", "yy", "bb"]))
+            else:
+                right[i] = rnd.choice(["x", "a", "ccc"])
+        distance = levenshtein(" ".join(left), " ".join(right))
+        assert not any(lines._words_within(left, right, allowed) for allowed in range(distance))
+        accepted += lines._words_within(left, right, distance)
+    assert accepted > 1000
+
+
+def test_blocks_ask_about_every_similar_pair():
+    rnd = random.Random(15)
+    dropped = 0
+    for _ in range(60):
+        base = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyzé ") for _ in range(rnd.randint(1, 60))) for _ in range(6)]
+        items = []
+        for _ in range(30):
+            x = list(rnd.choice(base))
+            for _ in range(rnd.randint(0, 8)):
+                x.insert(rnd.randint(0, len(x)), "q") if rnd.random() < 0.6 or len(x) < 2 else x.pop(rnd.randrange(len(x)))
+            items.append("".join(x))
+        left, right = np.nonzero(np.triu(np.ones((30, 30), bool), 1))
+        likely = lines._may_be_similar(items, left, right)
+        dropped += int((~likely).sum())
+        assert all(k or not lines.similar(items[i], items[j]) for i, j, k in zip(left, right, likely))
+    assert dropped > 10_000
+    none = np.empty(0, np.int64)
+    assert len(lines._may_be_similar([], none, none)) == 0
+
+
+def test_lines_are_cut_out_and_picked_out_like_split_lines():
+    import pyarrow as pa
+
+    rnd = random.Random(16)
+    cut, gone_type = lines._apply(1, 2), pa.list_(pa.struct([("line", pa.int32()), ("sig", pa.binary())]))
+    reader = lines.LineReader()
+
+    def signatures(text):
+        read = reader.read(*lines.K.text_buffer(pa.array([text], pa.string())))
+        return {int(k): pair.tobytes() for k, pair in zip(read[5], read[8])}
+
+    for _ in range(300):
+        texts = [None if rnd.random() < 0.1 else "\n".join(rnd.choice(["", "A", "é  b", "--", "cc, d!"]) for _ in range(rnd.randint(0, 6)))
+                 for _ in range(rnd.randint(0, 5))]
+        gone, want, removed = [], [], []
+        for text in texts:
+            sig = signatures(text)
+            drop = {k for k in sig if rnd.random() < 0.4}
+            marks = [{"line": k, "sig": sig[k]} for k in drop]
+            # lines that another row of the id has: they stay here
+            marks += [{"line": rnd.randint(0, 9), "sig": b"x" * 16} for _ in range(rnd.randint(0, 2))]
+            gone.append(marks or None)
+            removed.append(len(drop))
+            want.append(None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop))
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string()), pa.array(gone, gone_type)],
+                                           names=["doc_id", "text", "gone"])
+        total, cut_lines, left = cut(batch)
+        assert left.to_pylist() == want and list(cut_lines) == removed and list(total) == [len(signatures(t)) for t in texts]
+        asked = [sorted(rnd.sample(range(8), rnd.randint(0, 4))) for _ in texts]
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(asked, pa.list_(pa.int32()))], names=["text", "asked"])
+        got = [(bytes(s), t) for out in lines._wanted_lines([batch]) for s, t in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+        parts = [(t or "").split("\n") for t in texts]
+        lines_ = [p[k] for p, numbers in zip(parts, asked) for k in numbers if k < len(p) and plain(p[k])]
+        assert got == [(signatures(x)[0], plain(x)) for x in lines_]
+
+
 def test_line_dedup_against_brute_force(spark):
     rnd = random.Random(5)
     base = [f"word{i}" for i in range(80)]
@@ -275,8 +351,9 @@ def repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("length", [40, 400])
-def test_repeats_against_brute_force(spark, length):
+@pytest.mark.parametrize("length, digits", [(40, 15), (400, 15), (40, 1)])  # one digit: most texts share their key
+def test_repeats_against_brute_force(spark, monkeypatch, length, digits):
+    monkeypatch.setattr(suffixes, "KEY_DIGITS", digits)
     rnd = random.Random(length)
     letters = "abcdefghé "
     fresh = lambda n: "".join(rnd.choice(letters) for _ in range(n))

@@ -86,6 +86,62 @@ def test_quality_verdicts_against_plain_counts(spark, monkeypatch):
     assert 10 < sum(judged) < len(judged) - 10
 
 
+def test_quality_counts_every_labelled_document(spark, monkeypatch):
+    """Far over 20,000 documents of each part; the plain counts come from one aggregation."""
+    kind = F.col("doc_id") % 3
+    docs = spark.range(0, 120_000, 1, 4).withColumnRenamed("id", "doc_id").withColumn(
+        "text", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(49)), lambda k: F.concat(F.lit("k"), kind.cast("string"), F.lit("w"), k.cast("string"))), " "))
+    # of the third kind only ids over 60,000 are good, all others are bad
+    good = (kind < 2) | (F.col("doc_id") >= 60_000)
+    labels = docs.select("doc_id", good.cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    trusted = {r.kind: r.n for r in docs.where(good & (F.xxhash64("doc_id").bitwiseAND(F.lit(1)) == 0))
+               .groupBy(kind.alias("kind")).agg(F.count("*").alias("n")).collect()}
+    assert sum(trusted.values()) > 45_000
+    texts = {k: " ".join(f"k{k}w{i}" for i in range(50)) for k in range(3)}
+    raw, target = collections.Counter(), collections.Counter()
+    for k, t in texts.items():
+        for x in buckets(t):
+            raw[x] += 40_000
+            target[x] += trusted[k]
+    all_raw, all_target = sum(raw.values()) + quality.BUCKETS, sum(target.values()) + quality.BUCKETS
+    ratio = {x: math.log((1 + target[x]) / all_target) - math.log((1 + raw[x]) / all_raw) for x in raw}
+    want = {k: sum(ratio[x] for x in buckets(t)) / len(buckets(t)) for k, t in texts.items()}
+    for bound in (quality.BROADCAST_IDS, 10):  # picked out by a broadcast list, and by a shuffle
+        monkeypatch.setattr(quality, "BROADCAST_IDS", bound)
+        got = quality.quality_scores(docs, labels).groupBy((F.col("doc_id") % 3).alias("kind")).agg(
+            F.min("llr").alias("lo"), F.max("llr").alias("hi"), F.min("kept").alias("all"), F.max("kept").alias("any")).collect()
+        assert len(got) == 3
+        for r in got:
+            assert abs(r.lo - want[r.kind]) < 1e-9 and abs(r.hi - want[r.kind]) < 1e-9 and r.all == r.any
+
+
+def test_quality_repeated_and_null_ids_count_by_row(spark, monkeypatch):
+    word = lambda k: " ".join(f"k{k}w{i}" for i in range(60))
+    ids = list(range(40))
+    odd = hash_fold(spark, ids, 1)
+    marked = {i: int(i >= 10) for i in ids}
+    rows = [(i, word(marked[i])) for i in ids] * 2 + [(None, word(0)), (None, word(1)), (99, word(1))]
+    marks = [(i, q, 0) for i, q in marked.items()] * 2 + [(None, 1, 0), (None, 0, 0), (99, 1, 0), (99, 0, 0), (7, None, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    raw, target = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        for x in buckets(t):
+            raw[x] += 1
+            target[x] += marked.get(i) == 1 and odd[i] == 0
+    all_raw, all_target = sum(raw.values()) + quality.BUCKETS, sum(target.values()) + quality.BUCKETS
+    ratio = {x: math.log((1 + target[x]) / all_target) - math.log((1 + raw[x]) / all_raw) for x in raw}
+    for bound in (quality.BROADCAST_IDS, 10):
+        monkeypatch.setattr(quality, "BROADCAST_IDS", bound)
+        got = quality.quality_scores(docs_of(spark, rows), labels).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            t = word(marked.get(r.doc_id, 1))
+            if r.doc_id is not None:
+                assert abs(r.llr - sum(ratio[x] for x in buckets(t)) / len(buckets(t))) < 1e-9 and r.kept == (marked.get(r.doc_id, 1) == 1)
+        assert [r.kept for r in got if r.doc_id is None].count(True) == 1
+
+
+
 # ---- 2: the chain --------------------------------------------------------------------------
 
 def features(text):

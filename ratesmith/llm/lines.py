@@ -120,6 +120,34 @@ _WORD_BITS = np.uint64(40)
 _LINES = 1 << 24
 
 
+#: Lines of up to this many distinct words are counted in binary digits, 64 counters to a number.
+_SHORT = 127
+
+
+def _short_majority(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The majority blocks of lines of 1 to _SHORT words: the k-th words of all lines are added at once, digit by digit."""
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    longer = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")  # lines of more than k words
+    digits = [np.zeros((len(first), len(_SALTS)), np.uint64) for _ in range(int(size[0]).bit_length() if len(size) else 0)]
+    bits = np.stack([K.mix(word + np.uint64(s)) for s in _SALTS], axis=1)
+    for k, m in enumerate(longer):
+        add = bits[first[:m] + k]
+        for digit in digits[: (k + 1).bit_length()]:
+            carry = digit[:m] & add
+            digit[:m] ^= add
+            add = carry
+    # more than half: the count exceeds size // 2, compared from the highest digit
+    more, even = np.zeros((len(first), len(_SALTS)), np.uint64), np.full((len(first), len(_SALTS)), ~np.uint64(0))
+    for k in reversed(range(len(digits))):
+        half = np.where(size // 2 >> k & 1, ~np.uint64(0), np.uint64(0))[:, None]
+        more |= even & digits[k] & ~half
+        even &= ~(digits[k] ^ half)
+    out = np.empty((len(first), BLOCKS), np.uint32)
+    out[order] = more.view(np.uint32)
+    return out
+
+
 def _majority_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """(lines, BLOCKS) 32-bit blocks: the majority of each of 256 hash bits over a line's distinct words.
 
@@ -136,6 +164,19 @@ def _majority_blocks(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> n
     size = np.bincount(line_of, minlength=len(first))
     first = np.cumsum(size) - size
     out = np.empty((len(first), BLOCKS), np.uint32)
+    short = size <= _SHORT
+    if short.any():
+        out[short] = _short_majority(word, first[short], size[short])
+    if not short.all():
+        long = np.flatnonzero(~short)
+        take = np.repeat(first[long] - (np.cumsum(size[long]) - size[long]), size[long]) + np.arange(size[long].sum())
+        out[long] = _long_majority(word[take], np.cumsum(size[long]) - size[long], size[long])
+    return out
+
+
+def _long_majority(word: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The majority blocks of any lines, with a counter per bit; ``word`` holds the lines' words in order."""
+    out = np.empty((len(first), BLOCKS), np.uint32)
     step = 1 << 11  # words expanded to 256 counters at a time: what a core's cache holds
     ends = first + size
     line = 0
@@ -163,34 +204,89 @@ def _lengths(low: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndar
     return total[first + size] - total[first] - further + size - 1
 
 
-def _one_of_each(pair: np.ndarray) -> np.ndarray:
-    """The place of one row of each distinct pair of hashes."""
-    order = np.lexsort((pair[:, 1], pair[:, 0]))
+def _one_of_each(pair: np.ndarray, doc: np.ndarray, line: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, times) of each distinct pair of hashes: its first row by (doc, line), and the sum of ``times``."""
+    order = np.lexsort((line, doc, pair[:, 1], pair[:, 0]))
     sorted_ = pair[order]
-    return order[np.concatenate([[True], (sorted_[1:] != sorted_[:-1]).any(axis=1)])] if len(order) else order
+    new = np.flatnonzero(np.concatenate([[True], (sorted_[1:] != sorted_[:-1]).any(axis=1)])) if len(order) else order
+    return order[new], np.add.reduceat(times[order], new) if len(new) else times[:0]
 
 
-def _occurrences(batches):
-    """One row per line with words; of lines that are equal in a slice only one carries the keys, and its length."""
-    reader = LineReader()
-    for batch in batches:
-        data, offsets = K.text_buffer(batch.column(1))
-        for a, b in K.slices(offsets):
-            low, start, end, word, row, number, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-            one = np.sort(_one_of_each(pair))
-            keys = np.zeros((len(first), KEYS + 1), np.uint32)
-            # words of the chosen lines, gathered
-            take = np.repeat(first[one] - (np.cumsum(size[one]) - size[one]), size[one]) + np.arange(size[one].sum())
-            keys[one, :KEYS] = simhash_blocks(word[take], np.cumsum(size[one]) - size[one], size[one])
-            keys[one, KEYS] = _lengths(low, start, end, first, size)[one]
-            has = np.zeros(len(first), bool)
-            has[one] = True
-            blob = _fixed_binary(keys[one])
-            at = np.where(has, np.cumsum(has) - 1, 0)
-            simhash = blob.take(pa.array(at, mask=~has)) if len(first) else pa.array([], pa.binary())
+#: A distinct line as it travels: its hash, first place, number and keys.
+_DISTINCT = np.dtype([("pair", "<u8", 2), ("doc", "<i8"), ("line", "<i4"), ("times", "<i8"), ("keys", "<u4", KEYS + 1)])
+#: Lines whose keys are kept in one row.
+_KEYED_ROWS = 1 << 14
+
+
+def _merged(lines: np.ndarray) -> np.ndarray:
+    """One record per distinct line."""
+    at, times = _one_of_each(lines["pair"], lines["doc"], lines["line"], lines["times"])
+    out = lines[at]
+    out["times"] = times
+    return out
+
+
+def _cut_by(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bounds) of the rows of every bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    return order, np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else np.zeros(1, np.int64)
+
+
+def _occurrences(buckets: int):
+    """One row per line with words, and per batch its distinct lines, dealt by hash."""
+
+    def run(batches):
+        reader = LineReader()
+        for batch in batches:
+            data, offsets = K.text_buffer(batch.column(1))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            found = []
+            for a, b in K.slices(offsets):
+                low, start, end, word, row, number, first, size, pair = reader.read(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+                if not len(row):
+                    continue
+                doc = ids[row + a]
+                one, times = _one_of_each(pair, doc, number, np.ones(len(row), np.int64))
+                at = np.argsort(one)
+                one, times = one[at], times[at]
+                lines = np.empty(len(one), _DISTINCT)
+                lines["pair"], lines["doc"], lines["line"], lines["times"] = pair[one], doc[one], number[one], times
+                # words of the chosen lines, gathered
+                take = np.repeat(first[one] - (np.cumsum(size[one]) - size[one]), size[one]) + np.arange(size[one].sum())
+                lines["keys"][:, :KEYS] = simhash_blocks(word[take], np.cumsum(size[one]) - size[one], size[one])
+                lines["keys"][:, KEYS] = _lengths(low, start, end, first[one], size[one])
+                found.append(lines)
+                yield pa.RecordBatch.from_arrays(
+                    [_fixed_binary(pair), pa.array(doc), pa.array(number.astype(np.int32)), pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())],
+                    names=["sig", "doc_id", "line", "bucket", "payload"])
+            if not found:
+                continue
+            lines = _merged(np.concatenate(found))
+            bucket = (lines["pair"][:, 0] % np.uint64(buckets)).astype(np.int32)
+            order, cut = _cut_by(bucket)
+            lines, n = lines[order], len(cut) - 1
             yield pa.RecordBatch.from_arrays(
-                [_fixed_binary(pair), batch.column(0).take(pa.array(row + a)), pa.array(number.astype(np.int32)), simhash],
-                names=["sig", "doc_id", "line", "simhash"])
+                [pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(bucket[order][cut[:-1]]),
+                 pa.array([lines[i:j].tobytes() for i, j in zip(cut, cut[1:])], pa.binary())],
+                names=["sig", "doc_id", "line", "bucket", "payload"])
+
+    return run
+
+
+def _distinct_lines(table: pa.Table) -> pa.Table:
+    """One row per distinct line of a bucket (hash, first place, number), and their keys, many lines to a row."""
+    lines = _merged(np.concatenate([np.frombuffer(raw, _DISTINCT) for raw in table.column("payload").to_pylist()]))
+    half = lines["pair"] * np.array([1, 0], np.uint64)  # only the first half of a hash goes with the keys
+    parts = [slice(i, i + _KEYED_ROWS) for i in range(0, len(lines), _KEYED_ROWS)]
+    n, m = len(lines), len(parts)
+    names = ["sig", "doc_id", "line", "times", "halves", "keys"]
+    return pa.concat_tables([
+        pa.table([_fixed_binary(np.ascontiguousarray(lines["pair"])), pa.array(lines["doc"]), pa.array(lines["line"]), pa.array(lines["times"]),
+                  pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=names),
+        pa.table([pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()),
+                  pa.array([half[p].tobytes() for p in parts], pa.binary()),
+                  pa.array([lines["keys"][p].tobytes() for p in parts], pa.binary())], names=names)])
 
 
 def _block_entries(buckets: int):
@@ -198,21 +294,19 @@ def _block_entries(buckets: int):
 
     def run(batches):
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, KEYS + 1)
-            half = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)[::2]
-            column = np.tile(np.arange(KEYS, dtype=np.uint8), n)
-            value, owner = keys[:, :KEYS].ravel(), np.repeat(np.arange(n), KEYS)
-            length = np.minimum(keys[:, KEYS], LONGEST).astype(np.uint16)
-            bucket = (K.mix(_list_key(column, value)) % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            column, value, owner, bucket = (c[order] for c in (column, value, owner, bucket))
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            blobs = [half[owner[i:j]].tobytes() + value[i:j].tobytes() + length[owner[i:j]].tobytes() + column[i:j].tobytes()
-                     for i, j in zip(cut, cut[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
+            for sigs, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):  # one or many lines
+                keys = np.frombuffer(raw, np.uint32).reshape(-1, KEYS + 1)
+                n = len(keys)
+                column = np.tile(np.arange(KEYS, dtype=np.uint8), n)
+                value, owner = keys[:, :KEYS].ravel(), np.repeat(np.arange(n), KEYS)
+                length = np.minimum(keys[:, KEYS], LONGEST).astype(np.uint16)
+                bucket = (K.mix(_list_key(column, value)) % np.uint64(buckets)).astype(np.int32)
+                order, cut = _cut_by(bucket)
+                column, value, owner, bucket = (c[order] for c in (column, value, owner, bucket))
+                half, length = np.frombuffer(sigs, np.uint64)[::2][owner], length[owner]
+                blobs = [half[i:j].tobytes() + value[i:j].tobytes() + length[i:j].tobytes() + column[i:j].tobytes()
+                         for i, j in zip(cut, cut[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "payload"])
 
     return run
 
@@ -434,11 +528,12 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = bounded(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    seen = cut_lineage(docs.mapInArrow(_occurrences, "sig binary, doc_id long, line int, simhash binary"), "lines")
-    # min() skips nulls, so any row with the SimHash will do
-    distinct = cut_lineage(seen.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("times"),
-                                                   F.max("simhash").alias("simhash")), "distinct-lines")
-    entries = cut_lineage(distinct.select("sig", "simhash").mapInArrow(_block_entries(buckets), "bucket int, payload binary")
+    found = cut_lineage(docs.mapInArrow(_occurrences(buckets), "sig binary, doc_id long, line int, bucket int, payload binary"), "lines")
+    seen = found.where("sig IS NOT NULL").select("sig", "doc_id", "line")
+    told = cut_lineage(found.where("payload IS NOT NULL").select("bucket", "payload").repartition(buckets, "bucket").groupBy("bucket")
+                       .applyInArrow(_distinct_lines, "sig binary, doc_id long, line int, times long, halves binary, keys binary"), "distinct-lines")
+    distinct = told.where("sig IS NOT NULL").select("sig", F.struct("doc_id", "line").alias("first"), "times")
+    entries = cut_lineage(told.where("keys IS NOT NULL").select("halves", "keys").mapInArrow(_block_entries(buckets), "bucket int, payload binary")
                           .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_blocks, "half binary, x long"), "entries")
     # lines with an equal half hash enter each other's lists, and are verified like any others
     wanted = cut_lineage(entries.select("half").distinct().join(
@@ -451,10 +546,12 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     items = docs.join(places, "doc_id").select("text", "asked").mapInArrow(_wanted_lines, "sig binary, item string")
     items = cut_lineage(items.join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "line-texts")
     groups = linked_components(entries.withColumn("band", F.lit(0)), items, _verify_pairs, _verify_block, by_list=True)
-    member = distinct.join(groups.withColumnRenamed("node", "sig"), "sig", "left")
-    member = member.where("times > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "sig"))
-    kept = member.groupBy("component").agg(F.min("first").alias("kept"))
-    kept = member.select("sig", "component").join(kept, "component").select("sig", "kept")
+    groups = cut_lineage(groups.withColumnRenamed("node", "sig"), "line-groups")
+    member = distinct.join(groups, "sig").select("sig", "component", "first")
+    kept = member.select("sig", "component").join(member.groupBy("component").agg(F.min("first").alias("kept")), "component").select("sig", "kept")
+    # a repeated line without a similar one is a group of its own
+    alone = distinct.where("times > 1").join(groups, "sig", "left_anti").select("sig", F.col("first").alias("kept"))
+    kept = kept.union(alone)
     gone = seen.select("sig", "doc_id", "line").join(kept, "sig").where("struct(doc_id, line) <> kept")
     return gone.select("doc_id", F.struct("line", "sig").alias("g")).groupBy("doc_id").agg(F.collect_set("g").alias("gone"))
 

@@ -6,9 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from ratesmith.llm import graph, jaccard, lines, suffixes
+from ratesmith.llm import graph, jaccard, kernels as K, lines, suffixes
 
 SPACED = r"[^\x20\x09-\x0D]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -331,6 +333,40 @@ def test_a_list_keeps_similar_lines_at_any_size():
     assert kept([70_000, 60_000, 20]) == {0, 1}
 
 
+def test_majority_blocks_count_every_bit_of_short_and_long_lines():
+    r = np.random.default_rng(3)
+    size = np.array([1, 2, 3, 4, 7, 8, 126, 127, 128, 129, 254, 255, 256, 700] + list(r.integers(1, 40, 60)))
+    r.shuffle(size)
+    first = np.cumsum(size) - size
+    word = r.integers(0, 1 << 40, size.sum()).astype(np.uint64)
+    word[5:9] = word[5]  # a word counts once per line
+    got = lines._majority_blocks(word, first, size)
+    for k in range(len(size)):
+        distinct = np.unique(word[first[k]: first[k] + size[k]])
+        raw = np.stack([K.mix(distinct + np.uint64(s)) for s in lines._SALTS], axis=1).view(np.uint8)
+        ones = np.unpackbits(raw, axis=1).sum(axis=0)
+        assert (got[k] == np.packbits(2 * ones > len(distinct)).view(np.uint32)).all()
+
+
+def test_distinct_lines_keep_the_first_place_and_the_number():
+    rows = [(7, "Same line\nother"), (3, "x\nsame  LINE"), (3, "x\ny\nsame line"), (9, ""), (5, "same line"), (None, None)]
+    rows = [r for r in rows if r[0] is not None]
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], pa.int64()), pa.array([t for _, t in part], pa.string())],
+                                                    names=["doc_id", "text"])
+    for buckets in (1, 4):
+        out = [pa.Table.from_batches(list(lines._occurrences(buckets)(iter([batch(part)])))) for part in (rows[:2], rows[2:])]
+        sent = pa.concat_tables([t.filter(t.column("payload").is_valid()) for t in out])
+        seen = pa.concat_tables([t.filter(t.column("sig").is_valid()) for t in out])
+        assert seen.num_rows == 8
+        told = [lines._distinct_lines(sent.filter(pc.equal(sent.column("bucket"), b))) for b in sorted(set(sent.column("bucket").to_pylist()))]
+        told = pa.concat_tables(told)
+        one = told.filter(told.column("sig").is_valid()).select(["doc_id", "line", "times"]).to_pylist()
+        assert sorted((r["doc_id"], r["line"], r["times"]) for r in one) == [(3, 0, 2), (3, 1, 1), (3, 1, 4), (7, 1, 1)]
+        # the keys travel packed, many lines to a row
+        packed = told.filter(told.column("keys").is_valid())
+        assert sum(len(x) for x in packed.column("keys").to_pylist()) == 4 * 4 * (lines.KEYS + 1) and packed.num_rows < 4 + buckets
+
+
 # ---- 10: suffix repeats --------------------------------------------------------------------
 
 def repeats(rows, length):

@@ -49,6 +49,28 @@ def test_connected_components(spark):
     assert graph.connected_components(spark.createDataFrame([], "p long, q long")).count() == 0
 
 
+@pytest.mark.parametrize("edges, rounds", [
+    ([], 0),
+    ([(7, 7), (None, 3), (3, None)], 0),
+    ([(5, 1), (1, 5), (1, 6), (6, 1), (9, 8), (8, 9)], 0),
+    ([(1, 3), (2, 3)], 1),
+    ([(1, 2), (2, 3)], 1),
+    ([(1, 5), (2, 5), (2, 6), (6, 7), (8, 9)], 2),
+])
+def test_components_take_no_round_on_stars(spark, monkeypatch, edges, rounds):
+    """Each round costs the driver plans, stages and tasks: none runs on stars, and none after they are reached."""
+    ran, once = [], graph._round
+    monkeypatch.setattr(graph, "_round", lambda e: ran.append(1) or once(e))
+    real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+    u = Union({v for e in real for v in e})
+    for a, b in real:
+        u.join(a, b)
+    got = graph.connected_components(spark.createDataFrame(edges, "p long, q long")).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted((v, u.find(v)) for v in u.up)
+    assert len(ran) == rounds
+
+
+
 # ---- 4: Jaccard join -----------------------------------------------------------------------
 
 def shingles(text):

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm import kernels as K
 from ratesmith.llm.batches import bounded
+from ratesmith.llm.edits import Strings, edit_distance
 from ratesmith.llm.jaccard import _fixed_binary
 from ratesmith.llm.links import linked_components
 from ratesmith.session import cut_lineage
@@ -391,40 +392,6 @@ def _wanted_lines(batches):
             yield pa.RecordBatch.from_arrays([_fixed_binary(pair), text.cast(pa.string())], names=["sig", "item"])
 
 
-def edit_distance(a: str, b: str, limit: int | None = None) -> int:
-    """Levenshtein distance: equal ends are stripped, the rest goes bit-parallel, one column per character of ``b``.
-
-    With a ``limit`` it stops, with some greater number, once the distance must exceed it.
-    """
-    lo, most = 0, min(len(a), len(b))
-    while lo < most and a[lo] == b[lo]:
-        lo += 1
-    a, b, most = a[lo:], b[lo:], most - lo
-    hi = 0
-    while hi < most and a[-1 - hi] == b[-1 - hi]:
-        hi += 1
-    a, b = a[: len(a) - hi], b[: len(b) - hi]
-    if not a or not b:
-        return len(a) + len(b)
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, score = full, 0, len(a)  # +1 and -1 steps down a column
-    left = len(b)
-    for c in b:
-        left -= 1
-        match = at.get(c, 0)
-        diagonal = (((match & up) + up) ^ up) | match | down
-        right_up, right_down = down | (~(diagonal | up) & full), up & diagonal
-        score += bool(right_up & top) - bool(right_down & top)
-        right_up, right_down = (right_up << 1 | 1) & full, right_down << 1 & full
-        up, down = right_down | (~(diagonal | right_up) & full), right_up & diagonal
-        if limit is not None and score - left > limit:
-            return score - left
-    return score
-
-
 #: How far ahead, in words of both lines together, the word script looks for two equal words.
 REACH = 6
 #: (words of the left, words of the right) to pass over, few first, then those that exchange the most words.
@@ -456,20 +423,39 @@ def _words_within(left: list[str], right: list[str], allowed: int) -> bool:
     return sum(map(len, rest)) + len(rest) <= allowed
 
 
-def similar(a: str, b: str) -> bool:
-    longer = max(len(a), len(b))
-    allowed = longer * (100 - SIMILARITY_PERCENT) // 100
-    if abs(len(a) - len(b)) > allowed:
-        return False
+def _allowed(a: str, b: str) -> int:
+    return max(len(a), len(b)) * (100 - SIMILARITY_PERCENT) // 100
+
+
+def _similar_by_words(a: str, b: str, allowed: int) -> bool:
+    """Whether exchanging, dropping and adding whole words alone shows the lines to be similar."""
     left, right = a.split(" "), b.split(" ")
     if len(left) == len(right):  # exchanging the words that differ is one way of editing
         if sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= allowed:
             return True
-    return _words_within(left, right, allowed) or edit_distance(a, b, allowed) <= allowed
+    return _words_within(left, right, allowed)
+
+
+def similar(a: str, b: str) -> bool:
+    allowed = _allowed(a, b)
+    return abs(len(a) - len(b)) <= allowed and (_similar_by_words(a, b, allowed) or edit_distance(a, b, allowed) <= allowed)
+
+
+def _near(strings: Strings, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of lines, by number, are similar."""
+    allowed = np.maximum(strings.size[left], strings.size[right]) * (100 - SIMILARITY_PERCENT) // 100
+    return strings.within(left, right, allowed)
 
 
 def _verify_pairs(left: list[str], right: list[str]) -> list[bool]:
-    return [similar(a, b) for a, b in zip(left, right)]
+    allowed = [_allowed(a, b) for a, b in zip(left, right)]
+    out = np.array([abs(len(a) - len(b)) <= k and _similar_by_words(a, b, k) for a, b, k in zip(left, right, allowed)], bool)
+    rest = np.flatnonzero(~out)
+    items = [x for i in rest for x in (left[i], right[i])]
+    if items:
+        at = np.arange(0, len(items), 2)
+        out[rest] = _near(Strings(items), at, at + 1)
+    return out.tolist()
 
 
 #: Cells that the pairs of neighbouring characters are counted in.
@@ -488,16 +474,21 @@ def _may_be_similar(items: list[str], left: np.ndarray, right: np.ndarray) -> np
     cell = (K.mix(code[:-1].astype(np.uint64) << np.uint64(32) | code[1:]) % np.uint64(PAIR_CELLS)).astype(np.int64)
     inside = owner[1:] == owner[:-1]
     count = np.bincount(owner[:-1][inside] * PAIR_CELLS + cell[inside], minlength=len(items) * PAIR_CELLS)
-    count = count.reshape(len(items), PAIR_CELLS).astype(np.int32)
+    count = np.minimum(count, 255).astype(np.uint8).reshape(len(items), PAIR_CELLS)  # greater counts as this one keep more pairs
     allowed = np.maximum(size[left], size[right]) * (100 - SIMILARITY_PERCENT) // 100
     out = np.abs(size[left] - size[right]) <= allowed
     near = np.flatnonzero(out)
     for k in range(0, len(near), 4096):
         p = near[k: k + 4096]
-        out[p] = np.maximum(count[left[p]] - count[right[p]], 0).sum(axis=1) <= 2 * allowed[p]
+        b = count[right[p]]
+        out[p] = (np.maximum(count[left[p]], b) - b).sum(axis=1, dtype=np.uint32) <= 2 * allowed[p]
     return out
 
 
+#: Pairs measured before components joined on the way are looked at.
+ASKED_AT_ONCE = 4096
+
+
 def _verify_block(items: list[str], component: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Verifies the asked pairs; components joined on the way are not compared again."""
     link = np.zeros(asked.shape, bool)
@@ -511,11 +502,16 @@ def _verify_block(items: list[str], component: np.ndarray, asked: np.ndarray) ->
 
     left, right = np.nonzero(asked)
     likely = _may_be_similar(items, left, right)
-    for i, j in zip(left[likely], right[likely]):
-        ci, cj = find(int(component[i])), find(int(component[j]))
-        if ci != cj and similar(items[i], items[j]):
-            link[i, j] = True
-            root[ci] = cj
+    left, right, strings = left[likely], right[likely], Strings(items)
+    component = component.tolist()
+    for k in range(0, len(left), ASKED_AT_ONCE):
+        i, j = left[k: k + ASKED_AT_ONCE], right[k: k + ASKED_AT_ONCE]
+        now = np.array([find(c) for c in component])
+        i, j = i[now[i] != now[j]], j[now[i] != now[j]]
+        near = _near(strings, i, j)
+        for x, y in zip(i[near].tolist(), j[near].tolist()):
+            link[x, y] = True
+            root[find(component[x])] = find(component[y])
     return link
 
 
